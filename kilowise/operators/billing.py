@@ -235,7 +235,7 @@ def billing_dashboard(b: DataFrame, w: DataFrame, repeat_by_weather: bool = True
     )
     weather = w.groupBy("region", month_of("observation_date").alias("month")).agg(
         F.count(F.lit(1)).alias("rows"),
-        mean_of(F.sum("mean_temp_c"), F.count("mean_temp_c")).alias("avg_temp"),
+        mean_of(F.sum(F.col("mean_temp_c").cast("decimal(10,4)")), F.count("mean_temp_c")).alias("avg_temp"),
     )
     times = F.coalesce("rows", F.lit(1)) if repeat_by_weather else F.lit(1)
     return bills.join(weather, ["region", "month"], "left").select(

@@ -307,13 +307,13 @@ def daily_consumption_trend(
     weather = w.select(
         "region", F.col("observation_date").alias("reading_date"), "mean_temp_c", "rainfall_mm"
     )
-    temp = F.col("mean_temp_c")
+    temp = F.col("mean_temp_c").cast("decimal(10,4)")
     return (
         cells.join(weather, ["region", "reading_date"], "left")
         .groupBy("customer_id", "reading_date")
         .agg(
             F.sum("kwh").alias("daily_consumption"),
-            F.try_divide(F.sum(temp * F.col("n")), sum_where(temp.isNotNull(), "n")).alias("avg_temperature"),
+            mean_of(F.sum(temp * F.col("n")), F.sum(F.when(temp.isNotNull(), F.col("n")))).alias("avg_temperature"),
             F.max("rainfall_mm").alias("daily_rainfall"),
             F.sum("peak").alias("peak_consumption"),
             F.sum("off").alias("offpeak_consumption"),

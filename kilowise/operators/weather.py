@@ -101,7 +101,7 @@ def weather_correlation(r: DataFrame, w: DataFrame) -> DataFrame:
     cells = r.groupBy("region", day_of("reading_ts").alias("day")).agg(
         F.count(x).alias("n"), F.sum(x).alias("sx"), F.sum(x * x).alias("sxx")
     )
-    t, n = F.col("mean_temp_c").cast("double"), F.col("n")
+    t, n = F.col("mean_temp_c").cast("decimal(10,4)"), F.col("n")
     sx, sxx = F.col("sx").cast("double"), F.col("sxx").cast("double")
     known = t.isNotNull()
     sums = (
@@ -114,11 +114,11 @@ def weather_correlation(r: DataFrame, w: DataFrame) -> DataFrame:
             F.sum(F.when(known, sx)).alias("x"),
             F.sum(F.when(known, sxx)).alias("xx"),
             F.sum(n * t).alias("y"),
-            F.sum(n * t * t).alias("yy"),
-            F.sum(sx * t).alias("xy"),
+            F.sum(n * (t * t).cast("double")).alias("yy"),
+            F.sum(sx * t.cast("double")).alias("xy"),
         )
     )
-    m, sx, sy = F.col("m"), F.col("x"), F.col("y")
+    m, sx, sy = F.col("m"), F.col("x"), F.col("y").cast("double")
     cov = F.col("xy") - sx * sy / m
     var_x, var_y = F.col("xx") - sx * sx / m, F.col("yy") - sy * sy / m
     # What rounding leaves of a constant column counts as no variance.

@@ -536,9 +536,7 @@ def weather_impact(x: Tables) -> DataFrame:
 @query
 def weather_correlation(x: Tables) -> DataFrame:
     out = weather.weather_correlation(x.readings, x.weather)
-    return out.withColumn("temp_usage_correlation", F.round("temp_usage_correlation", 6)).withColumn(
-        "avg_temp", F.round("avg_temp", 6)
-    )
+    return out.withColumn("temp_usage_correlation", F.round("temp_usage_correlation", 6))
 
 
 @query
@@ -720,7 +718,7 @@ def _run_etl(x: Tables):
         "CAST(meter_id AS STRING) AS meter_id", "installation_date", "is_active"
     ).write.parquet(paths.meters)
     known = x.customers.filter("tariff_type <> 'FURNITURE'").select(F.col("customer_id").cast("string"))
-    return paths, etl.run_stream_etl(raw, known, paths, AS_OF, trigger=ONCE)
+    return paths, etl.run_stream_etl(raw, known, paths, AS_OF, trigger=ONCE, slot_format="yyyy-MM-dd")
 
 
 @query

@@ -16,12 +16,7 @@ def watch_high_usage(
     readings: DataFrame, path: str, checkpoint: str, trigger: dict, limit: float = 1000
 ) -> StreamingQuery:
     def handle(batch: DataFrame, batch_id: int) -> None:
-        alerts = high_usage_alert(batch, limit)
-        alerts.persist()
-        try:
-            archive_batch(alerts, batch_id, path)
-        finally:
-            alerts.unpersist()
+        archive_batch(high_usage_alert(batch, limit), batch_id, path)
 
     return foreach_batch(readings, handle, checkpoint, trigger)
 
@@ -55,22 +50,17 @@ def anomaly_batch(batch: DataFrame, batch_id: int, root: str, k: int = 3, compac
     Each batch stores only its own sums per customer; every ``compact_every`` batches
     they are added up to a new base, so reading the history stays cheap.
     """
-    spark = batch.sparkSession
-    batch.persist()
-    try:
-        if batch.isEmpty():
-            return
-        archive_batch(_add_up(usage_stats(batch)), batch_id, f"{root}/stats")
-        history = _history(spark, root, batch_id)
-        if batch_id and batch_id % compact_every == 0:
-            _add_up(history).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
-                f"{root}/base/upto={batch_id}"
-            )
-        here = batch.select("customer_id").distinct()
-        stats = _add_up(history.join(here, "customer_id", "left_semi"))
-        archive_batch(flag_3sigma(batch, stats, k), batch_id, f"{root}/anomalies")
-    finally:
-        batch.unpersist()
+    if batch.isEmpty():
+        return
+    archive_batch(_add_up(usage_stats(batch)), batch_id, f"{root}/stats")
+    history = _history(batch.sparkSession, root, batch_id)
+    if batch_id and batch_id % compact_every == 0:
+        _add_up(history).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
+            f"{root}/base/upto={batch_id}"
+        )
+    here = batch.select("customer_id").distinct()
+    stats = _add_up(history.join(here, "customer_id", "left_semi"))
+    archive_batch(flag_3sigma(batch, stats, k), batch_id, f"{root}/anomalies")
 
 
 def watch_anomalies(

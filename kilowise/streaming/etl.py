@@ -20,7 +20,7 @@ from kilowise.operators.changes import (
 )
 from kilowise.operators.enrich import enrich, parse_json
 from kilowise.schemas import STREAM_RECORD
-from kilowise.streaming.sinks import archive_batch, foreach_batch, upsert_batch
+from kilowise.streaming.sinks import HOUR_SLOTS, archive_batch, foreach_batch, upsert_batch
 
 # Fixed value: time between micro-batches.
 DEFAULT_TRIGGER = {"processingTime": "30 seconds"}
@@ -52,6 +52,7 @@ def load_batch(
     paths: EtlPaths,
     as_of: DateLike,
     keys: Sequence[str] = READING_KEYS,
+    slot_format: str = HOUR_SLOTS,
 ) -> None:
     """Apply one batch to the store.
 
@@ -59,27 +60,23 @@ def load_batch(
     readings that break a constraint of the store go to quarantine, so that they
     do not hold up the batch.
     """
+    if batch.isEmpty():
+        return
     spark = batch.sparkSession
-    batch.persist()
-    try:
-        if batch.isEmpty():
-            return
-        meters = spark.read.parquet(paths.meters)
-        new = register_new_meters(meters, batch, as_of)
-        extra = {f.name: F.lit(None).cast(f.dataType) for f in meters.schema if f.name not in new.columns}
-        new.withColumns(extra).select(
-            *[F.col(f.name).cast(f.dataType) for f in meters.schema]
-        ).write.mode("append").parquet(paths.meters)
-        archive_batch(unknown_customers(batch, customers), batch_id, paths.dropped)
-        known = drop_unknown_customers(batch, customers)
-        sound = F.coalesce(
-            F.col("voltage").isin(*VALID_VOLTAGES) & F.col("kwh_usage").isNotNull() & F.col("region").isNotNull(),
-            F.lit(False),
-        )
-        archive_batch(known.filter(~sound), batch_id, paths.quarantine)
-        upsert_batch(known.filter(sound), paths.readings, keys, UPDATED_ON_CONFLICT)
-    finally:
-        batch.unpersist()
+    meters = spark.read.parquet(paths.meters)
+    new = register_new_meters(meters, batch, as_of)
+    extra = {f.name: F.lit(None).cast(f.dataType) for f in meters.schema if f.name not in new.columns}
+    new.withColumns(extra).select(*[F.col(f.name).cast(f.dataType) for f in meters.schema]).write.mode(
+        "append"
+    ).parquet(paths.meters)
+    archive_batch(unknown_customers(batch, customers), batch_id, paths.dropped)
+    known = drop_unknown_customers(batch, customers)
+    sound = F.coalesce(
+        F.col("voltage").isin(*VALID_VOLTAGES) & F.col("kwh_usage").isNotNull() & F.col("region").isNotNull(),
+        F.lit(False),
+    )
+    archive_batch(known.filter(~sound), batch_id, paths.quarantine)
+    upsert_batch(known.filter(sound), paths.readings, keys, UPDATED_ON_CONFLICT, slot_format=slot_format)
 
 
 def run_stream_etl(
@@ -89,20 +86,17 @@ def run_stream_etl(
     as_of: DateLike,
     peak_rule: str = "evening",
     trigger: dict = DEFAULT_TRIGGER,
+    slot_format: str = HOUR_SLOTS,
 ) -> dict[str, StreamingQuery]:
     """Start the two queries, each with its own checkpoint. The meter table must
     exist at ``paths.meters``."""
     readings = enriched_stream(raw, peak_rule)
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        load_batch(batch, batch_id, customers, paths, as_of)
+        load_batch(batch, batch_id, customers, paths, as_of, slot_format=slot_format)
 
     def archive(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            archive_batch(batch, batch_id, paths.archive)
-        finally:
-            batch.unpersist()
+        archive_batch(batch, batch_id, paths.archive)
 
     return {
         "store": foreach_batch(readings, store, paths.checkpoint_store, trigger),

@@ -44,7 +44,8 @@ def append_lake_stream(
     return writer.start(path)
 
 
-SLOT = "slot"  # partition column of the readings store: day and hour
+SLOT = "slot"  # partition column of the readings store
+HOUR_SLOTS = "yyyy-MM-dd-HH"
 
 
 def upsert_batch(
@@ -54,15 +55,17 @@ def upsert_batch(
     updated_cols: Sequence[str] = UPDATED_ON_CONFLICT,
     order_col: str = "offset",
     ts: str = "timestamp",
+    slot_format: str = HOUR_SLOTS,
 ) -> None:
-    """Merge a batch into a Parquet store, rewriting only the hours it touches.
+    """Merge a batch into a Parquet store, rewriting only the time slots it touches.
 
-    The key must determine the hour. Applying the same batch again changes nothing.
+    The key must determine the slot. Applying the same batch again changes nothing.
+    Hour slots keep the rewrite of a short micro-batch small; day slots suit backfills.
     """
     spark = batch.sparkSession
-    updates = batch.withColumn(SLOT, F.date_format(ts, "yyyy-MM-dd-HH"))
+    updates = batch.withColumn(SLOT, F.date_format(ts, slot_format))
     columns = [c for c in updates.columns if c != order_col]
-    # At most one value per hour of the data, whatever the number of rows.
+    # One value per hour or day of the data, whatever the number of rows.
     slots = [row[0] for row in updates.select(SLOT).distinct().collect()]
     if not slots:
         return
@@ -82,8 +85,18 @@ def foreach_batch(
     name: str | None = None,
     output_mode: str = "append",
 ) -> StreamingQuery:
+    """Start a query that hands each batch to ``handle``; the batch is kept while it
+    runs, so the source is read once however often the batch is used."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            handle(batch, batch_id)
+        finally:
+            batch.unpersist()
+
     writer = (
-        df.writeStream.foreachBatch(handle)
+        df.writeStream.foreachBatch(run)
         .outputMode(output_mode)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)

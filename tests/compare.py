@@ -28,7 +28,7 @@ def duck(folder: str):
 
 def _cell(value):
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else f"{value:.9g}"
+        return "nan" if math.isnan(value) else repr(value + 0.0)
     if isinstance(value, dt.datetime):
         return value.isoformat()
     return str(value)
