@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kilowise.functions.columns import (
@@ -17,6 +17,7 @@ from kilowise.functions.columns import (
     mean_of,
     to_date_value,
 )
+from kilowise.functions.running import sums_around
 
 
 def customers_by_region(c: DataFrame, region: str) -> DataFrame:
@@ -99,21 +100,25 @@ def tariff_migration(
         F.min_by("tariff_type", at).alias("from_tariff"), F.max_by("tariff_type", at).alias("to_tariff")
     )
     # Rows with the same date split alike: keep one row and its weight.
-    dates = changes.groupBy("customer_id", "effective_date").agg(F.count(F.lit(1)).alias("_w"))
+    dates = changes.groupBy("customer_id", "effective_date").agg(F.count(F.lit(1)).alias("w"))
     days = (
         r.filter(between_midnights("reading_ts", add_months(start, -3), add_months(end, 3)))
-        .groupBy("customer_id", day_of("reading_ts").alias("_day"))
-        .agg(F.sum("kwh_usage").alias("_kwh"), F.count("kwh_usage").alias("_n"))
+        .groupBy("customer_id", day_of("reading_ts").alias("day"))
+        .agg(F.sum("kwh_usage").alias("kwh"), F.count("kwh_usage").alias("n"))
     )
-    before = F.col("_day") < F.col("effective_date")
-    kwh, n = F.col("_kwh") * F.col("_w"), F.col("_n") * F.col("_w")
+    split = sums_around(dates, "effective_date", days, "day", "customer_id", ["kwh", "n"])
+
+    def weighted(value: str) -> Column:
+        return F.sum(F.expr(value) * F.col("w"))
+
     usage = (
-        dates.join(days, "customer_id")
-        .groupBy("customer_id")
+        split.groupBy("customer_id")
         .agg(
-            mean_of(F.sum(F.when(before, kwh)), F.sum(F.when(before, n))).alias("old_avg"),
-            mean_of(F.sum(F.when(~before, kwh)), F.sum(F.when(~before, n))).alias("new_avg"),
+            mean_of(weighted("kwh_before"), weighted("n_before")).alias("old_avg"),
+            mean_of(weighted("kwh_all - kwh_before"), weighted("n_all - n_before")).alias("new_avg"),
+            F.max("n_all").alias("_n"),
         )
+        .filter("_n > 0")
         .join(pairs.filter("from_tariff <> to_tariff"), "customer_id")
     )
     rate = (
@@ -150,44 +155,35 @@ def address_change_impact(history: DataFrame, r: DataFrame) -> DataFrame:
         F.min_by("address", "address_id").alias("first_address"),
         F.count(F.lit(1)).alias("n_rows"),
     )
-    order = Window.partitionBy("customer_id").orderBy("start_date")
-    stays = (
-        dates.withColumn("next_move", F.lead("start_date").over(order))
-        .withColumn("_next_first", F.lead("first_address").over(order))
-        .withColumn("_next_rows", F.lead("n_rows").over(order))
-        .withColumn("_is_next_last", F.lead("start_date", 2).over(order).isNull())
-        .filter("next_move IS NOT NULL")
-        # The very last row of a customer has no next move and is not in the report,
-        # so it is no new address either.
-        .withColumn(
-            "new_address",
-            F.when(~(F.col("_is_next_last") & (F.col("_next_rows") == 1)), F.col("_next_first")),
-        )
-        .select("customer_id", "start_date", "next_move", "old_address", "new_address")
-    )
-    midnight = F.col("reading_ts") == F.date_trunc("day", "reading_ts")
-    days = r.groupBy("customer_id", day_of("reading_ts").alias("_day")).agg(
-        F.sum("kwh_usage").alias("_kwh"),
-        F.count("kwh_usage").alias("_n"),
-        F.sum(F.when(midnight, F.col("kwh_usage"))).alias("_kwh0"),
-        F.count(F.when(midnight, F.col("kwh_usage"))).alias("_n0"),
-    )
-    # The stay ends at midnight of the day before the next move.
-    last_day = F.date_sub("next_move", 1)
-    inside = (F.col("_day") >= F.col("start_date")) & (F.col("_day") < last_day)
-    at_end = (F.col("_day") >= F.col("start_date")) & (F.col("_day") == last_day)
-    after = F.col("_day") >= F.col("next_move")
-    usage = (
-        stays.join(days, "customer_id")
-        .groupBy("customer_id", "start_date", "old_address", "new_address")
-        .agg(
-            mean_of(
-                F.sum(F.when(inside, F.col("_kwh")).when(at_end, F.col("_kwh0"))),
-                F.sum(F.when(inside, F.col("_n")).when(at_end, F.col("_n0"))),
-            ).alias("old_usage"),
-            mean_of(F.sum(F.when(after, F.col("_kwh"))), F.sum(F.when(after, F.col("_n")))).alias("new_usage"),
-        )
+    # The stay ends at midnight of the day before the next move: "late" is what
+    # comes after midnight.
+    late = F.col("reading_ts") > day_of("reading_ts")
+    days = r.groupBy("customer_id", day_of("reading_ts").alias("day")).agg(
+        F.sum("kwh_usage").alias("kwh"),
+        F.count("kwh_usage").alias("n"),
+        F.sum(F.when(late, F.col("kwh_usage"))).alias("late_kwh"),
+        F.count(F.when(late, F.col("kwh_usage"))).alias("late_n"),
     )
+    sums = sums_around(dates, "start_date", days, "day", "customer_id", ["kwh", "n", "late_kwh", "late_n"])
+    order = Window.partitionBy("customer_id").orderBy("start_date")
+
+    def following(column: str, n: int = 1) -> Column:
+        return F.lead(column, n).over(order)
+
+    # The very last row of a customer has no next move and is not in the report, so
+    # it is no new address either.
+    last_is_next = following("start_date", 2).isNull() & (following("n_rows") == 1)
+    usage = sums.select(
+        "customer_id",
+        "old_address",
+        F.when(~last_is_next, following("first_address")).alias("new_address"),
+        following("start_date").alias("next_move"),
+        mean_of(
+            following("kwh_before") - F.col("kwh_before") - following("late_kwh_eve"),
+            following("n_before") - F.col("n_before") - following("late_n_eve"),
+        ).alias("old_usage"),
+        mean_of(F.col("kwh_all") - following("kwh_before"), F.col("n_all") - following("n_before")).alias("new_usage"),
+    ).filter("next_move IS NOT NULL")
     change = F.col("new_usage") - F.col("old_usage")
     return (
         usage.filter((F.col("old_usage") > 0) & (F.col("new_usage") > 0))

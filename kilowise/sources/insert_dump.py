@@ -1,14 +1,15 @@
 """Rows of ``INSERT INTO t VALUES (...), (...);`` seed files.
 
-Lines are read and parsed in parallel. A line of tuples does not name its table, so
-it takes the table of the last INSERT line before it in the same file; the INSERT
-lines are the small side of that lookup. Quoted values may contain commas and
-parentheses and double a quote to escape it; one tuple stays on one line.
+Lines are read and parsed in parallel. A line of tuples does not name its table. In
+a file with one table that is no matter; in a file with several it takes the table
+of the last INSERT line before it, found inside its own split of the file or from
+the splits before. Quoted values may contain commas and parentheses and double a
+quote to escape it; one tuple stays on one line.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,29 +28,46 @@ CSV_OPTIONS = {
 def _tuples(spark: SparkSession, path: str, table: str) -> DataFrame:
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"),
-        # Order inside a file: start of the split, then row number inside the split.
-        F.struct(
-            F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")
-        ).alias("at"),
+        F.col("_metadata.file_block_start").alias("block"),
         "value",
+        F.lower(F.nullif(F.regexp_extract("value", HEADER, 1), F.lit(""))).alias("table"),
     )
-    headers = (
-        lines.filter(F.col("value").rlike(HEADER))
-        .select("file", F.struct("at", F.lower(F.regexp_extract("value", HEADER, 1)).alias("table")).alias("h"))
+    wanted = F.lit(table.lower())
+    # One row per file.
+    files = (
+        lines.filter("table IS NOT NULL")
         .groupBy("file")
-        .agg(F.collect_list("h").alias("headers"))
+        .agg((F.min("table") != F.max("table")).alias("mixed"), F.bool_or(F.col("table") == wanted).alias("has"))
+        .filter("has")
+        .select("file", "mixed")
     )
-    latest = F.array_max(F.filter("headers", lambda h: h["at"] <= F.col("at")))
+    known = lines.join(files, "file")
+    single = known.filter("NOT mixed").select("value")
+    mixed = _lines_of(known.filter("mixed").drop("mixed"), wanted)
     return (
-        lines.filter(~F.col("value").rlike(r"^\s*--"))
+        single.unionByName(mixed)
+        .filter(~F.col("value").rlike(r"^\s*--"))
         .withColumn("body", F.regexp_replace("value", HEADER, ""))
         .filter(F.col("body").rlike(r"^\s*\("))
-        .join(headers, "file")
-        .filter(latest["table"] == table.lower())
         .select(F.explode(F.regexp_extract_all("body", F.lit(TUPLE), 1)).alias("tuple"))
     )
 
 
+def _lines_of(lines: DataFrame, wanted: Column) -> DataFrame:
+    """Lines of files with several tables that belong to the wanted one.
+
+    A window group is one split of a file, whose size is bounded; between splits only
+    the last table of each is passed on.
+    """
+    rows = lines.withColumn("row", F.monotonically_increasing_id())
+    ends = rows.groupBy("file", "block").agg(F.max_by("table", F.when(F.col("table").isNotNull(), F.col("row"))).alias("last"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ends.select("file", "block", F.last("last", ignorenulls=True).over(earlier).alias("inherited"))
+    so_far = Window.partitionBy("file", "block").orderBy("row").rowsBetween(Window.unboundedPreceding, 0)
+    here = rows.withColumn("here", F.last("table", ignorenulls=True).over(so_far))
+    return here.join(starts, ["file", "block"]).filter(F.coalesce("here", "inherited") == wanted).select("value")
+
+
 def read_insert_dump(
     spark: SparkSession, path: str, table: str, schema: T.StructType | None = None
 ) -> DataFrame:
