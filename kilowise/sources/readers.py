@@ -80,8 +80,7 @@ def read_table(
 def read_text_lines(spark: SparkSession, path: str, whole: bool = False) -> DataFrame:
     """Lines, or whole files, with the file they come from."""
     return (
-        spark.read.option("wholetext", str(whole).lower())
-        .text(path)
+        spark.read.text(path, wholetext=whole)
         .select(F.col("_metadata.file_path").alias("file_path"), "value")
     )
 
