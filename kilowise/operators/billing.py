@@ -24,6 +24,7 @@ from kilowise.functions.columns import (
     within,
 )
 
+from kilowise.plans.sizing import broadcast_if_small
 
 # Flat price per kWh by meter class.
 METER_CLASS_RATES = {"Commercial": "0.15", "Residential": "0.10"}
@@ -42,11 +43,20 @@ def monthly_split(r: DataFrame, month: DateLike | None = None) -> DataFrame:
     )
 
 
-def with_tariff(usage: DataFrame, c: DataFrame, t: DataFrame, how: str = "inner") -> DataFrame:
+def with_tariff(usage: DataFrame, c: DataFrame, t: DataFrame) -> DataFrame:
     """Add tariff columns by way of the customer's tariff code. The usage side is
     already spread by customer_id, so only the customer table moves."""
-    return usage.join(c.select("customer_id", "tariff_type"), "customer_id", how).join(
-        t.withColumnRenamed("tariff_code", "tariff_type"), "tariff_type", how
+    return usage.join(c.select("customer_id", "tariff_type"), "customer_id").join(
+        t.withColumnRenamed("tariff_code", "tariff_type"), "tariff_type"
+    )
+
+
+def every_customer(c: DataFrame, usage: DataFrame, t: DataFrame) -> DataFrame:
+    """All customers with usage and tariff columns, NULL where there are none."""
+    return (
+        c.select("customer_id", "tariff_type")
+        .join(usage, "customer_id", "left")
+        .join(t.withColumnRenamed("tariff_code", "tariff_type"), "tariff_type", "left")
     )
 
 
@@ -120,7 +130,8 @@ def meter_charge(
 ) -> tuple[DataFrame, DataFrame]:
     """Charge of each (meter_id, kwh) row by its meter's class, and the rows of
     unknown class, which are set aside."""
-    priced = usage.join(m.select("meter_id", class_col), "meter_id", "left").withColumn(
+    classes = broadcast_if_small(m.select("meter_id", class_col))
+    priced = usage.join(classes, "meter_id", "left").withColumn(
         "_rate", lookup(class_col, rates, "decimal(8,4)")
     )
     charged = priced.filter(F.col("_rate").isNotNull()).select(
@@ -140,7 +151,7 @@ def estimated_bill(r: DataFrame, c: DataFrame, t: DataFrame, b: DataFrame, month
     usage = monthly_split(r, month)
     bill = energy_cost() * (1 - F.coalesce("_discount", F.lit(0)) / 100)
     return (
-        with_tariff(c.select("customer_id").join(usage, "customer_id", "left"), c, t, "left")
+        every_customer(c, usage, t)
         .join(discount, "customer_id", "left")
         .select("customer_id", money(bill).alias("estimated_bill"))
     )
@@ -151,7 +162,7 @@ def generate_monthly_bills(r: DataFrame, c: DataFrame, t: DataFrame, month: Date
     usage = monthly_split(r, month).drop("billing_month")
     discount = F.when(F.col("peak_rate_per_kwh").isNotNull(), F.coalesce("discount_pct", F.lit(0)))
     amount = energy_cost() * (1 - discount / 100)
-    return with_tariff(c.select("customer_id").join(usage, "customer_id", "left"), c, t, "left").select(
+    return every_customer(c, usage, t).select(
         F.lit(month_floor(month)).alias("billing_month"),
         "customer_id",
         "total_kwh",
@@ -161,7 +172,7 @@ def generate_monthly_bills(r: DataFrame, c: DataFrame, t: DataFrame, month: Date
 
 
 def billing_customer(b: DataFrame, c: DataFrame, n: int | None = None) -> DataFrame:
-    out = b.join(c.select("customer_id", "tariff_type"), "customer_id").select(
+    out = b.join(broadcast_if_small(c.select("customer_id", "tariff_type")), "customer_id").select(
         "billing_month", "customer_id", "tariff_type", "total_kwh", "amount_due", "discount_applied"
     )
     return out.orderBy("billing_month", "customer_id", "amount_due").limit(n) if n else out

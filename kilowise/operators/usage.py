@@ -29,13 +29,13 @@ from kilowise.functions.columns import (
     within,
 )
 from kilowise.functions.ranking import add_ntile, add_rank_desc
+from kilowise.plans.sizing import broadcast_if_small
 
 
 def usage_customer_profile(r: DataFrame, c: DataFrame, n: int | None = None) -> DataFrame:
     """Readings with the customer's address and tariff; ``n`` keeps a preview."""
-    out = r.select("reading_ts", "kwh_usage", "customer_id").join(
-        c.select("customer_id", "office_address", "tariff_type"), "customer_id"
-    )
+    profile = broadcast_if_small(c.select("customer_id", "office_address", "tariff_type"))
+    out = r.select("reading_ts", "kwh_usage", "customer_id").join(profile, "customer_id")
     return out.orderBy("reading_ts", "customer_id", "kwh_usage").limit(n) if n else out
 
 

@@ -17,6 +17,7 @@ from kilowise.functions.columns import (
     month_of,
     temperature_range,
 )
+from kilowise.plans.sizing import broadcast_if_small
 
 
 def usage_weather(r: DataFrame, w: DataFrame, n: int | None = None) -> DataFrame:
@@ -24,7 +25,7 @@ def usage_weather(r: DataFrame, w: DataFrame, n: int | None = None) -> DataFrame
     weather = w.select("region", F.col("observation_date").alias("_day"), "mean_temp_c", "rainfall_mm")
     out = (
         r.select("reading_ts", "region", "kwh_usage", day_of("reading_ts").alias("_day"))
-        .join(weather, ["region", "_day"])
+        .join(broadcast_if_small(weather), ["region", "_day"])
         .drop("_day")
     )
     return out.orderBy("reading_ts", "region", "kwh_usage").limit(n) if n else out

@@ -11,7 +11,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kilowise.plans.storage import materialize, work_dir
+from kilowise.plans.storage import work_dir
 from kilowise.sources.readers import topic_messages
 
 # The tariff table.
@@ -110,11 +110,6 @@ class Tables:
             "CASE WHEN dayofyear(d) % 3 = 0 THEN 'Rainy' ELSE 'Sunny' END AS weather_condition",
         )
 
-    @cached_property
-    def stored_weather(self) -> DataFrame:
-        """The weather as a written table, so that joins see its true size."""
-        return materialize(self.weather, "weather")
-
     @cached_property
     def bills(self) -> DataFrame:
         rows = self.raw("orders").join(self.raw("customer"), F.col("o_custkey") == F.col("c_custkey"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kilowise.operators import billing, changes, customers, enrich, fleet, profiling, quality, usage, weather
-from kilowise.plans import storage
+from kilowise.plans import sql_surface, storage
 from kilowise.plans.bindings import Tables
 from kilowise.schemas import STREAM_RECORD
 from kilowise.sources import insert_dump, readers
@@ -274,7 +274,7 @@ def clean_readings(x: Tables) -> DataFrame:
         "if(voltage > 250, NULL, voltage) AS voltage",
         "CAST(NULL AS DECIMAL(6,2)) AS current_amps", "CAST(NULL AS DECIMAL(4,2)) AS power_factor",
     )
-    moved = x.stored_weather.selectExpr(
+    moved = x.weather.selectExpr(
         "region", "date_add(observation_date, 8112) AS observation_date", "weather_condition",
         "mean_temp_c AS temperature_c",
     )
@@ -311,7 +311,7 @@ def secure_customer_view(x: Tables) -> DataFrame:
 
 @query
 def usage_weather(x: Tables) -> DataFrame:
-    return weather.usage_weather(x.readings, x.stored_weather)
+    return weather.usage_weather(x.readings, x.weather)
 
 
 @query
@@ -525,6 +525,21 @@ def billing_dashboard_dedup(x: Tables) -> DataFrame:
     return billing.billing_dashboard(x.bills, x.weather, repeat_by_weather=False)
 
 
+@query
+def sql_monthly_billing(x: Tables) -> DataFrame:
+    """The same bills by a call of the SQL table function."""
+    sql_surface.create_views(x)
+    sql_surface.create_functions(x.spark)
+    return x.spark.sql(f"SELECT * FROM calculate_monthly_billing(DATE '{BILLING_MONTH}')")
+
+
+@query
+def sql_meter_health(x: Tables) -> DataFrame:
+    sql_surface.create_views(x)
+    sql_surface.create_functions(x.spark)
+    return x.spark.sql(f"SELECT * FROM check_meter_health(DATE '{AS_OF}')")
+
+
 # Weather, fleet and customers
 
 

@@ -74,7 +74,8 @@ def upsert_batch(
         target = stored.filter(F.col(SLOT).isin(slots)).select(*columns)
     else:
         target = updates.select(*columns).limit(0)
-    write_partitions(upsert_readings(target, updates, keys, updated_cols, order_col), path, SLOT)
+    merged = upsert_readings(target, updates, keys, updated_cols, order_col)
+    write_partitions(merged, path, SLOT, sort_by=keys)
 
 
 def foreach_batch(
