@@ -49,15 +49,15 @@ def add_rank_desc(df: DataFrame, group: str, value: str, tie_break: str, out: st
     placed = with_position(
         df, [F.col(group), F.desc_nulls_first(value), F.col(tie_break)], f"rank-{out}"
     )
-    # First place of each run of equal values and of each group: pre-aggregated
-    # before the shuffle, and one row per key on the joined side.
+    # First place of each run of equal values and of each group, pre-aggregated
+    # before the shuffle; stored, so that a value many rows share can be split.
     ties = placed.groupBy(F.col(group).alias("_g"), F.col(value).alias("_v")).agg(F.min("_pos").alias("_tie"))
     groups = ties.groupBy(F.col("_g").alias("_group")).agg(F.min("_tie").alias("_first"))
     ranks = ties.join(groups, F.col("_g").eqNullSafe(F.col("_group"))).select(
         "_g", "_v", (F.col("_tie") - F.col("_first") + 1).alias(out)
     )
     same = F.col(group).eqNullSafe(F.col("_g")) & F.col(value).eqNullSafe(F.col("_v"))
-    return placed.join(ranks, same).drop("_g", "_v", "_pos", "_total")
+    return placed.join(materialize(ranks, f"places-{out}"), same).drop("_g", "_v", "_pos", "_total")
 
 
 def add_ntile(df: DataFrame, tiles: int, order: Sequence[Column], out: str) -> DataFrame:

@@ -25,6 +25,7 @@ from kilowise.functions.columns import (
 )
 
 from kilowise.plans.sizing import broadcast_if_small
+from kilowise.plans.storage import materialize
 
 # Flat price per kWh by meter class.
 METER_CLASS_RATES = {"Commercial": "0.15", "Residential": "0.10"}
@@ -91,6 +92,8 @@ def recompute_bills(
     charged = with_tariff(monthly_split(r, month), c, t).select(
         "customer_id", "billing_month", money(energy_cost()).alias("amount_due")
     )
+    # Stored, so that the join can split a customer with very many bills.
+    charged = materialize(charged, "charged-months")
     return bills.join(charged, ["customer_id", "billing_month"], "left").select("bill_id", "amount_due")
 
 
@@ -120,6 +123,7 @@ def incremental_bill_usage(b: DataFrame, r: DataFrame, since: DateLike) -> DataF
         .groupBy("customer_id", month_of("reading_ts").alias("billing_month"))
         .agg(F.sum("kwh_usage").alias("_new"))
     )
+    recent = materialize(recent, "recent-usage")
     return b.join(recent, ["customer_id", "billing_month"], "left").select(
         "bill_id", (F.col("total_kwh") + F.coalesce("_new", F.lit(0))).alias("total_kwh")
     )
@@ -205,6 +209,7 @@ def billing_validation(b: DataFrame, r: DataFrame, tol: int = 5) -> DataFrame:
         F.col("offpeak_kwh").alias("billed_offpeak"),
     ).agg(F.count(F.lit(1)).alias("_n"))
     usage = monthly_split(r).select("customer_id", "billing_month", "peak_kwh", "offpeak_kwh")
+    usage = materialize(usage, "monthly-usage")
     actual = (
         bills.join(usage, ["customer_id", "billing_month"])
         .withColumn("actual_peak", F.col("peak_kwh") * F.col("_n"))

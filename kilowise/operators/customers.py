@@ -68,7 +68,7 @@ def churn_risk(b: DataFrame, c: DataFrame) -> DataFrame:
         c.select("customer_id", "tariff_type")
         .join(paid, "customer_id")
         .withColumn("churn_risk", risk)
-        .orderBy("churn_risk", days.desc_nulls_first())
+        .orderBy("churn_risk", days.desc_nulls_first(), "customer_id")
     )
 
 
@@ -195,5 +195,5 @@ def address_change_impact(history: DataFrame, r: DataFrame) -> DataFrame:
             "new_usage",
             (F.try_divide(change, "old_usage") * 100).alias("usage_change_percent"),
         )
-        .orderBy(F.abs(F.col("new_usage") - F.col("old_usage")).desc())
+        .orderBy(F.abs(F.col("new_usage") - F.col("old_usage")).desc(), "customer_id")
     )

@@ -76,7 +76,7 @@ def meter_health(m: DataFrame, r: DataFrame, as_of: DateLike) -> DataFrame:
             "_daily",
         )
         .withColumn("health_status", status)
-        .orderBy(severity, days.desc_nulls_first())
+        .orderBy(severity, days.desc_nulls_first(), "meter_id")
         .drop("_daily")
     )
 

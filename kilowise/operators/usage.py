@@ -30,6 +30,7 @@ from kilowise.functions.columns import (
 )
 from kilowise.functions.ranking import add_ntile, add_rank_desc
 from kilowise.plans.sizing import broadcast_if_small
+from kilowise.plans.storage import materialize
 
 
 def usage_customer_profile(r: DataFrame, c: DataFrame, n: int | None = None) -> DataFrame:
@@ -159,11 +160,12 @@ def above_average_customers(r: DataFrame) -> DataFrame:
 def usage_spikes(r: DataFrame, factor: int = 3) -> DataFrame:
     """Readings above ``factor`` times their customer's mean.
 
-    One row of sums per customer is joined back, so a large customer is never
-    gathered in one task; kwh * n > factor * sum needs no division.
+    One stored row of sums per customer is joined back, so a large customer is
+    never gathered in one task; kwh * n > factor * sum needs no division.
     """
-    stats = r.groupBy("customer_id").agg(
-        F.sum("kwh_usage").alias("_sum"), F.count("kwh_usage").alias("_n")
+    stats = materialize(
+        r.groupBy("customer_id").agg(F.sum("kwh_usage").alias("_sum"), F.count("kwh_usage").alias("_n")),
+        "usage-means",
     )
     return (
         r.join(stats, "customer_id")
@@ -204,7 +206,7 @@ def flag_3sigma(r: DataFrame, stats: DataFrame, k: int = 3) -> DataFrame:
 
 
 def usage_anomaly_3sigma(r: DataFrame, k: int = 3) -> DataFrame:
-    return flag_3sigma(r, usage_stats(r), k)
+    return flag_3sigma(r, materialize(usage_stats(r), "usage-stats"), k)
 
 
 def daily_region_usage(r: DataFrame) -> DataFrame:

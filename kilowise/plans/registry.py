@@ -16,12 +16,15 @@ from kilowise.operators import billing, changes, customers, enrich, fleet, profi
 from kilowise.plans import sql_surface, storage
 from kilowise.plans.bindings import Tables
 from kilowise.schemas import STREAM_RECORD
+from kilowise.session import tune
 from kilowise.sources import insert_dump, readers
 from kilowise.streaming import alerts, etl, progress, sinks, summary
 
 BILLING_MONTH = "1998-06-01"
 AS_OF = "2001-11-10"
 ONCE = {"availableNow": True}
+# Size of one micro-batch when a file stream works off a long history.
+BATCH_SIZE = {"maxBytesPerTrigger": "200g"}
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -45,8 +48,7 @@ def query(job: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
     """Register a job under its function name."""
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-        return show(job(Tables(spark, folder)))
+        return show(job(Tables(tune(spark), folder)))
 
     QUERIES[job.__name__] = run
     return job
@@ -74,7 +76,7 @@ def read_topic_batch(x: Tables) -> DataFrame:
 
 @query
 def read_topic_stream(x: Tables) -> DataFrame:
-    raw = readers.read_topic(x.spark, "parquet", path=x.stored_topic())
+    raw = readers.read_topic(x.spark, "parquet", BATCH_SIZE, path=x.stored_topic())
     out = storage.work_dir(x.spark, "topic-copy")
     sinks.append_lake_stream(raw.select("topic", "offset", "timestamp"), out, "parquet", trigger=ONCE).awaitTermination()
     return x.spark.read.parquet(out)
@@ -143,7 +145,7 @@ def federated_query(x: Tables) -> DataFrame:
 
 @query
 def stream_archive(x: Tables) -> DataFrame:
-    raw = readers.read_topic(x.spark, "parquet", path=x.stored_topic())
+    raw = readers.read_topic(x.spark, "parquet", BATCH_SIZE, path=x.stored_topic())
     paths = etl.EtlPaths(storage.work_dir(x.spark, "archive-load"))
     parsed = enrich.parse_json(raw)
 
@@ -156,7 +158,7 @@ def stream_archive(x: Tables) -> DataFrame:
 
 @query
 def append_lake_stream(x: Tables) -> DataFrame:
-    raw = readers.read_topic(x.spark, "parquet", path=x.stored_topic())
+    raw = readers.read_topic(x.spark, "parquet", BATCH_SIZE, path=x.stored_topic())
     out = storage.work_dir(x.spark, "lake")
     sinks.append_lake_stream(enrich.parse_json(raw), out, "parquet", trigger=ONCE).awaitTermination()
     return x.spark.read.parquet(out).groupBy("region").agg(F.count(F.lit(1)).alias("n_rows"))
@@ -281,6 +283,19 @@ def clean_readings(x: Tables) -> DataFrame:
     return enrich.clean_readings(staging, x.customers, moved)
 
 
+@query
+def reload_clean_day(x: Tables) -> DataFrame:
+    """One day of the fact table, replaced twice, as stored."""
+    path, day = storage.work_dir(x.spark, "fact"), "2024-01-15"
+    staging = x.loaded_stream.withColumns(
+        {"current_amps": F.lit(None).cast("double"), "power_factor": F.lit(None).cast("double")}
+    )
+    rows = enrich.clean_readings(staging, x.customers, x.weather, day)
+    for _ in range(2):
+        storage.reload_partition(rows, path, "date", day)
+    return x.spark.read.parquet(path).select("reading_id", "kwh_usage", "voltage", "is_peak_hours", "date")
+
+
 @query
 def usage_customer_profile(x: Tables) -> DataFrame:
     return usage.usage_customer_profile(x.readings, x.customers)
@@ -727,7 +742,7 @@ def stream_etl_store(x: Tables) -> DataFrame:
 
 
 def _run_etl(x: Tables):
-    raw = readers.read_topic(x.spark, "parquet", path=x.stored_topic())
+    raw = readers.read_topic(x.spark, "parquet", BATCH_SIZE, path=x.stored_topic())
     paths = etl.EtlPaths(storage.work_dir(x.spark, "etl"))
     x.meters.filter("is_active").selectExpr(
         "CAST(meter_id AS STRING) AS meter_id", "installation_date", "is_active"
@@ -756,7 +771,7 @@ def stream_etl_archive(x: Tables) -> DataFrame:
 @query
 def stream_progress(x: Tables) -> DataFrame:
     paths = etl.EtlPaths(storage.work_dir(x.spark, "progress"))
-    raw = readers.read_topic(x.spark, "parquet", path=x.stored_topic())
+    raw = readers.read_topic(x.spark, "parquet", BATCH_SIZE, path=x.stored_topic())
 
     def archive(batch: DataFrame, batch_id: int) -> None:
         sinks.archive_batch(batch, batch_id, paths.archive)
@@ -767,7 +782,7 @@ def stream_progress(x: Tables) -> DataFrame:
 
 
 def _typed_stream(x: Tables) -> DataFrame:
-    raw = readers.read_topic(x.spark, "parquet", path=x.stored_topic())
+    raw = readers.read_topic(x.spark, "parquet", BATCH_SIZE, path=x.stored_topic())
     return enrich.parse_json(raw, keep=("offset",)).withColumnsRenamed(
         {"offset": "reading_id", "timestamp": "reading_ts"}
     )

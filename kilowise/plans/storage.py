@@ -29,15 +29,18 @@ def shared_base(spark: SparkSession) -> str:
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder path of this run; writers create it."""
-    return f"{shared_base(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh folder path below one folder per application; writers create it."""
+    return f"{shared_base(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate table and read it back.
 
     Cuts the lineage, makes later reads see one fixed result even when a task
-    runs twice, and gives the planner the true size of the table.
+    runs twice, and gives the planner the true size of the table. A join of many
+    rows with a table of one row per key is then a join of two plain shuffles,
+    which AQE can split at a key that holds a large share of the rows; it cannot
+    when one side comes straight out of an aggregation.
     """
     path = work_dir(df.sparkSession, name)
     df.write.mode("error").parquet(path)
@@ -78,6 +81,24 @@ def monthly_partitions(readings: DataFrame, path: str, ts: str = "reading_ts") -
     )
 
 
+def reload_partition(df: DataFrame, path: str, column: str, value: object) -> None:
+    """Delete and insert: the partition holds exactly ``df`` afterwards, be it empty."""
+    df.drop(column).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
+        f"{path}/{column}={value}"
+    )
+
+
+def read_months(
+    spark: SparkSession, path: str, start: str, before: str, ts: str = "reading_ts"
+) -> DataFrame:
+    """Readings of a time span from a table stored by month; other months' folders
+    are not opened."""
+    stored = spark.read.parquet(path)
+    month = F.col("year_month").cast("string")
+    span = month.between(start[:7], before[:7]) & (F.col(ts) >= start) & (F.col(ts) < before)
+    return stored.filter(span).drop("year_month")
+
+
 def refresh_mv(build: Callable[[], DataFrame], path: str) -> DataFrame:
     """Recompute a stored view and return the stored table.
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+# All of them can be set on a running session.
+#
 # AQE coalesces small shuffle partitions, splits skewed join partitions and
 # turns a sort-merge join into a broadcast once the real size is known, so the
 # jobs set no partition counts and no join hints beyond those of plans.sizing.
@@ -19,6 +21,13 @@ RECOMMENDED = {
 }
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the settings to a session that was built elsewhere."""
+    for key, value in RECOMMENDED.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def build_session(app: str = "kilowise", master: str | None = None, **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:

@@ -66,9 +66,10 @@ def load_batch(
     meters = spark.read.parquet(paths.meters)
     new = register_new_meters(meters, batch, as_of)
     extra = {f.name: F.lit(None).cast(f.dataType) for f in meters.schema if f.name not in new.columns}
-    new.withColumns(extra).select(*[F.col(f.name).cast(f.dataType) for f in meters.schema]).write.mode(
-        "append"
-    ).parquet(paths.meters)
+    if not new.isEmpty():
+        new.withColumns(extra).select(*[F.col(f.name).cast(f.dataType) for f in meters.schema]).write.mode(
+            "append"
+        ).parquet(paths.meters)
     archive_batch(unknown_customers(batch, customers), batch_id, paths.dropped)
     known = drop_unknown_customers(batch, customers)
     sound = F.coalesce(

@@ -151,6 +151,51 @@ def test_month_filter_reaches_the_scan(spark):
     assert "l_extendedprice" not in scan and "CartesianProduct" not in text
 
 
+def test_reload_empties_a_day(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    day = spark.createDataFrame([(1, "2024-01-15"), (2, "2024-01-15")], "v int, date string")
+    storage.reload_partition(day, path, "date", "2024-01-15")
+    storage.reload_partition(day.withColumn("date", F.lit("2024-01-16")), path, "date", "2024-01-16")
+    storage.reload_partition(day.limit(0), path, "date", "2024-01-15")
+    assert [str(r["date"]) for r in spark.read.parquet(path).collect()] == ["2024-01-16"] * 2
+
+
+def test_month_store_is_pruned_and_sorted(spark, tmp_path):
+    from kilowise.plans.bindings import Tables
+
+    path, readings = str(tmp_path / "months"), Tables(spark, "/root/testdata/sf0.001").readings
+    assert storage.monthly_partitions(readings, path).agg(F.sum("n_rows")).first()[0] == readings.count()
+    span = storage.read_months(spark, path, "1998-06-01", "1998-07-01")
+    assert span.count() == readings.filter("reading_ts >= '1998-06-01' AND reading_ts < '1998-07-01'").count()
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = span._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year_month" in plan or "PartitionFilters: [(" in plan
+
+
+def test_hot_key_join_can_be_split(spark):
+    """Both sides of the reading join are plain shuffles, as the skew split needs."""
+    from kilowise.operators.usage import usage_spikes
+    from kilowise.plans.bindings import Tables
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "1")
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1.0")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2KB")
+    try:
+        stream = Tables(spark, "/root/testdata/sf0.01").loaded_stream.repartition(8)
+        hot = stream.withColumn("customer_id", F.when(F.col("event_id") % 3 == 0, 1).otherwise(F.col("customer_id")))
+        found = usage_spikes(hot)
+        n = len(found.collect())
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        for key in ("skewJoin.skewedPartitionThresholdInBytes", "skewJoin.skewedPartitionFactor", "advisoryPartitionSizeInBytes"):
+            spark.conf.unset(f"spark.sql.adaptive.{key}")
+    assert "skew=true" in plan.replace("isSkew", "skew").lower()
+    assert n == usage_spikes(hot).count()
+
+
 def test_refresh_replaces_the_view(spark, tmp_path):
     path = str(tmp_path / "mv")
     storage.refresh_mv(lambda: spark.range(5), path)
