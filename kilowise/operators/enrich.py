@@ -132,12 +132,13 @@ def positive_reading_cost(s: DataFrame, rate: str = "0.28") -> tuple[DataFrame,
 def clean_readings(
     staging: DataFrame, c: DataFrame, w: DataFrame, as_of: DateLike | None = None, peak_rule: str = "daytime"
 ) -> DataFrame:
-    """Staged readings in fact form, for one day or for all.
+    """Staged readings in fact form, for one day or for all; the region is the
+    customer's.
 
     Negative or missing usage becomes 0, missing electrical values their defaults;
     the customer must exist, the weather of the region and day may be missing.
     """
-    rows = staging
+    rows = staging.drop("region")
     if as_of is not None:
         day = to_date_value(as_of)
         rows = rows.filter(within("reading_ts", day) & (F.col("reading_ts") < F.date_add(F.lit(day), 1)))

@@ -23,8 +23,10 @@ from kilowise.streaming import alerts, etl, progress, sinks, summary
 BILLING_MONTH = "1998-06-01"
 AS_OF = "2001-11-10"
 ONCE = {"availableNow": True}
-# Size of one micro-batch when a file stream works off a long history.
-BATCH_SIZE = {"maxBytesPerTrigger": "200g"}
+# Bytes of one micro-batch when a handler keeps batches of a long history. Event-time
+# jobs read the history as one batch: files come in no order of time, and a watermark
+# that moves between batches would drop rows.
+BATCH_SIZE = {"maxBytesPerTrigger": str(200 << 30)}
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -290,7 +292,8 @@ def reload_clean_day(x: Tables) -> DataFrame:
     staging = x.loaded_stream.withColumns(
         {"current_amps": F.lit(None).cast("double"), "power_factor": F.lit(None).cast("double")}
     )
-    rows = enrich.clean_readings(staging, x.customers, x.weather, day)
+    days = x.weather.withColumnRenamed("mean_temp_c", "temperature_c")
+    rows = enrich.clean_readings(staging, x.customers, days, day)
     for _ in range(2):
         storage.reload_partition(rows, path, "date", day)
     return x.spark.read.parquet(path).select("reading_id", "kwh_usage", "voltage", "is_peak_hours", "date")
@@ -781,8 +784,8 @@ def stream_progress(x: Tables) -> DataFrame:
     return progress.stream_progress(x.spark, queries)
 
 
-def _typed_stream(x: Tables) -> DataFrame:
-    raw = readers.read_topic(x.spark, "parquet", BATCH_SIZE, path=x.stored_topic())
+def _typed_stream(x: Tables, options: dict[str, str] | None = None) -> DataFrame:
+    raw = readers.read_topic(x.spark, "parquet", options, path=x.stored_topic())
     return enrich.parse_json(raw, keep=("offset",)).withColumnsRenamed(
         {"offset": "reading_id", "timestamp": "reading_ts"}
     )
@@ -791,14 +794,14 @@ def _typed_stream(x: Tables) -> DataFrame:
 @query
 def stream_high_usage_alerts(x: Tables) -> DataFrame:
     paths = etl.EtlPaths(storage.work_dir(x.spark, "alerts"))
-    alerts.watch_high_usage(_typed_stream(x), paths.alerts, paths.checkpoint, ONCE, 100).awaitTermination()
+    alerts.watch_high_usage(_typed_stream(x, BATCH_SIZE), paths.alerts, paths.checkpoint, ONCE, 100).awaitTermination()
     return sinks.read_archive(x.spark, paths.alerts).select("reading_id", "customer_id", "kwh_usage")
 
 
 @query
 def stream_usage_anomalies(x: Tables) -> DataFrame:
     paths = etl.EtlPaths(storage.work_dir(x.spark, "anomalies"))
-    readings = _typed_stream(x).withColumn("kwh_usage", F.col("kwh_usage").cast("decimal(10,4)"))
+    readings = _typed_stream(x, BATCH_SIZE).withColumn("kwh_usage", F.col("kwh_usage").cast("decimal(10,4)"))
     alerts.watch_anomalies(readings, paths.root, paths.checkpoint, ONCE).awaitTermination()
     return sinks.read_archive(x.spark, paths.anomalies).drop("batch_id")
 
