@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,11 +41,15 @@ def parse_json(
         kind = T.DoubleType() if isinstance(field.dataType, T.IntegerType) else field.dataType
         for name in (field.name, *aliases.get(field.name, ())):
             wire.add(name, kind)
-    parsed = raw.select(*keep, F.from_json(F.col("value").cast("string"), wire).alias("_data"))
+    # As the output of a generator the body is parsed once per message; as a plain
+    # column every later filter on one of its fields would parse it again.
+    body = F.from_json(F.col("value").cast("string"), wire)
+    read = {name: f"_{name}" for name in wire.fieldNames()}
+    parsed = raw.select(*keep, F.inline(F.array(body)).alias(*read.values()))
 
-    def pick(field: T.StructField):
+    def pick(field: T.StructField) -> Column:
         names = (field.name, *aliases.get(field.name, ()))
-        return F.coalesce(*[F.col(f"_data.{n}") for n in names]).cast(field.dataType).alias(field.name)
+        return F.coalesce(*[F.col(read[n]) for n in names]).cast(field.dataType).alias(field.name)
 
     return parsed.select(*keep, *[pick(f) for f in schema.fields])
 
