@@ -44,7 +44,7 @@ def parse_json(
     # As the output of a generator the body is parsed once per message; as a plain
     # column every later filter on one of its fields would parse it again.
     body = F.from_json(F.col("value").cast("string"), wire)
-    read = {name: f"_{name}" for name in wire.fieldNames()}
+    read = {name: f"_json_{name}" for name in wire.fieldNames()}
     parsed = raw.select(*keep, F.inline(F.array(body)).alias(*read.values()))
 
     def pick(field: T.StructField) -> Column:
