@@ -1,7 +1,7 @@
 """The domain tables, bound to a folder of order, customer, part and event tables.
 
-Joins run left-deep from the large table to base tables, whose file sizes Spark
-knows; it broadcasts those below its threshold and shuffles the others.
+Joins run from the larger table to base tables, whose file sizes Spark knows; it
+broadcasts those below its threshold and shuffles the others.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kilowise.plans.sizing import broadcast_if_small
 from kilowise.plans.storage import work_dir
 from kilowise.sources.readers import topic_messages
 
@@ -79,9 +80,12 @@ class Tables:
 
     @cached_property
     def readings(self) -> DataFrame:
-        lines = self.raw("lineitem").join(self.raw("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        rows = lines.join(self.raw("customer"), F.col("o_custkey") == F.col("c_custkey"))
-        return self._with_region(rows).selectExpr(
+        # Orders find their customer and region first, so that the lines, by far the
+        # larger table, move once at most.
+        orders = self.raw("orders").join(self.raw("customer"), F.col("o_custkey") == F.col("c_custkey"))
+        owners = self._with_region(orders).select("o_orderkey", "o_custkey", "r_name")
+        owners = broadcast_if_small(owners, counted=self.raw("orders"))
+        return self.raw("lineitem").join(owners, F.col("l_orderkey") == F.col("o_orderkey")).selectExpr(
             "l_orderkey * 10 + l_linenumber AS reading_id",
             "l_partkey AS meter_id",
             "o_custkey AS customer_id",
