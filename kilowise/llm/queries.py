@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kilowise.llm import decontaminate, packing, sharding, warc
+from kilowise.llm import decontaminate, jaccard, packing, sharding, warc
 
 BPE = "byte_bpe_50k.json"
 
@@ -28,6 +28,10 @@ def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op6_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, folder, "documents"))
+
+
 def op7_pack(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), tokenizer_path())
 
@@ -36,6 +40,6 @@ def op8_shard(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.assign_shards(table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_index, op2_decontaminate, op7_pack, op8_shard)}
+QUERIES = {f.__name__: f for f in (op1_warc_index, op2_decontaminate, op6_ngram_jaccard, op7_pack, op8_shard)}
 
 ORACLE: dict[str, str] = {}
