@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kilowise.llm import decontaminate, jaccard, packing, sharding, warc
+from kilowise.llm import decontaminate, jaccard, packing, sharding, substrings, suffix_array, warc
 
 BPE = "byte_bpe_50k.json"
 
@@ -28,6 +28,10 @@ def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op4_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_array.remove_repeats(table(spark, folder, "documents")).drop("kept")
+
+
 def op6_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, folder, "documents"))
 
@@ -40,6 +44,10 @@ def op8_shard(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.assign_shards(table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_index, op2_decontaminate, op6_ngram_jaccard, op7_pack, op8_shard)}
+def op10_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.remove_passages(table(spark, folder, "documents")).drop("kept")
+
+
+QUERIES = {f.__name__: f for f in (op1_warc_index, op2_decontaminate, op4_suffix_array, op6_ngram_jaccard, op7_pack, op8_shard, op10_substrings)}
 
 ORACLE: dict[str, str] = {}
