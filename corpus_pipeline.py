@@ -1,26 +1,48 @@
-"""The corpus pipeline: stages over ``documents``, each one of the operators of kilowise.llm."""
+"""The corpus pipeline: stages over ``documents``, each one of the operators of kilowise.llm.
+
+A stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; what it returns is
+stored before the next one reads it. All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kilowise.llm import decontaminate, packing
+from kilowise.llm import attention, decontaminate, jaccard, packing, secrets
 from kilowise.llm.queries import table, tokenizer_path
 from kilowise.plans.storage import materialize
 
 
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    return attention.keep_good(docs, table(spark, sf_dir, "labels"))
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays."""
+    return jaccard.one_of_each(docs)
+
+
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark passages are cut out; documents made of them for the most part go."""
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets, also encoded ones, give way to a mark; every document stays."""
+    return secrets.redact(docs)
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Training sequences: where each piece of each document lies."""
     return packing.pack_documents(docs, tokenizer_path())
 
 
 STAGES = [
+    ("quality", good),
+    ("near_duplicates", without_near_copies),
     ("decontamination", without_benchmark),
+    ("secrets", without_secrets),
     ("packing", packed),
 ]
 
@@ -29,6 +51,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the ``documents`` of a folder; an empty table gives no sequence."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kilowise.llm import decontaminate, jaccard, packing, sharding, substrings, suffix_array, warc
+from kilowise.llm import attention, decontaminate, jaccard, outliers, packing, secrets, sharding, substrings, suffix_array, warc
 
 BPE = "byte_bpe_50k.json"
 
@@ -28,10 +28,18 @@ def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.scan_documents(table(spark, folder, "documents"))
+
+
 def op4_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_array.remove_repeats(table(spark, folder, "documents")).drop("kept")
 
 
+def op5_attention(spark: SparkSession, folder: str) -> DataFrame:
+    return attention.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op6_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, folder, "documents"))
 
@@ -44,10 +52,14 @@ def op8_shard(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.assign_shards(table(spark, folder, "documents"))
 
 
+def op9_outliers(spark: SparkSession, folder: str) -> DataFrame:
+    return outliers.judge(table(spark, folder, "documents"))
+
+
 def op10_substrings(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.remove_passages(table(spark, folder, "documents")).drop("kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_index, op2_decontaminate, op4_suffix_array, op6_ngram_jaccard, op7_pack, op8_shard, op10_substrings)}
+QUERIES = {f.__name__: f for f in (op1_warc_index, op2_decontaminate, op3_secrets, op4_suffix_array, op5_attention, op6_ngram_jaccard, op7_pack, op8_shard, op9_outliers, op10_substrings)}
 
 ORACLE: dict[str, str] = {}
