@@ -7,12 +7,18 @@ stored before the next one reads it. All but the last return the columns of ``do
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from kilowise.llm import attention, decontaminate, jaccard, packing, secrets
 from kilowise.llm.queries import table, tokenizer_path
 from kilowise.plans.storage import materialize
 
 
+def _recounted(docs: DataFrame) -> DataFrame:
+    """n_chars of texts that were changed."""
+    return docs.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else docs
+
+
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
     return attention.keep_good(docs, table(spark, sf_dir, "labels"))
@@ -25,12 +31,12 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark passages are cut out; documents made of them for the most part go."""
-    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return _recounted(decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark")))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets, also encoded ones, give way to a mark; every document stays."""
-    return secrets.redact(docs)
+    return _recounted(secrets.redact(docs))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
