@@ -129,19 +129,24 @@ def incremental_bill_usage(b: DataFrame, r: DataFrame, since: DateLike) -> DataF
     )
 
 
+def with_charge(
+    usage: DataFrame, m: DataFrame, rates: Mapping[str, str] = METER_CLASS_RATES, class_col: str = "meter_class"
+) -> DataFrame:
+    """All (meter_id, kwh) rows with their charge, and whether their meter's class has a rate."""
+    classes = broadcast_if_small(m.select("meter_id", class_col))
+    rate = lookup(class_col, rates, "decimal(8,4)")
+    return usage.join(classes, "meter_id", "left").select(
+        "meter_id", "kwh", class_col, (F.col("kwh") * rate).alias("charge"), rate.isNotNull().alias("rated")
+    )
+
+
 def meter_charge(
     usage: DataFrame, m: DataFrame, rates: Mapping[str, str] = METER_CLASS_RATES, class_col: str = "meter_class"
 ) -> tuple[DataFrame, DataFrame]:
     """Charge of each (meter_id, kwh) row by its meter's class, and the rows of
     unknown class, which are set aside."""
-    classes = broadcast_if_small(m.select("meter_id", class_col))
-    priced = usage.join(classes, "meter_id", "left").withColumn(
-        "_rate", lookup(class_col, rates, "decimal(8,4)")
-    )
-    charged = priced.filter(F.col("_rate").isNotNull()).select(
-        "meter_id", (F.col("kwh") * F.col("_rate")).alias("charge")
-    )
-    return charged, priced.filter(F.col("_rate").isNull()).select("meter_id", "kwh", class_col)
+    both = with_charge(usage, m, rates, class_col)
+    return both.filter("rated").select("meter_id", "charge"), both.filter("NOT rated").select("meter_id", "kwh", class_col)
 
 
 def estimated_bill(r: DataFrame, c: DataFrame, t: DataFrame, b: DataFrame, month: DateLike) -> DataFrame:

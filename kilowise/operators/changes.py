@@ -20,7 +20,7 @@ def upsert_readings(
     updates: DataFrame,
     keys: Sequence[str] = READING_KEYS,
     updated_cols: Sequence[str] = UPDATED_ON_CONFLICT,
-    order_col: str = "offset",
+    order_col: str = "arrival",
 ) -> DataFrame:
     """Target rows after applying the updates in order.
 
@@ -60,8 +60,10 @@ def unknown_customers(s: DataFrame, c: DataFrame) -> DataFrame:
     return counted.join(c.select("customer_id"), "customer_id", "left_anti")
 
 
-def customer_audit_log(old: DataFrame, new: DataFrame, key: str = "customer_id") -> DataFrame:
-    """Inserted, deleted and changed rows between two snapshots, with JSON images."""
+def customer_audit_log(
+    old: DataFrame, new: DataFrame, changed_at: DateLike, key: str = "customer_id"
+) -> DataFrame:
+    """Inserted, deleted and changed rows between two snapshots, with JSON images and the given day."""
     columns = [c for c in new.columns if c in old.columns]
     image = {"ignoreNullFields": "false"}
 
@@ -75,13 +77,18 @@ def customer_audit_log(old: DataFrame, new: DataFrame, key: str = "customer_id")
         F.when(F.col("old_key").isNull(), "INSERT").when(F.col("new_key").isNull(), "DELETE").otherwise("UPDATE")
     )
     return joined.filter(~F.col("old_value").eqNullSafe(F.col("new_value"))).select(
-        F.coalesce("new_key", "old_key").alias(key), action.alias("action_type"), "old_value", "new_value"
-    )
-
-
-def update_customer_email(c: DataFrame, updates: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Customers with new e-mails, and the updates that match no customer."""
-    new = updates.select("customer_id", F.col("email").alias("_email"))
+        F.coalesce("new_key", "old_key").alias(key), action.alias("action_type"), "old_value", "new_value",
+        F.lit(to_date_value(changed_at)).alias("changed_at"),
+    )
+
+
+def update_customer_email(
+    c: DataFrame, updates: DataFrame, order_col: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Customers with new e-mails, and the updates that match no customer. Of several updates of a
+    customer the last by ``order_col`` counts (by e-mail without one)."""
+    at = F.struct(F.col(order_col), F.col("email")) if order_col else F.col("email")
+    new = updates.groupBy("customer_id").agg(F.max_by("email", at).alias("_email"))
     changed = (
         c.join(new, "customer_id", "left")
         .withColumn("email", F.coalesce("_email", "email"))

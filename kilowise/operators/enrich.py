@@ -88,14 +88,20 @@ def quality_flag(s: DataFrame) -> DataFrame:
     )
 
 
-def required_fields(
-    s: DataFrame, columns: Sequence[str] = ("meter_id", "customer_id", "timestamp")
-) -> tuple[DataFrame, DataFrame]:
-    """Rows that have every required field, and the rest for quarantine."""
+def is_complete(columns: Sequence[str] = ("meter_id", "customer_id", "timestamp")) -> Column:
+    """Whether a row has every required field."""
     complete = F.lit(True)
     for name in columns:
         complete = complete & F.col(name).isNotNull()
-    return s.filter(complete), s.filter(~complete)
+    return complete
+
+
+def required_fields(
+    s: DataFrame, columns: Sequence[str] = ("meter_id", "customer_id", "timestamp")
+) -> tuple[DataFrame, DataFrame]:
+    """Rows that have every required field, and the rest for quarantine. For both in one pass, mark the
+    rows with ``is_complete`` instead."""
+    return s.filter(is_complete(columns)), s.filter(~is_complete(columns))
 
 
 def tag_source(s: DataFrame, name: str = "kafka_stream") -> DataFrame:
@@ -126,11 +132,16 @@ def high_usage_alert(r: DataFrame, limit: float = 1000) -> DataFrame:
     return r.filter(F.col("kwh_usage") > limit)
 
 
-def positive_reading_cost(s: DataFrame, rate: str = "0.28") -> tuple[DataFrame, DataFrame]:
-    """Priced rows with positive usage, and the rejected rows; missing usage is 0."""
+def positive_cost(s: DataFrame, rate: str = "0.28") -> DataFrame:
+    """All rows with their cost, NULL where the usage is not positive (missing usage is 0)."""
     positive = F.coalesce("kwh_usage", F.lit(0)) > 0
-    priced = s.filter(positive).withColumn("cost", F.col("kwh_usage").cast("double") * F.lit(rate).cast("double"))
-    return priced, s.filter(~positive)
+    return s.withColumn("cost", F.when(positive, F.col("kwh_usage").cast("double") * F.lit(rate).cast("double")))
+
+
+def positive_reading_cost(s: DataFrame, rate: str = "0.28") -> tuple[DataFrame, DataFrame]:
+    """Priced rows with positive usage, and the rejected rows, to be written apart."""
+    both = positive_cost(s, rate)
+    return both.filter("cost IS NOT NULL"), both.filter("cost IS NULL").drop("cost")
 
 
 def clean_readings(

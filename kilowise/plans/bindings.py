@@ -12,9 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kilowise.plans.sizing import broadcast_if_small
-from kilowise.plans.storage import work_dir
+from kilowise.plans import storage
 from kilowise.sources.readers import topic_messages
 
+TOPIC_PARTITIONS = 4
+
 # The tariff table.
 # code, name, peak rate, off-peak rate, daily charge, discount %, current
 TARIFFS = (
@@ -181,10 +183,14 @@ class Tables:
             F.col("customer_id").cast("string").alias("customer_id"),
             "region",
         ]
-        return topic_messages(self.stream_readings, "smart_meter_data", "event_id", "reading_ts", fields)
+        return topic_messages(self.stream_readings, "smart_meter_data", "event_id", "reading_ts", fields, TOPIC_PARTITIONS)
 
     def stored_topic(self) -> str:
-        """The messages as files in a fresh folder, for a file stream."""
-        path = work_dir(self.spark, "topic")
-        self.topic.write.parquet(path)
-        return path
+        """The messages as files, for a file stream; written once per application and folder."""
+        key = (self.spark.sparkContext.applicationId, self.folder)
+        if key not in storage._TOPICS:
+            path = storage.work_dir(self.spark, "topic")
+            # Several files in the order of the event times, as a topic is filled.
+            self.topic.repartitionByRange("timestamp", "offset").write.parquet(path)
+            storage._TOPICS[key] = path
+        return storage._TOPICS[key]

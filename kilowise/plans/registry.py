@@ -8,13 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kilowise.operators import billing, changes, customers, enrich, fleet, profiling, quality, usage, weather
 from kilowise.plans import sql_surface, storage
-from kilowise.plans.bindings import Tables
+from kilowise.plans.bindings import TOPIC_PARTITIONS, Tables
 from kilowise.schemas import STREAM_RECORD
 from kilowise.session import tune
 from kilowise.sources import insert_dump, readers
@@ -23,10 +23,8 @@ from kilowise.streaming import alerts, etl, progress, sinks, summary
 BILLING_MONTH = "1998-06-01"
 AS_OF = "2001-11-10"
 ONCE = {"availableNow": True}
-# Bytes of one micro-batch when a handler keeps batches of a long history. Event-time
-# jobs read the history as one batch: files come in no order of time, and a watermark
-# that moves between batches would drop rows.
-BATCH_SIZE = {"maxBytesPerTrigger": str(200 << 30)}
+# Bound of one micro-batch; results do not depend on it.
+BATCH_SIZE = {"maxBytesPerTrigger": str(8 << 30)}
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -63,7 +61,7 @@ def query(job: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
 def kafka_topic_table(x: Tables) -> DataFrame:
     table = readers.kafka_topic_table(x.topic, STREAM_RECORD)
     kwh = F.col("kwh_usage").cast("decimal(18,6)")
-    return table.groupBy("region").agg(
+    return table.groupBy("region", F.col("_partition_id").alias("partition")).agg(
         F.try_divide(F.sum(kwh).cast("double"), F.count(kwh)).alias("avg_kwh"),
         F.min("_offset").alias("first_offset"),
         F.max("_offset").alias("last_offset"),
@@ -73,7 +71,12 @@ def kafka_topic_table(x: Tables) -> DataFrame:
 @query
 def read_topic_batch(x: Tables) -> DataFrame:
     raw = readers.read_topic(x.spark, "parquet", streaming=False, path=x.stored_topic())
-    return raw.select("topic", "partition", "offset", "timestamp")
+    body = F.col("value").cast("string")
+    return raw.select(
+        "topic", "partition", "offset", "timestamp", F.col("key").isNull().alias("no_key"),
+        *(F.get_json_object(body, f"$.{c}").alias(c) for c in ("meter_id", "customer_id", "region", "voltage")),
+        F.get_json_object(body, "$.kwh_usage").cast("double").alias("kwh_usage"),
+    )
 
 
 @query
@@ -96,9 +99,7 @@ def read_text_lines(x: Tables) -> DataFrame:
     path = storage.work_dir(x.spark, "messages")
     x.topic.select(F.col("value").cast("string")).write.text(path)
     lines = readers.read_text_lines(x.spark, path).withColumn("record", F.from_json("value", STREAM_RECORD.toDDL()))
-    return lines.groupBy(F.col("record.region").alias("region")).agg(
-        F.count(F.lit(1)).alias("n_lines")
-    )
+    return lines.select("record.*")
 
 
 @query
@@ -155,7 +156,7 @@ def stream_archive(x: Tables) -> DataFrame:
         sinks.archive_batch(batch, batch_id, paths.archive)
 
     sinks.foreach_batch(parsed, archive, paths.checkpoint, ONCE).awaitTermination()
-    return sinks.read_archive(x.spark, paths.archive)
+    return sinks.read_archive(x.spark, paths.archive).drop("batch_id")
 
 
 @query
@@ -163,7 +164,7 @@ def append_lake_stream(x: Tables) -> DataFrame:
     raw = readers.read_topic(x.spark, "parquet", BATCH_SIZE, path=x.stored_topic())
     out = storage.work_dir(x.spark, "lake")
     sinks.append_lake_stream(enrich.parse_json(raw), out, "parquet", trigger=ONCE).awaitTermination()
-    return x.spark.read.parquet(out).groupBy("region").agg(F.count(F.lit(1)).alias("n_rows"))
+    return x.spark.read.parquet(out)
 
 
 def _hourly_keyed(x: Tables) -> DataFrame:
@@ -196,14 +197,13 @@ def register_new_meters(x: Tables) -> DataFrame:
 
 @query
 def drop_unknown_customers(x: Tables) -> DataFrame:
-    known = x.customers.filter("tariff_type <> 'FURNITURE'")
-    return changes.drop_unknown_customers(x.stream_readings, known).select("event_id", "customer_id", "kwh_usage")
+    """Meters, of which some name a customer that does not exist."""
+    return changes.drop_unknown_customers(x.meters, x.customers).select("meter_id", "customer_id", "meter_type")
 
 
 @query
 def unknown_customers(x: Tables) -> DataFrame:
-    known = x.customers.filter("tariff_type <> 'FURNITURE'")
-    return changes.unknown_customers(x.stream_readings, known)
+    return changes.unknown_customers(x.meters, x.customers)
 
 
 @query
@@ -245,9 +245,8 @@ def required_fields(x: Tables) -> DataFrame:
     """Kept and rejected rows when readings of inactive meters lack their meter."""
     active = x.meters.filter("is_active").select("meter_id", F.lit(True).alias("known"))
     rows = x.stream_readings.join(active, "meter_id", "left").withColumn("meter_id", F.expr("if(known, meter_id, NULL)"))
-    kept, rejected = enrich.required_fields(rows, ("meter_id", "customer_id", "reading_ts"))
-    parts = kept.withColumn("kept", F.lit(True)).unionByName(rejected.withColumn("kept", F.lit(False)))
-    return parts.groupBy("region", "kept").agg(F.count(F.lit(1)).alias("n_rows"))
+    complete = enrich.is_complete(("meter_id", "customer_id", "reading_ts"))
+    return rows.select("event_id", "region", complete.alias("kept"))
 
 
 @query
@@ -263,10 +262,7 @@ def high_usage_alert(x: Tables) -> DataFrame:
 @query
 def positive_reading_cost(x: Tables) -> DataFrame:
     shifted = x.stream_readings.withColumn("kwh_usage", F.col("kwh_usage") - 5)
-    priced, rejected = enrich.positive_reading_cost(shifted)
-    return priced.select("event_id", "kwh_usage", "cost").unionByName(
-        rejected.select("event_id", "kwh_usage", F.lit(None).cast("double").alias("cost"))
-    )
+    return enrich.positive_cost(shifted).select("event_id", "kwh_usage", "cost")
 
 
 @query
@@ -511,10 +507,7 @@ def incremental_bill_usage(x: Tables) -> DataFrame:
 @query
 def meter_charge(x: Tables) -> DataFrame:
     used = x.readings.select("meter_id", F.col("kwh_usage").alias("kwh"))
-    charged, unrated = billing.meter_charge(used, x.meters)
-    rows = charged.withColumn("rated", F.lit(True)).unionByName(
-        unrated.select("meter_id", F.lit(None).cast("decimal(20,8)").alias("charge"), F.lit(False).alias("rated"))
-    )
+    rows = billing.with_charge(used, x.meters)
     return rows.groupBy("meter_id", "rated").agg(F.sum("charge").alias("charge"), F.count(F.lit(1)).alias("n_rows"))
 
 
@@ -665,22 +658,25 @@ def _changed_customers(x: Tables) -> DataFrame:
 
 @query
 def customer_audit_log(x: Tables) -> DataFrame:
-    return changes.customer_audit_log(x.customers, _changed_customers(x))
+    return changes.customer_audit_log(x.customers, _changed_customers(x), AS_OF)
 
 
 def _email_updates(x: Tables) -> DataFrame:
-    return x.raw("supplier").selectExpr("s_suppkey * 20 AS customer_id", "concat(s_name, '@mail.test') AS email")
+    """Two updates for each second customer; the later one counts."""
+    return x.raw("supplier").selectExpr(
+        "CAST(floor(s_suppkey / 2) * 40 AS BIGINT) AS customer_id", "concat(s_name, '@mail.test') AS email", "-s_suppkey AS number"
+    )
 
 
 @query
 def update_customer_email(x: Tables) -> DataFrame:
-    updated, _ = changes.update_customer_email(x.customers, _email_updates(x))
+    updated, _ = changes.update_customer_email(x.customers, _email_updates(x), "number")
     return updated
 
 
 @query
 def update_customer_email_unmatched(x: Tables) -> DataFrame:
-    _, unmatched = changes.update_customer_email(x.customers, _email_updates(x))
+    _, unmatched = changes.update_customer_email(x.customers, _email_updates(x), "number")
     return unmatched
 
 
@@ -714,12 +710,13 @@ def check_unique_meter_ts(x: Tables) -> DataFrame:
 
 @query
 def check_foreign_keys(x: Tables) -> DataFrame:
-    tariffed = x.customers.filter("tariff_type <> 'FURNITURE'")
     return quality.check_foreign_keys(
         [
-            (x.readings, "customer_id", tariffed, "customer_id", "readings_customer"),
-            (x.readings, "meter_id", x.meters.filter("is_active"), "meter_id", "readings_meter"),
-            (x.bills, "customer_id", tariffed, "customer_id", "billing_customer"),
+            (x.readings, "customer_id", x.customers, "customer_id", "readings_customer"),
+            (x.readings, "meter_id", x.meters, "meter_id", "readings_meter"),
+            (x.bills, "customer_id", x.customers, "customer_id", "billing_customer"),
+            (x.meters, "customer_id", x.customers, "customer_id", "meters_customer"),
+            (x.customers, "tariff_type", x.tariffs, "tariff_code", "customers_tariff"),
             (x.weather, "region", x.customers.select("region").distinct(), "region", "weather_region"),
         ]
     )
@@ -738,7 +735,7 @@ def stream_etl_store(x: Tables) -> DataFrame:
     """The readings store after the streaming load of all messages."""
     paths, queries = _run_etl(x)
     etl.await_all(queries)
-    return x.spark.read.parquet(paths.readings).select(
+    return sinks.read_store(x.spark, paths.readings).select(
         "meter_id", "timestamp", "kwh_usage", "voltage", "customer_id", "region", "hour_of_day", "is_peak",
         "is_weekend", "date", "data_quality_flag", "source_system",
     )
@@ -756,23 +753,25 @@ def _run_etl(x: Tables):
 
 @query
 def stream_etl_archive(x: Tables) -> DataFrame:
-    """The lake archive of the same load, and its quarantine and meter counts."""
+    """What the same load leaves beside the store: archive, quarantine, meters and dropped customers."""
     paths, queries = _run_etl(x)
     etl.await_all(queries)
 
-    def counted(name: str, df: DataFrame) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("part"), "n_rows")
+    def counted(name: str, df: DataFrame, key: str, n: Column) -> DataFrame:
+        return df.groupBy(F.col(key).cast("string").alias("key")).agg(n.alias("n_rows")).select(F.lit(name).alias("part"), "key", "n_rows")
 
+    rows = F.count(F.lit(1))
     return (
-        counted("archive", sinks.read_archive(x.spark, paths.archive))
-        .unionByName(counted("quarantine", sinks.read_archive(x.spark, paths.quarantine)))
-        .unionByName(counted("meters", x.spark.read.parquet(paths.meters)))
-        .unionByName(counted("dropped_customers", sinks.read_archive(x.spark, paths.dropped)))
+        counted("archive", sinks.read_archive(x.spark, paths.archive), "date", rows)
+        .unionByName(counted("quarantine", sinks.read_archive(x.spark, paths.quarantine), "voltage", rows))
+        .unionByName(counted("meters", x.spark.read.parquet(paths.meters), "meter_id", rows))
+        .unionByName(counted("dropped", sinks.read_archive(x.spark, paths.dropped), "customer_id", F.sum("n_rows")))
     )
 
 
 @query
 def stream_progress(x: Tables) -> DataFrame:
+    """Input rows of the whole run, over however many batches."""
     paths = etl.EtlPaths(storage.work_dir(x.spark, "progress"))
     raw = readers.read_topic(x.spark, "parquet", BATCH_SIZE, path=x.stored_topic())
 
@@ -781,28 +780,27 @@ def stream_progress(x: Tables) -> DataFrame:
 
     queries = {"archive": sinks.foreach_batch(etl.enriched_stream(raw), archive, paths.checkpoint, ONCE)}
     etl.await_all(queries)
-    return progress.stream_progress(x.spark, queries)
+    return progress.stream_progress(x.spark, queries).groupBy("query").agg(F.sum("n_input_rows").alias("n_input_rows"))
 
 
-def _typed_stream(x: Tables, options: dict[str, str] | None = None) -> DataFrame:
-    raw = readers.read_topic(x.spark, "parquet", options, path=x.stored_topic())
-    return enrich.parse_json(raw, keep=("offset",)).withColumnsRenamed(
-        {"offset": "reading_id", "timestamp": "reading_ts"}
-    )
+def _typed_stream(x: Tables) -> DataFrame:
+    raw = readers.read_topic(x.spark, "parquet", BATCH_SIZE, path=x.stored_topic())
+    numbered = raw.withColumn("reading_id", F.col("offset") * TOPIC_PARTITIONS + F.col("partition"))
+    return enrich.parse_json(numbered, keep=("reading_id",)).withColumnRenamed("timestamp", "reading_ts")
 
 
 @query
 def stream_high_usage_alerts(x: Tables) -> DataFrame:
     paths = etl.EtlPaths(storage.work_dir(x.spark, "alerts"))
-    alerts.watch_high_usage(_typed_stream(x, BATCH_SIZE), paths.alerts, paths.checkpoint, ONCE, 100).awaitTermination()
+    alerts.watch_high_usage(_typed_stream(x), paths.alerts, paths.checkpoint, ONCE, 100).awaitTermination()
     return sinks.read_archive(x.spark, paths.alerts).select("reading_id", "customer_id", "kwh_usage")
 
 
 @query
 def stream_usage_anomalies(x: Tables) -> DataFrame:
     paths = etl.EtlPaths(storage.work_dir(x.spark, "anomalies"))
-    readings = _typed_stream(x, BATCH_SIZE).withColumn("kwh_usage", F.col("kwh_usage").cast("decimal(10,4)"))
-    alerts.watch_anomalies(readings, paths.root, paths.checkpoint, ONCE).awaitTermination()
+    readings = _typed_stream(x).withColumn("kwh_usage", F.col("kwh_usage").cast("decimal(10,4)"))
+    alerts.backfill_anomalies(readings, paths.root, ONCE)
     return sinks.read_archive(x.spark, paths.anomalies).drop("batch_id")
 
 
@@ -817,22 +815,25 @@ def stream_refresh_mv(x: Tables) -> DataFrame:
         return weather.energy_weather_daily(x.readings, x.spark.read.parquet(paths.weather))
 
     sinks.refresh_on_arrival(arrivals, build, paths.view, paths.checkpoint, ONCE).awaitTermination()
-    return x.spark.read.parquet(paths.view)
+    return storage.read_published(x.spark, paths.view)
 
 
 @query
 def stream_daily_summary(x: Tables) -> DataFrame:
+    """All customer-days, open ones too."""
     readings = enrich.enrich(_typed_stream(x), ts="reading_ts")
-    out = storage.work_dir(x.spark, "daily-summary")
-    daily = summary.stream_daily_summary(readings, ts="reading_ts")
-    sinks.append_lake_stream(daily, out, "parquet", trigger=ONCE).awaitTermination()
-    return x.spark.read.parquet(out)
+    paths = etl.EtlPaths(storage.work_dir(x.spark, "daily-summary"))
+    summary.watch_daily_summary(readings, paths.root, paths.checkpoint, ONCE, ts="reading_ts").awaitTermination()
+    return summary.read_daily_summary(x.spark, paths.root)
 
 
 @query
 def stream_drop_duplicates(x: Tables) -> DataFrame:
     keyed = _typed_stream(x).withColumn("reading_hour", F.date_trunc("hour", "reading_ts"))
-    out = storage.work_dir(x.spark, "unique-readings")
-    unique = summary.drop_repeated_readings(keyed, HOUR_KEY, ts="reading_ts").select("meter_id", "reading_hour")
-    sinks.append_lake_stream(unique, out, "parquet", trigger=ONCE).awaitTermination()
-    return x.spark.read.parquet(out)
+    paths = etl.EtlPaths(storage.work_dir(x.spark, "unique-readings"))
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        sinks.append_new(batch, batch_id, paths.rows, HOUR_KEY, "reading_ts", "yyyy-MM-dd")
+
+    sinks.foreach_batch(keyed, append, paths.checkpoint, ONCE).awaitTermination()
+    return sinks.read_archive(x.spark, paths.rows).select(*HOUR_KEY)

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _LOCAL_BASE: list[str] = []
+_TOPICS: dict[tuple[str, str], str] = {}  # stored once per application and folder
 
 
 def shared_base(spark: SparkSession) -> str:
@@ -47,10 +48,57 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+    files, target = _file_system(spark, path)
+    return files.exists(target)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, target = _file_system(spark, path)
+    files.delete(target, True)
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Delete all work folders of this application; for the end of a job."""
+    _TOPICS.clear()
+    remove(spark, f"{shared_base(spark)}/{spark.sparkContext.applicationId}")
+
+
+def committed(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """Numbers, ascending, of the folders ``<prefix><number>`` below a path whose write came to its end."""
+    files, target = _file_system(spark, path)
+    if not files.exists(target):
+        return []
+    names = [x.getPath().getName() for x in files.listStatus(target) if x.isDirectory()]
+    numbers = sorted(int(n.removeprefix(prefix)) for n in names if n.startswith(prefix) and n.removeprefix(prefix).isdigit())
+    return [n for n in numbers if path_exists(spark, f"{path}/{prefix}{n}/_SUCCESS")]
+
+
+def publish(df: DataFrame, path: str, version: int | None = None, keep: int = 2) -> DataFrame:
+    """Write a new version of a table beside the last one and return it.
+
+    Readers take the newest version whose write ended, so they see the old state or the new one and a
+    lost driver leaves the old one. ``df`` may read the table. Writing a version again replaces it;
+    versions but the ``keep`` newest are deleted.
+    """
+    spark = df.sparkSession
+    if version is None:
+        version = max(committed(spark, path, "v="), default=-1) + 1
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/v={version}")
+    for old in committed(spark, path, "v=")[:-keep]:
+        remove(spark, f"{path}/v={old}")
+    return spark.read.parquet(f"{path}/v={version}")
+
+
+def read_published(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
+    """The newest version, or the newest one below ``before``; None if there is none."""
+    versions = [v for v in committed(spark, path, "v=") if before is None or v < before]
+    return spark.read.parquet(f"{path}/v={versions[-1]}") if versions else None
 
 
 def write_partitions(df: DataFrame, path: str, *columns: str, sort_by: Sequence[str] = ()) -> None:
@@ -71,6 +119,14 @@ def write_partitions(df: DataFrame, path: str, *columns: str, sort_by: Sequence[
     )
 
 
+def replace_partitions(df: DataFrame, path: str, *columns: str, sort_by: Sequence[str] = ()) -> None:
+    """Replace a whole folder by ``df``, one folder per partition value inside, as ``write_partitions`` spreads it."""
+    spread = df.hint("rebalance", *columns)
+    if sort_by:
+        spread = spread.sortWithinPartitions(*columns, *sort_by)
+    spread.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*columns).parquet(path)
+
+
 def monthly_partitions(readings: DataFrame, path: str, ts: str = "reading_ts") -> DataFrame:
     """Store readings by month, then count each month from the stored table."""
     by_month = readings.withColumn("year_month", F.date_format(ts, "yyyy-MM"))
@@ -82,10 +138,26 @@ def monthly_partitions(readings: DataFrame, path: str, ts: str = "reading_ts") -
 
 
 def reload_partition(df: DataFrame, path: str, column: str, value: object) -> None:
-    """Delete and insert: the partition holds exactly ``df`` afterwards, be it empty."""
-    df.drop(column).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
-        f"{path}/{column}={value}"
-    )
+    """Delete and insert: the partition holds exactly ``df`` afterwards, be it empty.
+
+    The new files are written aside and take the partition's place by renaming; what stood there
+    is deleted last. If a job ended between the two steps, the next call puts the old files back first.
+    """
+    spark = df.sparkSession
+    final, new, old = (f"{path}/{x}{column}={value}" for x in ("", "_new/", "_old/"))
+    files, target = _file_system(spark, final)
+    _, aside = _file_system(spark, old)
+    if files.exists(aside) and not files.exists(target):
+        files.rename(aside, target)
+    files.delete(aside, True)
+    df.drop(column).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(new)
+    if files.exists(target):
+        files.mkdirs(aside.getParent())
+        files.rename(target, aside)
+    else:
+        files.mkdirs(target.getParent())
+    files.rename(_file_system(spark, new)[1], target)
+    files.delete(aside, True)
 
 
 def read_months(
@@ -100,10 +172,6 @@ def read_months(
 
 
 def refresh_mv(build: Callable[[], DataFrame], path: str) -> DataFrame:
-    """Recompute a stored view and return the stored table.
-
-    ``build`` must not read ``path``.
-    """
-    df = build()
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    """Recompute a stored view and return the stored table. Readers of the view (``read_published``)
+    find its last complete state at any time."""
+    return publish(build(), path)

@@ -38,14 +38,17 @@ def read_topic(
     return (reader.load(path) if path else reader.load()).select(*TOPIC_COLUMNS)
 
 
-def topic_messages(s: DataFrame, topic: str, offset: str, ts: str, fields: Sequence[Column]) -> DataFrame:
-    """Rows in topic shape with a JSON body; one partition number per row."""
+def topic_messages(
+    s: DataFrame, topic: str, number: str, ts: str, fields: Sequence[Column], partitions: int = 1
+) -> DataFrame:
+    """Rows in topic shape with a JSON body, dealt to the partitions in turn by their number."""
+    place = F.col(number).cast("bigint")
     return s.select(
         F.lit(None).cast("binary").alias("key"),
         F.to_json(F.struct(*fields)).cast("binary").alias("value"),
         F.lit(topic).alias("topic"),
-        F.lit(0).alias("partition"),
-        F.col(offset).cast("bigint").alias("offset"),
+        F.pmod(place, F.lit(partitions)).cast("int").alias("partition"),
+        F.floor(place / partitions).cast("bigint").alias("offset"),
         F.col(ts).cast("timestamp").alias("timestamp"),
         F.lit(0).alias("timestampType"),
     )

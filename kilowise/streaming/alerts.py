@@ -8,8 +8,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from kilowise.operators.enrich import high_usage_alert
 from kilowise.operators.usage import flag_3sigma, usage_stats
-from kilowise.plans.storage import path_exists
+from kilowise.plans.storage import publish
 from kilowise.streaming.sinks import archive_batch, foreach_batch
+from kilowise.streaming.sums import add_batch, history
 
 
 def watch_high_usage(
@@ -29,38 +30,28 @@ def _add_up(stats: DataFrame) -> DataFrame:
     )
 
 
-def _history(spark, root: str, batch_id: int) -> DataFrame:
-    """Statistics of all batches up to this one: the newest base that was made before
-    it, and the batches since."""
-    since = -1
-    if path_exists(spark, f"{root}/base"):
-        bases = spark.read.parquet(f"{root}/base").filter(F.col("upto") < batch_id)
-        newest = bases.agg(F.max("upto")).first()[0]
-        since = -1 if newest is None else newest
-    recent = spark.read.option("basePath", f"{root}/stats").parquet(f"{root}/stats")
-    recent = recent.filter((F.col("batch_id") > since) & (F.col("batch_id") <= batch_id)).drop("batch_id")
-    if since < 0:
-        return recent
-    return recent.unionByName(bases.filter(F.col("upto") == since).drop("upto"))
+def customer_stats(spark, root: str, upto: int | None = None) -> DataFrame | None:
+    """Sums per customer over all stored batches, or those up to one."""
+    found = history(spark, root, upto)
+    return None if found is None else _add_up(found)
 
 
 def anomaly_batch(batch: DataFrame, batch_id: int, root: str, k: int = 3, compact_every: int = 100) -> None:
-    """Flag the batch's readings against their customers' history, batch included.
+    """Flag the batch's readings against their customers' history up to and with this batch.
 
-    Each batch stores only its own sums per customer; every ``compact_every`` batches
-    they are added up to a new base, so reading the history stays cheap.
+    What is flagged depends on what had arrived by then; ``backfill_anomalies`` judges a whole
+    history by its final statistics.
     """
-    if batch.isEmpty():
-        return
-    archive_batch(_add_up(usage_stats(batch)), batch_id, f"{root}/stats")
-    history = _history(batch.sparkSession, root, batch_id)
-    if batch_id and batch_id % compact_every == 0:
-        _add_up(history).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
-            f"{root}/base/upto={batch_id}"
-        )
+    add_batch(_add_up(usage_stats(batch)), batch_id, root, _add_up, compact_every)
     here = batch.select("customer_id").distinct()
-    stats = _add_up(history.join(here, "customer_id", "left_semi"))
-    archive_batch(flag_3sigma(batch, stats, k), batch_id, f"{root}/anomalies")
+    stats = history(batch.sparkSession, root, batch_id).join(here, "customer_id", "left_semi")
+    archive_batch(flag_3sigma(batch, _stored(_add_up(stats), f"{root}/current", batch_id), k), batch_id, f"{root}/anomalies")
+
+
+def _stored(stats: DataFrame, path: str, batch_id: int) -> DataFrame:
+    """The statistics as a stored table, so that the join with the readings can be split at a
+    customer with very many of them."""
+    return publish(stats, path, batch_id)
 
 
 def watch_anomalies(
@@ -70,3 +61,30 @@ def watch_anomalies(
         anomaly_batch(batch, batch_id, root, k, compact_every)
 
     return foreach_batch(readings, handle, checkpoint, trigger)
+
+
+def watch_statistics(
+    readings: DataFrame, root: str, checkpoint: str, trigger: dict, compact_every: int = 100
+) -> StreamingQuery:
+    """Only keep the sums per customer."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        add_batch(_add_up(usage_stats(batch)), batch_id, root, _add_up, compact_every)
+
+    return foreach_batch(readings, handle, checkpoint, trigger)
+
+
+def backfill_anomalies(readings: DataFrame, root: str, trigger: dict, k: int = 3) -> None:
+    """Two passes over a stored history: sums of all customers, then every reading against them.
+    The result is that of one batch job, however the stream is cut."""
+    spark = readings.sparkSession
+    watch_statistics(readings, root, f"{root}/checkpoint_sums", trigger).awaitTermination()
+    found = customer_stats(spark, root)
+    if found is None:
+        return
+    stats = publish(found, f"{root}/final")
+
+    def flag(batch: DataFrame, batch_id: int) -> None:
+        archive_batch(flag_3sigma(batch, stats, k), batch_id, f"{root}/anomalies")
+
+    foreach_batch(readings, flag, f"{root}/checkpoint_flags", trigger).awaitTermination()

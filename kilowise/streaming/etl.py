@@ -41,8 +41,10 @@ class EtlPaths:
 def enriched_stream(
     raw: DataFrame, peak_rule: str = "evening", schema: T.StructType = STREAM_RECORD
 ) -> DataFrame:
-    """Complete readings with all derived columns; ``offset`` keeps their order."""
-    return enrich(parse_json(raw, schema, keep=("offset",)), peak_rule, with_processing_time=True)
+    """Complete readings with all derived columns; ``arrival`` keeps their order. Offsets order the
+    messages of one partition only, so the broker's time comes first and the partition decides ties."""
+    placed = raw.withColumn("arrival", F.struct("timestamp", "partition", "offset"))
+    return enrich(parse_json(placed, schema, keep=("arrival",)), peak_rule, with_processing_time=True)
 
 
 def load_batch(
@@ -60,16 +62,13 @@ def load_batch(
     readings that break a constraint of the store go to quarantine, so that they
     do not hold up the batch.
     """
-    if batch.isEmpty():
-        return
     spark = batch.sparkSession
     meters = spark.read.parquet(paths.meters)
     new = register_new_meters(meters, batch, as_of)
     extra = {f.name: F.lit(None).cast(f.dataType) for f in meters.schema if f.name not in new.columns}
-    if not new.isEmpty():
-        new.withColumns(extra).select(*[F.col(f.name).cast(f.dataType) for f in meters.schema]).write.mode(
-            "append"
-        ).parquet(paths.meters)
+    new.withColumns(extra).select(*[F.col(f.name).cast(f.dataType) for f in meters.schema]).write.mode("append").parquet(
+        paths.meters
+    )
     archive_batch(unknown_customers(batch, customers), batch_id, paths.dropped)
     known = drop_unknown_customers(batch, customers)
     sound = F.coalesce(
@@ -77,7 +76,7 @@ def load_batch(
         F.lit(False),
     )
     archive_batch(known.filter(~sound), batch_id, paths.quarantine)
-    upsert_batch(known.filter(sound), paths.readings, keys, UPDATED_ON_CONFLICT, slot_format=slot_format)
+    upsert_batch(known.filter(sound), batch_id, paths.readings, keys, UPDATED_ON_CONFLICT, slot_format=slot_format)
 
 
 def run_stream_etl(
@@ -88,9 +87,13 @@ def run_stream_etl(
     peak_rule: str = "evening",
     trigger: dict = DEFAULT_TRIGGER,
     slot_format: str = HOUR_SLOTS,
+    isolated: bool = False,
 ) -> dict[str, StreamingQuery]:
-    """Start the two queries, each with its own checkpoint. The meter table must
-    exist at ``paths.meters``."""
+    """Start the load. The meter table must exist at ``paths.meters``.
+
+    One query feeds store and archive from one parsed batch; ``isolated`` starts one for each, with its
+    own checkpoint, so that a sink that is down does not hold up the other, at the price of reading twice.
+    """
     readings = enriched_stream(raw, peak_rule)
 
     def store(batch: DataFrame, batch_id: int) -> None:
@@ -99,9 +102,13 @@ def run_stream_etl(
     def archive(batch: DataFrame, batch_id: int) -> None:
         archive_batch(batch, batch_id, paths.archive)
 
+    def both(batch: DataFrame, batch_id: int) -> None:
+        archive(batch, batch_id)
+        store(batch, batch_id)
+
+    handlers = {"store": store, "archive": archive} if isolated else {"load": both}
     return {
-        "store": foreach_batch(readings, store, paths.checkpoint_store, trigger),
-        "archive": foreach_batch(readings, archive, paths.checkpoint_archive, trigger),
+        name: foreach_batch(readings, handle, f"{paths.root}/checkpoint_{name}", trigger) for name, handle in handlers.items()
     }
 
 

@@ -9,9 +9,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 
 def stream_progress(
-    spark: SparkSession, queries: Mapping[str, StreamingQuery], last: int | None = 5
+    spark: SparkSession, queries: Mapping[str, StreamingQuery], last: int | None = None
 ) -> DataFrame:
-    """Input rows of the last batches of each query; one record per batch."""
+    """Input rows of the batches of each query, one record per batch: all that Spark keeps
+    (spark.sql.streaming.numRecentProgressUpdates), or the ``last`` ones for a status view."""
     rows = [
         (name, int(p["batchId"]), int(p["numInputRows"]))
         for name, query in queries.items()

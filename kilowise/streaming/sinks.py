@@ -5,18 +5,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from kilowise.operators.changes import READING_KEYS, UPDATED_ON_CONFLICT, upsert_readings
-from kilowise.plans.storage import path_exists, refresh_mv, write_partitions
+from kilowise.plans.storage import committed, publish, read_published, refresh_mv, remove, replace_partitions
 
 
 def archive_batch(batch: DataFrame, batch_id: int, path: str) -> None:
-    """The batch as Parquet under its own ``batch_id`` folder; empty batches leave none."""
-    if batch.isEmpty():
-        return
+    """The batch as Parquet under its own ``batch_id`` folder; an empty one leaves no rows."""
     batch.write.mode("overwrite").option("partitionOverwriteMode", "static").option(
         "compression", "snappy"
     ).parquet(f"{path}/batch_id={batch_id}")
@@ -48,34 +46,80 @@ SLOT = "slot"  # partition column of the readings store
 HOUR_SLOTS = "yyyy-MM-dd-HH"
 
 
+def _live_slots(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
+    """slot, version: where the rows of each slot of the store lie."""
+    return read_published(spark, f"{path}/slots", before)
+
+
+def read_store(spark: SparkSession, path: str) -> DataFrame:
+    """The readings store in its last complete state."""
+    live = _live_slots(spark, path)
+    if live is None:
+        raise FileNotFoundError(f"no readings store at {path}")
+    rows = spark.read.option("basePath", f"{path}/data").parquet(f"{path}/data")
+    rows = rows.withColumns({SLOT: F.col(SLOT).cast("string"), "version": F.col("version").cast("bigint")})
+    return rows.join(live, [SLOT, "version"], "left_semi").drop("version")
+
+
 def upsert_batch(
     batch: DataFrame,
+    batch_id: int,
     path: str,
     keys: Sequence[str] = READING_KEYS,
     updated_cols: Sequence[str] = UPDATED_ON_CONFLICT,
-    order_col: str = "offset",
+    order_col: str = "arrival",
     ts: str = "timestamp",
     slot_format: str = HOUR_SLOTS,
 ) -> None:
     """Merge a batch into a Parquet store, rewriting only the time slots it touches.
 
-    The key must determine the slot. Applying the same batch again changes nothing.
-    Hour slots keep the rewrite of a short micro-batch small; day slots suit backfills.
+    The new state of a slot is written beside the old one, under the number of the batch; a small
+    table of slots and versions then makes all of them visible at once. A driver that is lost before leaves
+    the old state, and a replay starts from it again. What the batch before replaced is deleted.
+    The key must determine the slot. Hour slots keep the rewrite of a short micro-batch small; day
+    slots suit backfills.
     """
     spark = batch.sparkSession
     updates = batch.withColumn(SLOT, F.date_format(ts, slot_format))
     columns = [c for c in updates.columns if c != order_col]
-    # One value per hour or day of the data, whatever the number of rows.
-    slots = [row[0] for row in updates.select(SLOT).distinct().collect()]
-    if not slots:
-        return
-    if path_exists(spark, path):
-        stored = spark.read.schema(updates.select(*columns).schema).parquet(path)
-        target = stored.filter(F.col(SLOT).isin(slots)).select(*columns)
-    else:
-        target = updates.select(*columns).limit(0)
+    touched = updates.select(SLOT).distinct()
+    live = _live_slots(spark, path, batch_id)
+    target = updates.select(*columns).limit(0)
+    if live is not None:
+        schema = updates.select(*columns).schema.add("version", "long")
+        stored = spark.read.schema(schema).option("basePath", f"{path}/data").parquet(f"{path}/data")
+        span = touched.agg(F.min(SLOT), F.max(SLOT)).first()  # prunes folders; the join below is exact
+        stored = stored.filter(F.col(SLOT).between(*span)) if span[0] is not None else stored.limit(0)
+        here = live.join(touched, SLOT, "left_semi")
+        target = stored.join(here, [SLOT, "version"], "left_semi").select(*columns)
     merged = upsert_readings(target, updates, keys, updated_cols, order_col)
-    write_partitions(merged, path, SLOT, sort_by=keys)
+    replace_partitions(merged, f"{path}/data/version={batch_id}", SLOT, sort_by=keys)
+    state = touched.withColumn("version", F.lit(batch_id).cast("bigint"))
+    if live is not None:
+        state = state.unionByName(live.join(touched, SLOT, "left_anti"))
+    publish(state, f"{path}/slots", batch_id, keep=3)
+    older = [v for v in committed(spark, f"{path}/slots", "v=") if v < batch_id][:-1]
+    if older and live is not None:
+        replaced = spark.read.parquet(f"{path}/slots/v={older[-1]}").join(live, [SLOT, "version"], "left_anti")
+        for row in replaced.toLocalIterator():
+            remove(spark, f"{path}/data/version={row['version']}/{SLOT}={row[SLOT]}")
+
+
+def append_new(batch: DataFrame, batch_id: int, path: str, keys: Sequence[str], ts: str, slot_format: str = HOUR_SLOTS) -> None:
+    """Append the rows whose key is not stored yet, one per key, under the number of the batch.
+
+    Keys are looked up in the stored rows of the time slots that the batch touches, so the answer does
+    not depend on how late a row comes or how the stream is cut. The key must determine the slot.
+    """
+    spark = batch.sparkSession
+    rows = batch.withColumn(SLOT, F.date_format(ts, slot_format)).dropDuplicates([*keys])
+    earlier = [b for b in committed(spark, path, "batch_id=") if b < batch_id]
+    if earlier:
+        stored = spark.read.schema(rows.schema).option("basePath", path).parquet(*(f"{path}/batch_id={b}" for b in earlier))
+        span = rows.agg(F.min(SLOT), F.max(SLOT)).first()
+        if span[0] is not None:
+            rows = rows.join(stored.filter(F.col(SLOT).between(*span)).select(*keys), [*keys], "left_anti")
+    replace_partitions(rows, f"{path}/batch_id={batch_id}", SLOT)
 
 
 def foreach_batch(

@@ -1,15 +1,62 @@
-"""Event-time jobs. Readings may come up to a day late; later ones are dropped."""
+"""Jobs over event time.
+
+``watch_daily_summary`` counts every reading whenever it comes and shows open days too. The two
+watermark jobs keep their state in bounds for endless streams: a reading may come ``LATENESS`` late,
+later ones are left out, so a history is to be read in event-time order or by the batch jobs.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from kilowise.streaming.sinks import foreach_batch
+from kilowise.streaming.sums import add_batch, history
 
 LATENESS = "1 day"
 
 
+_KEYS = ("window_start", "customer_id")
+
+
+def _day_sums(enriched: DataFrame, ts: str) -> DataFrame:
+    voltage = F.col("voltage")
+    return enriched.groupBy(F.date_trunc("day", ts).alias("window_start"), "customer_id").agg(
+        F.sum(F.col("kwh_usage").cast("decimal(12,4)")).cast("decimal(30,4)").alias("total_kwh"),
+        F.sum(voltage).cast("bigint").alias("voltages"),
+        F.count(voltage).alias("n_voltages"),
+        F.sum(F.col("cost").cast("decimal(12,4)")).cast("decimal(30,4)").alias("total_cost"),
+    )
+
+
+def _add_up(sums: DataFrame) -> DataFrame:
+    totals = [F.sum(c).cast(sums.schema[c].dataType).alias(c) for c in ("total_kwh", "voltages", "n_voltages", "total_cost")]
+    return sums.groupBy(*_KEYS).agg(*totals)
+
+
+def watch_daily_summary(
+    enriched: DataFrame, root: str, checkpoint: str, trigger: dict, ts: str = "timestamp", compact_every: int = 100
+) -> StreamingQuery:
+    """Keep the sums per customer and day of all readings that have arrived, however late."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        add_batch(_day_sums(batch, ts), batch_id, root, _add_up, compact_every)
+
+    return foreach_batch(enriched, handle, checkpoint, trigger)
+
+
+def read_daily_summary(spark: SparkSession, root: str) -> DataFrame:
+    """Daily customer summary of everything stored so far, open days included."""
+    found = history(spark, root)
+    if found is None:
+        raise FileNotFoundError(f"no daily sums at {root}")
+    mean = F.try_divide(F.col("voltages").cast("double"), F.col("n_voltages")).alias("avg_voltage")
+    return _add_up(found).select(*_KEYS, "total_kwh", mean, "total_cost")
+
+
 def stream_daily_summary(
     enriched: DataFrame, delay: str = LATENESS, window: str = "1 day", ts: str = "timestamp"
 ) -> DataFrame:

@@ -14,7 +14,7 @@ def test_upsert_keeps_first_and_updates_last(spark):
     updates = spark.createDataFrame(
         [("m", 1, 2.0, 240, 0.2, "VALID", "c-new", "r-new", 10), ("m", 1, 3.0, 0, 0.3, "INVALID", "c-x", "r-x", 11),
          ("n", 1, 7.0, 230, 0.7, "VALID", "first", "r1", 20), ("n", 1, 8.0, 240, 0.8, "VALID", "second", "r2", 21)],
-        SCHEMA + ", offset long",
+        SCHEMA + ", arrival long",
     )
     got = {(r["meter_id"], r["at"]): tuple(r)[2:] for r in changes.upsert_readings(target, updates, KEY).collect()}
     want = {
@@ -29,7 +29,7 @@ def test_upsert_keeps_first_and_updates_last(spark):
 
 def test_upsert_takes_a_null_update(spark):
     target = spark.createDataFrame([("m", 1, 1.0, 230, 0.1, "VALID", "c", "r")], SCHEMA)
-    updates = spark.createDataFrame([("m", 1, None, None, None, "INVALID", "c", "r", 1)], SCHEMA + ", offset long")
+    updates = spark.createDataFrame([("m", 1, None, None, None, "INVALID", "c", "r", 1)], SCHEMA + ", arrival long")
     row = changes.upsert_readings(target, updates, KEY).first()
     assert row["kwh_usage"] is None and row["data_quality_flag"] == "INVALID" and row["customer_id"] == "c"
 
@@ -46,8 +46,9 @@ def test_new_meters_and_customers(spark):
 def test_audit_log(spark):
     old = spark.createDataFrame([(1, "a"), (2, None), (3, "c")], "customer_id int, email string")
     new = spark.createDataFrame([(1, "a"), (2, "b"), (4, "d")], "customer_id int, email string")
-    rows = {r["customer_id"]: r for r in changes.customer_audit_log(old, new).collect()}
+    rows = {r["customer_id"]: r for r in changes.customer_audit_log(old, new, "2024-02-03").collect()}
     assert {k: r["action_type"] for k, r in rows.items()} == {2: "UPDATE", 3: "DELETE", 4: "INSERT"}
+    assert {r["changed_at"] for r in rows.values()} == {dt.date(2024, 2, 3)}
     assert json.loads(rows[2]["old_value"]) == {"customer_id": 2, "email": None} and rows[3]["new_value"] is None
 
 
@@ -57,3 +58,10 @@ def test_email_update(spark):
     updated, unmatched = changes.update_customer_email(c, u)
     assert {tuple(r) for r in updated.collect()} == {(1, "a"), (2, "new")}
     assert [tuple(r) for r in unmatched.collect()] == [(9, "lost")]
+
+
+def test_last_email_update_of_a_customer_counts(spark):
+    c = spark.createDataFrame([(1, "a"), (2, "b")], "customer_id int, email string")
+    u = spark.createDataFrame([(2, "second", 5), (2, "first", 4), (2, "zero", None)], "customer_id int, email string, n int")
+    updated, _ = changes.update_customer_email(c, u, "n")
+    assert sorted(tuple(r) for r in updated.collect()) == [(1, "a"), (2, "second")]
