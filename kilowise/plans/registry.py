@@ -539,16 +539,50 @@ def billing_dashboard_dedup(x: Tables) -> DataFrame:
 @query
 def sql_monthly_billing(x: Tables) -> DataFrame:
     """The same bills by a call of the SQL table function."""
-    sql_surface.create_views(x)
-    sql_surface.create_functions(x.spark)
-    return x.spark.sql(f"SELECT * FROM calculate_monthly_billing(DATE '{BILLING_MONTH}')")
+    return sql_surface.bound(x).sql(f"SELECT * FROM calculate_monthly_billing(DATE '{BILLING_MONTH}')")
 
 
 @query
 def sql_meter_health(x: Tables) -> DataFrame:
-    sql_surface.create_views(x)
-    sql_surface.create_functions(x.spark)
-    return x.spark.sql(f"SELECT * FROM check_meter_health(DATE '{AS_OF}')")
+    return sql_surface.bound(x).sql(f"SELECT * FROM check_meter_health(DATE '{AS_OF}')")
+
+
+@query
+def sql_estimated_bill(x: Tables) -> DataFrame:
+    return sql_surface.bound(x).sql(
+        f"SELECT customer_id, calculate_estimated_bill(customer_id, DATE '{BILLING_MONTH}') AS estimated_bill FROM dim_customer"
+    )
+
+
+@query
+def sql_calculate_billing(x: Tables) -> DataFrame:
+    return sql_surface.bound(x).sql(f"SELECT * FROM calculate_billing(NULL, DATE '{BILLING_MONTH}')")
+
+
+@query
+def sql_tariff_migration(x: Tables) -> DataFrame:
+    return sql_surface.bound(x).sql("SELECT * FROM analyze_tariff_migration(DATE '1997-01-01', DATE '1998-12-31')")
+
+
+@query
+def sql_customers_by_region(x: Tables) -> DataFrame:
+    return sql_surface.bound(x).sql("SELECT * FROM get_customers_by_region('EUROPE')")
+
+
+@query
+def sql_mask_email(x: Tables) -> DataFrame:
+    return sql_surface.bound(x).sql("SELECT customer_id, mask_email(email) AS email FROM dim_customer")
+
+
+@query
+def sql_calculate_charge(x: Tables) -> DataFrame:
+    return sql_surface.bound(x).sql(
+        """
+        SELECT meter_id, calculate_charge(meter_class, kwh) AS charge
+        FROM (SELECT meter_id, CAST(sum(kwh_usage) AS DECIMAL(20,4)) AS kwh FROM fact_meter_readings GROUP BY meter_id)
+        JOIN dim_meter USING (meter_id) WHERE meter_class <> 'Unrated'
+        """
+    )
 
 
 # Weather, fleet and customers
