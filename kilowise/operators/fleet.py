@@ -10,7 +10,7 @@ from kilowise.plans.sizing import broadcast_if_small
 from kilowise.plans.storage import materialize
 
 
-def meter_hierarchy(m: DataFrame, max_depth: int = 1_000_000) -> DataFrame:
+def meter_hierarchy(m: DataFrame) -> DataFrame:
     """Depth of every meter below a root (a meter without parent).
 
     Each round doubles the distance a meter looks up the tree, so a tree of depth d
@@ -24,8 +24,8 @@ def meter_hierarchy(m: DataFrame, max_depth: int = 1_000_000) -> DataFrame:
         F.col("parent_meter_id").isNotNull().cast("bigint").alias("depth"),
     )
     state = materialize(state, "meter-tree")
-    reach, open_rows = 1, state.filter("jump IS NOT NULL").count()
-    while open_rows and reach <= max_depth:
+    open_rows = state.filter("jump IS NOT NULL").count()
+    while open_rows:
         up = state.select(
             F.col("meter_id").alias("jump"), F.col("jump").alias("_jump"), F.col("depth").alias("_depth")
         )
@@ -40,12 +40,12 @@ def meter_hierarchy(m: DataFrame, max_depth: int = 1_000_000) -> DataFrame:
         left = state.filter("jump IS NOT NULL").count()
         if left == open_rows:
             break  # nothing moved to a root or fell off: only circles remain
-        reach, open_rows = reach * 2, left
+        open_rows = left
     return state.filter("jump IS NULL").select("meter_id", "depth")
 
 
-def meter_hierarchy_count(m: DataFrame, max_depth: int = 1_000_000) -> DataFrame:
-    return meter_hierarchy(m, max_depth).agg(F.count(F.lit(1)).alias("n_meters"))
+def meter_hierarchy_count(m: DataFrame) -> DataFrame:
+    return meter_hierarchy(m).agg(F.count(F.lit(1)).alias("n_meters"))
 
 
 def meter_health(m: DataFrame, r: DataFrame, as_of: DateLike) -> DataFrame:
@@ -110,12 +110,18 @@ def meter_type_benchmark(r: DataFrame, m: DataFrame) -> DataFrame:
             mean_of(F.sum("s_pf"), F.sum("n_pf")).alias("avg_power_factor"),
         )
     )
-    ids = (
+    # Distinct readings of each type, and of all from what is left of them.
+    typed = (
         r.select("meter_id", "reading_id")
         .join(broadcast_if_small(m.select("meter_id", "meter_type")), "meter_id")
-        .rollup("meter_type")
-        .agg(total, F.count_distinct("reading_id").alias("readings_count"))
+        .filter("reading_id IS NOT NULL")
+        .select("meter_type", "reading_id")
+        .distinct()
     )
+    counted = F.count(F.lit(1)).alias("readings_count")
+    by_type = typed.groupBy("meter_type").agg(counted).withColumn("_total", F.lit(0))
+    of_all = typed.select("reading_id").distinct().agg(counted)
+    ids = by_type.unionByName(of_all.withColumns({"meter_type": F.lit(None).cast("string"), "_total": F.lit(1)}))
     same = stats["meter_type"].eqNullSafe(ids["meter_type"]) & (stats["_total"] == ids["_total"])
     return (
         stats.join(ids, same)

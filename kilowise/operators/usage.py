@@ -69,14 +69,15 @@ def monthly_running_total_rank(r: DataFrame) -> DataFrame:
 
 def usage_vs_regional_avg(r: DataFrame) -> DataFrame:
     """A region-day may hold every customer, so its mean is aggregated and joined
-    back instead of being a window over the group."""
+    back instead of being a window over the group. One row per region and day is as many as the
+    calendar has: broadcast, so that the customer-days do not move for the join."""
     daily = r.groupBy("customer_id", "region", day_of("reading_ts").alias("day")).agg(
         F.sum("kwh_usage").alias("daily_usage")
     )
     regional = daily.groupBy("region", "day").agg(
         mean_of(F.sum("daily_usage"), F.count("daily_usage")).alias("regional_avg")
     )
-    return daily.join(regional, ["region", "day"]).select(
+    return daily.join(F.broadcast(regional), ["region", "day"]).select(
         "customer_id",
         "region",
         "day",
@@ -230,7 +231,8 @@ def customer_share_of_region(r: DataFrame) -> DataFrame:
     usage = r.groupBy("customer_id", "region").agg(F.sum("kwh_usage").alias("customer_usage"))
     regions = usage.groupBy("region").agg(F.sum("customer_usage").alias("_region"))
     share = F.try_divide(F.col("customer_usage").cast("double"), F.col("_region").cast("double")) * 100
-    return usage.join(regions, "region").select(
+    # One row per region.
+    return usage.join(F.broadcast(regions), "region").select(
         "customer_id", "region", "customer_usage", share.alias("percent_of_region")
     )
 
@@ -364,18 +366,16 @@ def as_json_rows(df: DataFrame, name: str = "row") -> DataFrame:
 def missing_days(r: DataFrame, m: DataFrame) -> DataFrame:
     """Days without a reading between a meter's first and last day.
 
-    Each meter keeps the set of its days (bounded by the calendar, built on the map
-    side), and the gaps are the calendar minus the set: one shuffle by meter.
+    The distinct days of a meter, as many as the calendar has, are put in order; only where the
+    next one is not the day after, the days between are made.
     """
-    days = r.groupBy("meter_id").agg(F.collect_set(day_of("reading_ts")).alias("days"))
-    calendar = F.sequence(F.array_min("days"), F.array_max("days"), F.expr("interval 1 day"))
-    gaps = days.filter(F.size("days") > 0).select(
-        "meter_id", F.array_except(calendar, F.col("days")).alias("gaps")
-    )
+    days = r.select("meter_id", day_of("reading_ts").alias("day")).filter("day IS NOT NULL").distinct()
+    following = F.lead("day").over(Window.partitionBy("meter_id").orderBy("day"))
+    gaps = days.withColumn("next", following).filter(F.datediff("next", "day") > 1)
+    between = F.sequence(F.date_add("day", 1), F.date_sub("next", 1), F.expr("interval 1 day"))
     return (
-        gaps.filter(F.size("gaps") > 0)
-        .join(m.select("meter_id", "meter_type"), "meter_id", "left")
-        .select("meter_id", F.explode("gaps").alias("missing_day"), "meter_type")
+        gaps.join(m.select("meter_id", "meter_type"), "meter_id", "left")
+        .select("meter_id", F.explode(between).alias("missing_day"), "meter_type")
         .orderBy("meter_id", "missing_day")
     )
 

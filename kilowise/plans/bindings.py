@@ -86,7 +86,7 @@ class Tables:
         # larger table, move once at most.
         orders = self.raw("orders").join(self.raw("customer"), F.col("o_custkey") == F.col("c_custkey"))
         owners = self._with_region(orders).select("o_orderkey", "o_custkey", "r_name")
-        owners = broadcast_if_small(owners, counted=self.raw("orders"))
+        owners = broadcast_if_small(owners)
         return self.raw("lineitem").join(owners, F.col("l_orderkey") == F.col("o_orderkey")).selectExpr(
             "l_orderkey * 10 + l_linenumber AS reading_id",
             "l_partkey AS meter_id",

@@ -105,11 +105,19 @@ def read_text_lines(x: Tables) -> DataFrame:
 @query
 def read_insert_dump(x: Tables) -> DataFrame:
     path = storage.work_dir(x.spark, "dump")
-    statement = F.format_string(
-        "INSERT INTO dim_customer VALUES (%d, '%s (%s, %s)', '%s', NULL);",
-        "customer_id", "office_address", "region", "tariff_type", "email",
+    # Each customer as a statement in one of four layouts, between statements of another table.
+    values = F.format_string(
+        "(%d, '%s (%s, %s)', '%s', NULL)", "customer_id", "office_address", "region", "tariff_type", "email"
     )
-    x.customers.select(statement).write.text(path)
+    layouts = F.array(
+        F.array(F.concat(F.lit("INSERT INTO dim_customer VALUES "), values, F.lit("; -- one"))),
+        F.array(F.lit("insert into public.dim_customer (customer_id, office_address, email, created_at)"), F.lit("VALUES"), F.concat(values, F.lit(";"))),
+        F.array(F.lit("INSERT INTO dim_customer"), F.concat(F.lit("VALUES "), values, F.lit(" /* (0, 'no', 'row', NULL) */;"))),
+        F.array(F.lit("INSERT INTO dim_customer"), F.lit("(customer_id, office_address, email, created_at)"), F.lit("VALUES"), F.concat(values, F.lit(","), F.lit(" -- (0)")), F.lit("-- (1, 'a')")),
+    )
+    own = F.element_at(layouts, (F.pmod("customer_id", F.lit(4)) + 1).cast("int"))
+    other = F.array(F.lit("INSERT INTO dim_other VALUES"), F.concat(values, F.lit(";")))
+    x.customers.select(F.array_join(F.concat(other, own), "\n").alias("value")).write.text(path)
     schema = T.StructType.fromDDL("customer_id BIGINT, office_address STRING, email STRING, created_at TIMESTAMP")
     return insert_dump.read_insert_dump(x.spark, path, "dim_customer", schema).select(
         "customer_id", "office_address", "email", F.col("created_at").isNull().alias("no_date")

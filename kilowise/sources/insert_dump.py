@@ -4,7 +4,9 @@ Lines are read and parsed in parallel. A line of tuples does not name its table.
 a file with one table that is no matter; in a file with several it takes the table
 of the last INSERT line before it, found inside its own split of the file or from
 the splits before. Quoted values may contain commas and parentheses and double a
-quote to escape it; one tuple stays on one line.
+quote to escape it. INSERT, column list, VALUES and tuples may stand on lines of their own;
+comments may stand behind and between them. A tuple or a comment that goes on over the end of a
+line, or any other text on a line of tuples, is an error: no row is lost in silence.
 """
 
 from __future__ import annotations
@@ -14,6 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 HEADER = r"(?i)^\s*INSERT\s+INTO\s+(?:\w+\.)?(\w+)\s*(?:\([^)]*\))?\s*(?:VALUES\s*)?"
+VALUES = r"(?i)^\s*(?:\([\w\s,]*\)\s*)?VALUES\b\s*"
+# Column names only: no number, text or keyword of a value among them.
+COLUMN_LIST = r"(?i)^\s*\((?:\s*(?!(?:NULL|TRUE|FALSE|DEFAULT)\b)[a-z_]\w*\s*,?)+\)\s*$"
+# A comment, or a quoted text that is to be left as it is.
+COMMENT = r"('(?:[^']++|'')*+')|--.*$|/\*.*?\*/"
 TUPLE = r"\(((?:[^'()]++|'(?:[^']++|'')*+')*+)\)"
 
 CSV_OPTIONS = {
@@ -41,13 +48,22 @@ def _tuples(spark: SparkSession, path: str, table: str) -> DataFrame:
         .filter("has")
         .select("file", "mixed")
     )
-    known = lines.join(files, "file")
+    known = lines.join(F.broadcast(files), "file")
     single = known.filter("NOT mixed").select("value")
     mixed = _lines_of(known.filter("mixed").drop("mixed"), wanted)
+    body = F.regexp_replace("value", COMMENT, "$1")
+    for pattern in (HEADER, VALUES, COLUMN_LIST):
+        body = F.regexp_replace(body, pattern, "")
+    # What is left of a line of tuples, or of a comment without its end.
+    rest = F.regexp_replace(F.regexp_replace("body", TUPLE, ""), r"[\s,;]+", "")
+    odd = (F.col("body").rlike(r"^\s*\(") & (rest != "")) | F.regexp_replace("body", r"'(?:[^']++|'')*+'", "").contains("/*")
+    checked = F.when(odd, F.raise_error(F.concat(F.lit("cannot read this line of an INSERT dump: "), "value"))).otherwise(
+        F.col("body")
+    )
     return (
         single.unionByName(mixed)
-        .filter(~F.col("value").rlike(r"^\s*--"))
-        .withColumn("body", F.regexp_replace("value", HEADER, ""))
+        .withColumn("body", body)
+        .select(checked.alias("body"))
         .filter(F.col("body").rlike(r"^\s*\("))
         .select(F.explode(F.regexp_extract_all("body", F.lit(TUPLE), 1)).alias("tuple"))
     )

@@ -63,6 +63,22 @@ def test_dump_split_over_tasks(spark, tmp_path):
     assert len(rows) == 14 * 20 and {int(r["col_0"]) % 3 for r in rows} == {0}
 
 
+@pytest.mark.parametrize("text", ["INSERT INTO t VALUES\n(1, 'a\nb');\n", "INSERT INTO t VALUES (1,\n'a');\n", "INSERT INTO t VALUES\n(1, 'a') ON CONFLICT;\n",
+                                  "INSERT INTO t VALUES\n/* (1, 'a'),\n(2, 'b') */\n(3, 'c');\n"])
+def test_dump_raises_on_what_it_cannot_read(spark, tmp_path, text):
+    (tmp_path / "t.sql").write_text(text)
+    with pytest.raises(Exception, match="cannot read this line"):
+        insert_dump.read_insert_dump(spark, str(tmp_path), "t", schemas.T.StructType.fromDDL("i INT, s STRING")).collect()
+
+
+def test_dump_layouts(spark, tmp_path):
+    (tmp_path / "t.sql").write_text(
+        "INSERT INTO t\n  VALUES (1, 'a -- b'), -- (9, 'x')\n (2, '/* c'); /* (8, 'y') */\ninsert into t\n(i, s)\nVALUES\n-- (7, 'z')\n(3, NULL);\n"
+    )
+    rows = insert_dump.read_insert_dump(spark, str(tmp_path), "t", schemas.T.StructType.fromDDL("i INT, s STRING")).collect()
+    assert sorted(tuple(r) for r in rows) == [(1, "a -- b"), (2, "/* c"), (3, None)]
+
+
 def test_dump_default_keyword_becomes_null(spark, tmp_path):
     (tmp_path / "addr.sql").write_text(
         "INSERT INTO bridge_customer_address VALUES\n"
@@ -126,10 +142,38 @@ def test_jdbc_options():
         readers.jdbc_options("jdbc:x", "t", "id")
 
 
-def test_broadcast_hint_only_when_counted_small(spark):
-    small, big = sizing.broadcast_if_small(spark.range(3), max_rows=3), sizing.broadcast_if_small(spark.range(4), max_rows=3)
-    plan = lambda df: df._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" in plan(small).lower() and "broadcast" not in plan(big).lower()
+def test_broadcast_hint_by_bytes_of_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(1000).write.parquet(path)
+    stored = spark.read.parquet(path)
+    size = sizing.base_bytes(stored)
+    assert size == sum(f.stat().st_size for f in (tmp_path / "t").glob("*.parquet"))
+    plan = lambda df: df._jdf.queryExecution().analyzed().toString().lower()
+    assert "broadcast" in plan(sizing.broadcast_if_small(stored.distinct(), size))
+    assert "broadcast" not in plan(sizing.broadcast_if_small(stored.distinct(), size - 1))
+    assert "broadcast" in plan(sizing.broadcast_if_small(spark.range(3)))
+
+
+def test_no_job_while_the_plan_of_usage_weather_is_built(spark):
+    from kilowise.operators.weather import usage_weather
+    from kilowise.plans.bindings import Tables
+
+    x = Tables(spark, "/root/testdata/sf0.001")
+    readings, weather = x.readings, x.weather
+    spark.sparkContext.setJobGroup("plan", "plan")
+    usage_weather(readings, weather)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("plan")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_region_joins_do_not_move_the_customers(spark):
+    from kilowise.operators import usage
+    from kilowise.plans.bindings import Tables
+
+    readings = Tables(spark, "/root/testdata/sf0.001").readings
+    for job in (usage.usage_vs_regional_avg, usage.customer_share_of_region):
+        plan = job(readings)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin [region" not in plan and "BroadcastHashJoin [region" in plan
 
 
 def test_partition_write_replaces_only_its_partitions(spark, tmp_path):
