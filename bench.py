@@ -13,6 +13,7 @@ import sys
 import time
 
 from kilowise.plans.registry import QUERIES
+from kilowise.plans.storage import clean_up
 from kilowise.session import build_session
 
 HEADLINE = (
@@ -62,6 +63,7 @@ def main() -> None:
             }
         )
     )
+    clean_up(spark)
     spark.stop()
 
 

@@ -13,6 +13,7 @@ import datetime as dt
 
 from kilowise.functions.columns import PEAK_RULES
 from kilowise.plans.registry import QUERIES
+from kilowise.plans.storage import clean_up
 from kilowise.session import build_session
 from kilowise.sources.readers import read_topic
 from kilowise.streaming import etl
@@ -40,6 +41,7 @@ def main() -> None:
     spark = build_session(f"kilowise-{args.command}")
     if args.command == "report":
         QUERIES[args.name](spark, args.tables).write.mode("overwrite").parquet(args.out)
+        clean_up(spark)
         return
     raw = read_topic(
         spark,

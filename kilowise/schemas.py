@@ -1,4 +1,4 @@
-"""Explicit schemas of the domain tables and stream records.
+"""Schemas of dump files and stream records.
 
 In the DataFrames the reading time is called ``reading_ts``; ``timestamp`` stays
 the name inside stream messages.
@@ -26,57 +26,17 @@ def dec(precision: int, scale: int) -> T.DecimalType:
     return T.DecimalType(precision, scale)
 
 
-DIM_CUSTOMER = _struct(customer_id=S, office_address=S, tariff_type=S, email=S, created_at=TS)
-
-DIM_METER = _struct(
-    meter_id=S, customer_id=S, installation_date=D, meter_type=S, manufacturer=S,
-    firmware_version=S, last_calibration_date=D, is_active=B, grid_reference=S,
-)
-
+# Columns of two tables that are read from dumps, of a message body and of a topic.
 DIM_TARIFF = _struct(
     tariff_code=S, tariff_name=S, description=S, peak_rate_per_kwh=dec(8, 4),
     offpeak_rate_per_kwh=dec(8, 4), daily_fixed_charge=dec(8, 2), applicable_from=D,
     applicable_to=D, is_current=B,
 )
 
-DIM_WEATHER_STATION = _struct(
-    station_id=S, station_name=S, region=S, latitude=dec(9, 6), longitude=dec(9, 6),
-    elevation_m=dec(6, 1),
-)
-
 BRIDGE_CUSTOMER_ADDRESS = _struct(
     address_id=I, customer_id=S, address=S, start_date=D, end_date=D, is_current=B, region=S
 )
 
-FACT_METER_READINGS = _struct(
-    reading_id=S, meter_id=S, customer_id=S, reading_ts=TS, kwh_usage=dec(10, 4),
-    voltage=dec(6, 2), current_amps=dec(6, 2), power_factor=dec(4, 2), region=S,
-    is_peak_hours=B, weather_condition=S, temperature_c=dec(4, 1),
-)
-
-FACT_SMART_METER_READINGS = _struct(
-    reading_id=L, meter_id=S, reading_ts=TS, kwh_usage=dec(10, 4), voltage=I, customer_id=S,
-    region=S, hour_of_day=I, cost=dec(10, 4), is_peak=B, is_weekend=B, processing_time=TS,
-    date=D, data_quality_flag=S, source_system=S,
-)
-
-FACT_BILLING = _struct(
-    bill_id=S, customer_id=S, billing_month=D, total_kwh=dec(10, 2), peak_kwh=dec(10, 2),
-    offpeak_kwh=dec(10, 2), amount_due=dec(10, 2), paid_amount=dec(10, 2), payment_date=TS,
-    late_fee=dec(10, 2), discount_applied=dec(10, 2), region=S,
-)
-
-FACT_WEATHER_DAILY = _struct(
-    observation_id=S, station_id=S, observation_date=D, max_temp_c=dec(4, 1),
-    min_temp_c=dec(4, 1), mean_temp_c=dec(4, 1), rainfall_mm=dec(6, 1),
-    sunshine_hours=dec(4, 1), wind_speed_kmh=dec(5, 1), region=S,
-)
-
-DAILY_CUSTOMER_SUMMARY = _struct(
-    customer_id=S, date=D, total_kwh=dec(12, 4), avg_voltage=dec(10, 2),
-    total_cost=dec(12, 4), record_created_at=TS,
-)
-
 # JSON body of a stream message. Voltage is read as double because producers
 # send 230.0, which an integer field would turn into NULL; parse_json casts it.
 STREAM_RECORD = _struct(

@@ -64,6 +64,7 @@ def compare(spark, con, folder, name, query, sql):
 
 def main():
     from __spark_entry__ import oracle_sql, queries
+    from kilowise.plans.storage import clean_up
     from kilowise.session import build_session
 
     folder, names = sys.argv[1], sys.argv[2:]
@@ -85,6 +86,7 @@ def main():
         bad += not (result == "ok" or result.startswith("no sql"))
         print(f"{name:34} {time.time() - start:6.2f}s {result}", flush=True)
     print("failed:", bad)
+    clean_up(spark)
 
 
 if __name__ == "__main__":

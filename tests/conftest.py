@@ -5,6 +5,7 @@ import json
 
 import pytest
 
+from kilowise.plans.storage import clean_up
 from kilowise.schemas import STREAM_RECORD, TOPIC_RECORD
 from kilowise.session import build_session
 
@@ -26,6 +27,7 @@ def spark(tmp_path_factory):
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clean_up(session)
     session.stop()
 
 
