@@ -31,6 +31,7 @@ from kilowise.plans.storage import materialize
 
 WORDS = 4
 PERCENT = 85
+NEAR_WORDS, NEAR_PERCENT = 5, 80  # of near duplicates, where nothing else is asked for
 BLOCK = 1024  # sets on either side of a block of pairs
 BITMAP_BITS = 1 << 26  # fixed size of the filter of shared keys: 8 MB
 BROADCAST_ROWS = 2_000_000
@@ -82,20 +83,20 @@ def sets_of(texts: pa.Array, words: int = WORDS) -> Iterator[np.ndarray]:
 
 
 def segment_keys(own: np.ndarray, percent: int = PERCENT) -> Iterator[tuple[int, np.ndarray]]:
-    """(keys that may be left out, keys) of a set, for its own size class and, where a set of the next
-    class can be near enough, for that class."""
+    """(keys that may be left out, keys) of a set, for its own size class and each larger one in which a
+    set can be near enough."""
     n = len(own)
     starts = _class_starts()
     own_class = int(np.searchsorted(starts, n, "right")) - 1
     sums = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum(mix(own ^ _C[0]), out=sums[1:])
-    for c in (own_class, own_class + 1):
-        if c > own_class and 100 * n < percent * int(starts[c]):
-            return
+    c = own_class - 1
+    while c < own_class or 100 * n >= percent * int(starts[c + 1]):
+        c += 1
         differ, fragments, borders = _cuts(c, percent)
         cut = np.concatenate(([0], np.searchsorted(own, borders), [n]))
         filled = cut[1:] > cut[:-1]
-        label = np.arange(fragments, dtype=np.uint64) * _C[1] + np.uint64(c) * _C[2]
+        label = np.arange(fragments, dtype=np.uint64) * _C[1] + np.full(fragments, c, np.uint64) * _C[2]
         keys = mix(sums[cut[1:]] - sums[cut[:-1]] + label)
         spare = int(filled.sum()) - differ - 1
         # Empty segments agree with each other too: they count where too few others are left.
@@ -317,7 +318,7 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     )
 
 
-def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+def one_of_each(docs: DataFrame, words: int = NEAR_WORDS, percent: int = NEAR_PERCENT) -> DataFrame:
     """``docs`` with one document of each group of near duplicates, that with the least doc_id. Documents
     without words or without id all stay; rows that repeat a kept doc_id stay too."""
     found = jaccard_components(docs, words, percent)

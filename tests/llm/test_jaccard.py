@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 import pytest
 
 from kilowise.llm import jaccard
@@ -14,13 +15,13 @@ COLUMNS = ("doc_id", "n_shingles", "component_id")
 _LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
 
-def _set(text):
+def _set(text, k=4):
     words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(_LOWER))
-    return {tuple(words[i : i + 4]) for i in range(len(words) - 3)} if len(words) > 3 else {tuple(words)} if words else set()
+    return {tuple(words[i : i + k]) for i in range(len(words) - k + 1)} if len(words) >= k else {tuple(words)} if words else set()
 
 
-def by_hand(rows, percent=85):
-    sets = [_set(r[1]) for r in rows]
+def by_hand(rows, percent=85, k=4):
+    sets = [_set(r[1], k) for r in rows]
     least = [r[0] for r in rows]
     linked = [
         (i, j)
@@ -39,6 +40,25 @@ def by_hand(rows, percent=85):
     return sorted(((r[0], len(s), c) for r, s, c in zip(rows, sets, least)), key=lambda r: [(x is not None, x) for x in r])
 
 
+def test_near_sets_share_a_kept_key():
+    """For sets at the threshold, whatever keys each leaves out, one that both keep is left."""
+    draw = np.random.default_rng(4)
+    for _ in range(300):
+        percent = int(draw.choice([50, 70, 80, 85, 95]))
+        n = int(draw.integers(1, 400))
+        x = np.unique(draw.integers(0, 2**64, n, dtype=np.uint64))
+        k = len(x) * percent // 100 if draw.random() < 0.5 else int(draw.integers(1, len(x) + 1))
+        y = np.unique(np.concatenate((draw.choice(x, k, replace=False), draw.integers(0, 2**64, int(draw.integers(0, 1 + n // 6)), dtype=np.uint64))))
+        both = len(np.intersect1d(x, y))
+        if 100 * both < percent * (len(x) + len(y) - both):
+            continue
+        left = []
+        for own in (x, y):
+            left.append([(spare, set(keys.tolist())) for spare, keys in jaccard.segment_keys(own, percent)])
+        best = max(len(a & b) - sa - sb for sa, a in left[0] for sb, b in left[1])
+        assert best >= 1
+
+
 def test_components_of_documents(wide, rows):
     want = by_hand(rows)
     assert sum(c is not None and d is not None and c < d for d, _, c in want) > 5
@@ -60,7 +80,7 @@ def test_blocks_and_thresholds(spark, block, percent, monkeypatch):
 
 def test_one_of_each(docs, rows, none):
     found = sorted(r["doc_id"] for r in jaccard.one_of_each(docs).collect() if r["doc_id"] is not None)
-    want = sorted(d for d, n, c in by_hand(rows) if d is not None and (n == 0 or d == c))
+    want = sorted(d for d, n, c in by_hand(rows, 80, 5) if d is not None and (n == 0 or d == c))
     assert found == want
     assert jaccard.one_of_each(docs).columns == docs.columns
     assert jaccard.one_of_each(none).count() == 0
