@@ -45,19 +45,39 @@ def with_position(df: DataFrame, order: Sequence[Column], name: str) -> DataFram
 
 
 def add_rank_desc(df: DataFrame, group: str, value: str, tie_break: str, out: str) -> DataFrame:
-    """RANK() OVER (PARTITION BY group ORDER BY value DESC NULLS FIRST)."""
-    placed = with_position(
-        df, [F.col(group), F.desc_nulls_first(value), F.col(tie_break)], f"rank-{out}"
+    """RANK() OVER (PARTITION BY group ORDER BY value DESC NULLS FIRST).
+
+    Ranks are taken inside each task's stretch of a group and moved on by the rows of the group in
+    earlier tasks. Only the first run of equal values of a stretch can have begun in an earlier one: it
+    takes the place where its value began, from a table of the stretches' first and last values.
+    """
+    order = [F.col(group), F.desc_nulls_first(value), F.col(tie_break)]
+    stored = materialize(df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id()), f"rank-{out}")
+    stretch = ["_part", group]
+    here = Window.partitionBy(*stretch).orderBy(F.desc_nulls_first(value))
+    ranked = stored.withColumn("_part", F.shiftright("_id", _ROW_BITS)).withColumn("_rank", F.rank().over(here))
+    # One row per sort partition and one per group.
+    ends = ranked.groupBy(*stretch).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.max("_rank").alias("_last_run"),
+        F.min_by(F.struct(value), "_id")[value].alias("_first"),
+        F.max_by(F.struct(value), "_id")[value].alias("_last"),
     )
-    # First place of each run of equal values and of each group, pre-aggregated
-    # before the shuffle; stored, so that a value many rows share can be split.
-    ties = placed.groupBy(F.col(group).alias("_g"), F.col(value).alias("_v")).agg(F.min("_pos").alias("_tie"))
-    groups = ties.groupBy(F.col("_g").alias("_group")).agg(F.min("_tie").alias("_first"))
-    ranks = ties.join(groups, F.col("_g").eqNullSafe(F.col("_group"))).select(
-        "_g", "_v", (F.col("_tie") - F.col("_first") + 1).alias(out)
+    so_far = Window.partitionBy(group).orderBy("_part")
+    ends = materialize(ends.withColumn("_before", F.sum("_n").over(so_far) - F.col("_n")), f"stretches-{out}")
+    begun = ends.select(F.col(group).alias("_g"), F.col("_first").alias("_v"), (F.col("_before") + 1).alias("_at")).unionByName(
+        ends.select(F.col(group).alias("_g"), F.col("_last").alias("_v"), (F.col("_before") + F.col("_last_run")).alias("_at"))
+    )
+    begun = begun.groupBy("_g", "_v").agg(F.min("_at").alias("_begun"))
+    same_run = F.col(group).eqNullSafe(F.col("_g")) & F.col("_first").eqNullSafe(F.col("_v"))
+    ends = ends.join(begun, same_run).select(F.col("_part").alias("_p"), "_g", "_before", "_begun")
+    same = (F.col("_part") == F.col("_p")) & F.col(group).eqNullSafe(F.col("_g"))
+    rank = F.when(F.col("_rank") == 1, F.col("_begun")).otherwise(F.col("_before") + F.col("_rank"))
+    return (
+        ranked.join(F.broadcast(ends), same)
+        .withColumn(out, rank.cast("bigint"))
+        .drop("_id", "_part", "_rank", "_p", "_g", "_before", "_begun")
     )
-    same = F.col(group).eqNullSafe(F.col("_g")) & F.col(value).eqNullSafe(F.col("_v"))
-    return placed.join(materialize(ranks, f"places-{out}"), same).drop("_g", "_v", "_pos", "_total")
 
 
 def add_ntile(df: DataFrame, tiles: int, order: Sequence[Column], out: str) -> DataFrame:

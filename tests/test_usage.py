@@ -121,3 +121,21 @@ def test_quarter_mixes_years(spark):
     r = readings(spark, [("a", "2022-01-02", "1"), ("a", "2023-02-01", "3"), ("a", "2023-04-01", "5")])
     rows = {(x["quarter"], x["region"]): x["avg_consumption"] for x in usage.quarterly_consumption(r).collect()}
     assert rows == {(1, "North"): 2.0, (2, "North"): 5.0}
+
+
+def test_rank_over_runs_that_span_tasks(spark):
+    """Few values, many rows: runs of equal values begin in one task and end in others."""
+    from pyspark.sql import Window
+
+    from kilowise.functions.ranking import add_rank_desc
+
+    rows = [(i, None if i % 11 == 0 else f"g{i % 3}", None if i % 7 == 0 else (i * i) % 4) for i in range(400)]
+    df = spark.createDataFrame(rows, "id int, g string, v int")
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = {r["id"]: r["r"] for r in add_rank_desc(df, "g", "v", "id", "r").collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    window = Window.partitionBy("g").orderBy(F.desc_nulls_first("v"))
+    assert found == {r["id"]: r["r"] for r in df.withColumn("r", F.rank().over(window)).collect()}
