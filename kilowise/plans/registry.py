@@ -131,10 +131,14 @@ def preview_table(x: Tables) -> DataFrame:
 
 @query
 def federated_query(x: Tables) -> DataFrame:
+    """Messages of a topic, an ORC table and a CSV export in one statement."""
+    orc, csv = storage.work_dir(x.spark, "weather-orc"), storage.work_dir(x.spark, "customer-csv")
+    x.weather.select("region", "observation_date").write.orc(orc)
+    x.raw("customer").select("c_custkey", "c_mktsegment").write.csv(csv, header=True)
     frames = {
-        "topic": readers.kafka_topic_table(x.topic, STREAM_RECORD),
-        "weather": x.weather,
-        "customer": x.raw("customer"),
+        "topic": readers.kafka_topic_table(readers.read_topic(x.spark, "parquet", streaming=False, path=x.stored_topic()), STREAM_RECORD),
+        "weather": readers.read_table(x.spark, "orc", orc),
+        "customer": readers.read_table(x.spark, "csv", csv, "c_custkey bigint, c_mktsegment string", {"header": "true"}),
     }
     return readers.federated_query(
         x.spark,
