@@ -76,3 +76,24 @@ kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY k) AS t, count(*) AS n FRO
 SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)
 """
+
+SHARD = """
+WITH crc_table AS (
+    SELECT list(list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+                ORDER BY n) AS t FROM range(256) r(n)),
+d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+sized AS (
+    SELECT doc_id, octet_length(b)::BIGINT + 1 AS size, xor(list_reduce(
+               list_prepend(4294967295, list_transform(regexp_extract_all(hex(b), '..'), lambda x: ('0x' || x)::BIGINT)),
+               lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) AS text_crc32
+    FROM d, crc_table),
+scores AS (
+    SELECT doc_id, shard, -1 / ln((('0x' || substr(md5(doc_id || '#' || shard), 1, 12))::BIGINT + 0.5::DOUBLE) / 281474976710656) AS score
+    FROM (SELECT DISTINCT doc_id FROM d), range(17) r(shard)),
+best AS (
+    SELECT doc_id, (arg_max(shard, score) FILTER (WHERE shard < 16))::INT AS shard, arg_max(shard, score)::INT AS grown_shard
+    FROM scores GROUP BY doc_id)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard, grown_shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id, size, text_crc32) - 1 AS slot
+FROM sized JOIN best USING (doc_id)
+"""

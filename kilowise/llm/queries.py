@@ -62,12 +62,13 @@ def op10_substrings(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_warc_index, op2_decontaminate, op3_secrets, op4_suffix_array, op5_attention, op6_ngram_jaccard, op7_pack, op8_shard, op9_outliers, op10_substrings)}
 
-# Decoding, learning, tokenising, crc32 and robust estimates have no SQL form; tests hold the other queries
+# Decoding, learning, tokenising and robust estimates have no SQL form; tests hold the other queries
 # against brute force.
 ORACLE = {
     "op1_warc_index": oracle.WARC,
     "op2_decontaminate": oracle.DECONTAMINATE,
     "op4_suffix_array": oracle.SUFFIXES,
     "op6_ngram_jaccard": oracle.JACCARD,
+    "op8_shard": oracle.SHARD,
     "op10_substrings": oracle.SUBSTRINGS,
 }
