@@ -56,7 +56,7 @@ def compare(spark, con, folder, name, query, sql):
     if wrong:
         return f"{len(wrong)} of {len(mine)} rows differ, first {wrong[0][0]} != {wrong[0][1]}"
     kinds = dict(df.dtypes)
-    plain = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN",
+    plain = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN",
              "timestamp_ntz": "TIMESTAMP"}
     odd = {c: (kinds[c], types[c]) for c in df.columns if plain.get(kinds[c], "?") != types[c]}
     return f"types {odd}" if odd else None
