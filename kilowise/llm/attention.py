@@ -180,12 +180,11 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
     are, columns named score or predicted are replaced."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def scored(texts):
-        found = pa.array(texts, pa.string())
-        batch = pa.RecordBatch.from_arrays([found], ["text"])
-        scores = [sent.value.score(*passages(part.column("text"))) for part in slices(batch, "text", 2 << 20)]
-        return type(texts)(np.concatenate(scores) if scores else np.zeros(0))
+    @F.arrow_udf("double")
+    def scored(texts: pa.Array) -> pa.Array:
+        batch = pa.RecordBatch.from_arrays([texts], ["text"])
+        scores = [sent.value.score(*passages(part.column("text"))) for part in slices(batch, "text")]
+        return pa.array(np.concatenate(scores) if scores else np.zeros(0))
 
     out = docs.withColumn("score", scored(F.coalesce(F.col("text").cast("string"), F.lit(""))))
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

@@ -42,8 +42,9 @@ def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[starts[0] : starts[-1]], starts - starts[0]
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """Cut a batch into runs of rows of about ``limit`` text bytes; one long text is a run of its own."""
+def slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Cut a batch into runs of rows of about ``limit`` text bytes; one long text is a run of its own.
+    Arrays of numbers take some fifty times the bytes of a run, so this bounds the memory of a task."""
     _, starts = flat(batch.column(column))
     at = 0
     while at < batch.num_rows:

@@ -9,6 +9,10 @@ shingles. Cut into more fragments than that, they agree in a whole segment. A ke
 Cutting into 2 s fragments more than needed lets every set leave out its s most frequent keys
 without losing a pair, which removes keys that consist of wide-spread shingles only.
 
+Groups of candidates that are larger than a block hang together by shared passages for the most part. Their
+sets are matched once more by their rarest shingles: all their shingles are counted, ordered by how
+frequent they are, and two near sets share one of their first n - ceil(t n) + 1 shingles.
+
 Counting. The sets of each group of connected candidates meet in blocks of bounded size; the
 overlap of all pairs of a block is counted for one fragment of the order after the other and
 summed. Only the links of a spanning forest leave a block. Equal sets are one node throughout.
@@ -35,6 +39,9 @@ NEAR_WORDS, NEAR_PERCENT = 5, 80  # of near duplicates, where nothing else is as
 BLOCK = 1024  # sets on either side of a block of pairs
 BITMAP_BITS = 1 << 26  # fixed size of the filter of shared keys: 8 MB
 BROADCAST_ROWS = 2_000_000
+LEVELS = (2, 8, 64, 512, 4096)  # how often a shingle occurs, for the order by frequency
+LEVEL_BITS = 1 << 25  # fixed size of the filter of each level: 4 MB
+HELD = 1 << 18  # numbers that a task counts at a time
 SPARE = 3  # keys that a set may leave out
 _CLASS_RATIO = 1.35
 _C = [np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -134,22 +141,38 @@ def _in_bitmap(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bitmap[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
 
 
+def _counted(arrays: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """key, n of the numbers in all arrays, added up for some ``HELD`` of them at a time."""
+    found: list[np.ndarray] = []
+    size = 0
+    for array in arrays:
+        found.append(array)
+        size += len(array)
+        if size >= HELD:
+            yield _counts_of(found)
+            found, size = [], 0
+    if found:
+        yield _counts_of(found)
+
+
+def _counts_of(found: list[np.ndarray]) -> pa.RecordBatch:
+    values, n = np.unique(np.concatenate(found), return_counts=True)
+    return pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n.astype(np.int32))], ["key", "n"])
+
+
 def _key_counts(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """key, n: the keys that more than one document has."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def keys_of(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         for batch in batches:
-            found, seen = [], set()
+            seen = set()
             for part in slices(batch, "text"):
                 for own in sets_of(part.column("text"), words):
                     if len(own) and (mark := hashlib.blake2b(own.tobytes(), digest_size=16).digest()) not in seen:
                         seen.add(mark)
-                        found += [keys for _, keys in segment_keys(own, percent)]
-            if found:
-                keys, counts = np.unique(np.concatenate(found), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts.astype(np.int32))], ["key", "n"])
+                        yield from (keys for _, keys in segment_keys(own, percent))
 
-    rows = docs.select("text").mapInArrow(run, "key long, n int")
+    rows = docs.select("text").mapInArrow(lambda batches: _counted(keys_of(batches)), "key long, n int")
     return rows.groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1")
 
 
@@ -187,6 +210,59 @@ def _candidates(classes: DataFrame, shared: DataFrame) -> DataFrame:
     by_set = Window.partitionBy("node", "slot").orderBy(F.desc("n"), "key")  # at most one row per fragment
     kept = rows.withColumn("_place", F.row_number().over(by_set)).filter("_place > spare").select("key", "node")
     kept = materialize(kept, "keys")
+    return _stars(kept)
+
+
+def _sets_of_members(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """text and the columns of ``members`` of the documents that stand for a set."""
+    wanted = F.broadcast(members) if members.count() <= BROADCAST_ROWS else members
+    return docs.join(wanted, F.col("doc_id") == F.col("node")).select("text", *members.columns)
+
+
+def _own_sets(batch: pa.RecordBatch, words: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Row number and set of each text whose set is the one that its row names (an id may be repeated)."""
+    for i, own in enumerate(sets_of(batch.column("text"), words)):
+        digest = np.frombuffer(hashlib.blake2b(own.tobytes(), digest_size=16).digest(), np.int64)
+        if batch.column("s1")[i].as_py() == digest[0] and batch.column("s2")[i].as_py() == digest[1]:
+            yield i, own
+
+
+def _by_rarest(docs: DataFrame, members: DataFrame, words: int, percent: int) -> DataFrame:
+    """u, v: candidates among ``members`` (node, s1, s2) by their rarest shingles. The order needs only to be
+    the same for all sets, so the levels of frequency are kept in filters of fixed size."""
+    texts = _sets_of_members(docs, members)
+
+    def shingles_of(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                yield from (own for _, own in _own_sets(part, words))
+
+    counts = texts.mapInArrow(lambda batches: _counted(shingles_of(batches)), "key long, n int")
+    counts = counts.groupBy("key").agg(F.sum("n").alias("n"))
+    counts = materialize(counts.filter(F.col("n") >= LEVELS[0]), "frequent")
+    filters = [_bitmap(counts.filter(F.col("n") >= level), LEVEL_BITS) for level in LEVELS]
+    sent = docs.sparkSession.sparkContext.broadcast(filters)
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                nodes, keys = [], []
+                for i, own in _own_sets(part, words):
+                    level = sum(_in_bitmap(x, own).astype(np.int8) for x in sent.value)
+                    own = own[np.argsort(level, kind="stable")]  # a set is in hash order
+                    many = len(own) + percent * len(own) // -100 + 1
+                    keys.append(own[:many])
+                    nodes.append(np.full(many, part.column("node")[i].as_py()))
+                if keys:
+                    columns = [np.concatenate(keys).view(np.int64), np.concatenate(nodes)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "node"])
+
+    kept = materialize(texts.mapInArrow(first, "key long, node long"), "rarest")
+    return _stars(kept)
+
+
+def _stars(kept: DataFrame) -> DataFrame:
+    """u, v: each node is joined to the least node with the same key."""
     least = kept.groupBy("key").agg(F.min("node").alias("u"), F.max("node").alias("_last")).filter("u < _last")
     least = materialize(least.select("key", "u"), "least-keys")
     return kept.join(least, "key").filter("node > u").select("u", F.col("node").alias("v")).distinct()
@@ -243,13 +319,10 @@ def _links(docs: DataFrame, members: DataFrame, words: int, percent: int, block:
         names = ["component", "part", "parts", "node"]
         for batch in batches:
             for part in slices(batch, "text"):
-                own = list(sets_of(part.column("text"), words))
-                digests = (hashlib.blake2b(x.tobytes(), digest_size=16).digest() for x in own)
-                both = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-                same = (np.asarray(part.column("s1")) == both[:, 0]) & (np.asarray(part.column("s2")) == both[:, 1])
-                chosen = np.flatnonzero(same)
-                columns = [part.column(c).take(pa.array(chosen)) for c in names]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array([own[i].tobytes() for i in chosen], pa.binary())], [*names, "set"])
+                own = list(_own_sets(part, words))
+                chosen = pa.array([i for i, _ in own], pa.int64())
+                columns = [part.column(c).take(chosen) for c in names]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array([x.tobytes() for _, x in own], pa.binary())], [*names, "set"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def finish() -> pa.RecordBatch:
@@ -273,8 +346,7 @@ def _links(docs: DataFrame, members: DataFrame, words: int, percent: int, block:
         if len(held) > 1:
             yield finish()
 
-    wanted = F.broadcast(members) if members.count() <= BROADCAST_ROWS else members
-    texts = docs.join(wanted, F.col("doc_id") == F.col("node")).select("text", "node", "s1", "s2", "component", "part", "parts")
+    texts = _sets_of_members(docs, members)
     own = texts.mapInArrow(sets, "component long, part int, parts int, node long, set binary")
     pairs = F.transform(
         F.sequence(F.lit(0), F.col("parts") - 1),
@@ -305,10 +377,18 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     classes = rows.filter("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("node"), F.any_value("parts").alias("parts"))
     classes = materialize(classes.filter("node is not null"), "classes")
     groups = materialize(connected_components(_candidates(classes, shared)), "candidates")
+    named_sets = classes.select("node", "s1", "s2")
+    sizes = materialize(groups.groupBy("component").agg(F.count(F.lit(1)).alias("size")), "group-sizes")
+    large = sizes.filter(F.col("size") > block).select("component")
+    if large.count():
+        members = materialize(groups.join(large, "component", "left_semi").join(named_sets, "node").select("node", "s1", "s2"), "large-groups")
+        again = connected_components(_by_rarest(docs, members, words, percent))
+        groups = materialize(groups.join(large, "component", "left_anti").unionByName(again), "candidates-again")
+        sizes = materialize(groups.groupBy("component").agg(F.count(F.lit(1)).alias("size")), "group-sizes")
     # Blocks of a candidate group: dealt by hash, as many as its size asks for.
-    sizes = materialize(groups.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts")), "blocks")
-    members = groups.join(sizes, "component").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    members = materialize(members.join(classes.select("node", "s1", "s2"), "node"), "members")
+    members = groups.join(sizes.select("component", F.ceil(F.col("size") / block).cast("int").alias("parts")), "component")
+    members = members.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    members = materialize(members.join(named_sets, "node"), "members")
     links = materialize(_links(docs, members, words, percent, block), "links")
     labels = materialize(connected_components(links), "components")
     named = classes.select("s1", "s2", "node").join(labels, "node", "left")
