@@ -11,6 +11,7 @@ from __future__ import annotations
 import base64
 import binascii
 import bz2
+import codecs
 import hashlib
 import lzma
 import re
@@ -37,8 +38,16 @@ _HEX = re.compile(r"[0-9a-f]{24,}")
 _LEAST_VALUE = 6
 
 _URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
+_URL_RUN = re.compile(r"[A-Za-z0-9._~:/?#\[\]@!$&'()*+,;=%-]++")  # escapes and what URLs write as it is
+_ESCAPE = re.compile(rb"%([0-9A-Fa-f]{2})")
+_MAGIC = re.compile(rb"\x1f\x8b\x08|x[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\0")
 _UNICODE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\U([0-9A-Fa-f]{8})|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})")
-_BASE64 = re.compile(r"[A-Za-z0-9+/]{16,}={0,2}|[A-Za-z0-9_-]{16,}={0,2}")
+# A run of either alphabet that may be wrapped over lines; of at least 16 characters in the first line, or wrapped.
+_A = "[A-Za-z0-9+/_-]"
+_BASE64 = re.compile(rf"(?<!{_A})(?:(?={_A}{{16}})|(?={_A}++[ \t]*\r?\n[ \t]*{_A})){_A}++(?:[ \t]*+\r?\n[ \t]*+{_A}++)*+")
+_LINE = re.compile(rf"{_A}++")
+_ALPHABETS = re.compile(r"[A-Za-z0-9+/]{16,}"), re.compile(r"[A-Za-z0-9_-]{16,}")
+_LEAST_BASE64 = 16
 _URL_SAFE = str.maketrans("-_", "+/")
 
 Layer = tuple[str, np.ndarray, np.ndarray]  # text, and first and end place in the document of each character
@@ -83,6 +92,16 @@ def _readable(data: bytes) -> str | None:
     return text if text and sum(c.isprintable() or c in "\t\r\n" for c in text) >= 0.95 * len(text) else None
 
 
+def _maybe_layer(data: bytes) -> bool:
+    """False for most bytes that are no layer, from their beginning alone."""
+    if _MAGIC.match(data):
+        return True
+    try:
+        return bool(codecs.utf_8_decode(data[:64], "strict", False)[1])
+    except UnicodeDecodeError:
+        return False
+
+
 def _whole(text: str, first: int, end: int) -> Layer:
     return text, np.full(len(text), first), np.full(len(text), end)
 
@@ -136,6 +155,53 @@ def _from_unicode(m: re.Match):
     return chr(code), np.array([0]), np.array([len(m[0])])
 
 
+def _from_url_run(run: str, first: np.ndarray, end: np.ndarray) -> Iterator[Layer]:
+    """Compressed data in a run of escaped and unescaped bytes, wherever in the run it begins; "+" may be itself
+    or a space."""
+    for raw in {run.encode(), run.replace("+", " ").encode()}:
+        data = _ESCAPE.sub(lambda e: bytes([int(e[1], 16)]), raw)
+        if not _MAGIC.search(data):
+            continue
+        places, at = [], 0
+        for e in _ESCAPE.finditer(raw):
+            places += [np.arange(at, e.start()), [e.start()]]
+            at = e.end()
+        start = np.concatenate([*places, np.arange(at, len(raw))]).astype(np.int64)
+        stop = np.append(start[1:], len(raw))
+        for m in _MAGIC.finditer(data):
+            unpacked = _unpacked(data[m.start() :])
+            inner = None if unpacked is None else _readable(unpacked)
+            if inner is not None:
+                yield _whole(inner, int(first[start[m.start()]]), int(end[stop[-1] - 1]))
+
+
+def _base64_places(text: str, start: int, stop: int) -> Iterator[list[tuple[int, int]]]:
+    """The stretches of a run that may be one encoded value, each as the places of its lines.
+
+    Besides the whole run these are, as words may stand on the lines around a value: the run without its first or
+    last line, lines of one width with a shorter one behind and any one before, and each line with its parts in the
+    one and the other alphabet.
+    """
+    lines = [m.span() for m in _LINE.finditer(text, start, stop)]
+    n, width = len(lines), [b - a for a, b in lines]
+    found = {(0, n), (1, n), (0, n - 1), (1, n - 1)}
+    a = 0
+    while a < n and n > 1:
+        b = a + 1
+        while b < n and width[b] == width[a]:
+            b += 1
+        after = b + 1 if b < n and width[b] < width[a] else b
+        found.update((x, y) for x in (a, max(a - 1, 0)) for y in (b, after))
+        a = b
+    found.update((i, i + 1) for i in range(n))
+    for a, b in sorted(found):
+        if a < b and sum(width[a:b]) >= _LEAST_BASE64:
+            yield lines[a:b]
+    for a, b in lines:
+        for alphabet in _ALPHABETS:
+            yield from ([m.span()] for m in alphabet.finditer(text, a, b) if m.span() != (a, b))
+
+
 def unwrap(layer: Layer) -> Iterator[Layer]:
     """The layers that are directly encoded in a layer."""
     text, first, end = layer
@@ -143,28 +209,30 @@ def unwrap(layer: Layer) -> Iterator[Layer]:
         decoded = _replaced(layer, _URL, _from_url)
         if decoded is not None:
             yield decoded
-        for m in _URL.finditer(text):  # compressed bytes written as escapes
-            unpacked = _unpacked(bytes.fromhex(m[0].replace("%", "")))
-            inner = None if unpacked is None else _readable(unpacked)
-            if inner is not None:
-                yield _whole(inner, int(first[m.start()]), int(end[m.end() - 1]))
+        for m in _URL_RUN.finditer(text):  # compressed bytes, of which URLs escape only some
+            if "%" in m[0]:
+                yield from _from_url_run(m[0], first[m.start() : m.end()], end[m.start() : m.end()])
     if "\\" in text:
         decoded = _replaced(layer, _UNICODE, _from_unicode)
         if decoded is not None:
             yield decoded
     for m in _BASE64.finditer(text):
-        body = m[0].rstrip("=")
-        if len(body) % 4 == 1:
-            body = body[:-1]
-        try:
-            data = base64.b64decode(body.translate(_URL_SAFE) + "=" * (-len(body) % 4))
-        except binascii.Error:
-            continue
-        # Byte j comes from the six-bit groups that its bits 8 j .. 8 j + 7 lie in.
-        bit = 8 * np.arange(len(data))
-        found = _bytes_layer(data, first[m.start() + bit // 6], end[m.start() + (bit + 7) // 6]) if data else None
-        if found is not None:
-            yield found
+        for places in _base64_places(text, m.start(), m.end()):
+            body = "".join(text[a:b] for a, b in places)
+            if len(body) % 4 == 1:
+                body = body[:-1]
+            try:
+                data = base64.b64decode(body.translate(_URL_SAFE) + "=" * (-len(body) % 4))
+            except binascii.Error:
+                continue
+            if not _maybe_layer(data):
+                continue
+            # Byte j comes from the six-bit groups that its bits 8 j .. 8 j + 7 lie in.
+            at = np.concatenate([np.arange(a, b) for a, b in places])
+            bit = 8 * np.arange(len(data))
+            found = _bytes_layer(data, first[at[bit // 6]], end[at[(bit + 7) // 6]])
+            if found is not None:
+                yield found
 
 
 def find_secrets(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import bz2
 import gzip
 import hashlib
 import re
@@ -55,6 +56,31 @@ def test_layers_map_back():
         assert all(at <= a < b <= at + len(layer) for _, a, b in spans), layer
 
 
+def test_layers_in_other_shapes():
+    inner = b"what is this? yes ok? it is password=hunter2hunter2 end"
+    bulk = b"".join(b"line %d of a file, with \xc3\xa9\n" % (i * i) for i in range(60)) + b"token = abcdefgh12345\n"
+    wrapped = base64.encodebytes(gzip.compress(bulk, mtime=0)).decode().rstrip()
+    assert wrapped.count("\n") > 3
+    cases = [
+        base64.urlsafe_b64encode(inner).decode(),
+        base64.urlsafe_b64encode(zlib.compress(bulk)).decode(),
+        wrapped,
+        f"below\n{wrapped}\nend of it",
+        f"-----BEGIN DATA-----\n{wrapped}\n-----END DATA-----",
+        wrapped.replace("\n", "\r\n  "),
+        base64.encodebytes(b"x" * 50 + inner).decode().rstrip(),
+        urllib.parse.quote(zlib.compress(bulk), safe=""),
+        urllib.parse.quote_plus(gzip.compress(bulk, mtime=0)),
+        f"https://host.example/a?d={urllib.parse.quote(bz2.compress(bulk))}&e=1",
+    ]
+    for layer in cases:
+        text = f"é😀 before: {layer} after it"
+        base, spans = s.find_secrets(text)
+        at = text.index(layer)
+        assert not base and any(k == "assign" for k, _, _ in spans), layer
+        assert all(at <= a < b <= at + len(layer) for _, a, b in spans), layer
+
+
 def test_cycles_and_bombs_end():
     text = "password=" + "%25" * 50 + "41 " + base64.b64encode(gzip.compress(b"a" * 200_000)).decode()
     base, spans = s.find_secrets(text)
