@@ -13,6 +13,7 @@ import binascii
 import bz2
 import codecs
 import hashlib
+import itertools
 import lzma
 import re
 import zlib
@@ -26,7 +27,11 @@ from pyspark.sql import functions as F
 from kilowise.llm.common import text_column
 
 KINDS = ("assign", "access", "hex")
-MAX_LAYER_BYTES = 64 << 20  # a compressed layer is unpacked so far; guards the task against bombs
+# An unpacked layer is held whole up to so many characters; a longer one is scanned in windows, however long it is,
+# so a bomb takes time but no memory. Windows that cannot be cut between two values overlap.
+WINDOW = 4 << 20
+OVERLAP = 64 << 10
+_PIECE_IN, _PIECE_OUT = 64 << 10, 1 << 20
 
 # The three patterns and their least lengths.
 _ASSIGN = re.compile(
@@ -48,6 +53,9 @@ _BASE64 = re.compile(rf"(?<!{_A})(?:(?={_A}{{16}})|(?={_A}++[ \t]*\r?\n[ \t]*{_A
 _LINE = re.compile(rf"{_A}++")
 _ALPHABETS = re.compile(r"[A-Za-z0-9+/]{16,}"), re.compile(r"[A-Za-z0-9_-]{16,}")
 _LEAST_BASE64 = 16
+_RUN_END = re.compile(rf"[^A-Za-z0-9+/_\s-]|(?<={_A})[ \t]+(?={_A})|\n[ \t\r]*\n")
+_URL_END = re.compile(r"[^A-Za-z0-9._~:/?#\[\]@!$&'()*+,;=%-]")
+_SAFE_CUT = re.compile(r"[.,;)(\]\[>!?]\s")  # nothing that is looked for goes on over this
 _URL_SAFE = str.maketrans("-_", "+/")
 
 Layer = tuple[str, np.ndarray, np.ndarray]  # text, and first and end place in the document of each character
@@ -67,20 +75,10 @@ def scan(text: str) -> Iterator[tuple[str, int, int]]:
         yield "hex", m.start(), m.end()
 
 
-def _unpacked(data: bytes) -> bytes | None:
-    """Decompressed gzip, zlib, bzip2 or xz data; None if it is none of them or damaged."""
-    try:
-        if data[:2] == b"\x1f\x8b":
-            return zlib.decompressobj(31).decompress(data, MAX_LAYER_BYTES)
-        if data[:1] == b"\x78" and len(data) > 2 and int.from_bytes(data[:2], "big") % 31 == 0:
-            return zlib.decompressobj().decompress(data, MAX_LAYER_BYTES)
-        if data[:3] == b"BZh":
-            return bz2.BZ2Decompressor().decompress(data, MAX_LAYER_BYTES)
-        if data[:6] == b"\xfd7zXZ\0":
-            return lzma.LZMADecompressor().decompress(data, MAX_LAYER_BYTES)
-    except (zlib.error, OSError, lzma.LZMAError, ValueError, EOFError):
-        pass
-    return None
+def _plain(text: str) -> int:
+    """How many characters are ones that texts have."""
+    bare = text.replace("\t", "").replace("\n", "").replace("\r", "")
+    return len(text) if bare.isprintable() else sum(c.isprintable() for c in bare) + len(text) - len(bare)
 
 
 def _readable(data: bytes) -> str | None:
@@ -89,7 +87,7 @@ def _readable(data: bytes) -> str | None:
         text = data.decode()
     except UnicodeDecodeError:
         return None
-    return text if text and sum(c.isprintable() or c in "\t\r\n" for c in text) >= 0.95 * len(text) else None
+    return text if text and _plain(text) >= 0.95 * len(text) else None
 
 
 def _maybe_layer(data: bytes) -> bool:
@@ -103,21 +101,24 @@ def _maybe_layer(data: bytes) -> bool:
 
 
 def _whole(text: str, first: int, end: int) -> Layer:
-    return text, np.full(len(text), first), np.full(len(text), end)
+    return text, np.broadcast_to(np.int64(first), len(text)), np.broadcast_to(np.int64(end), len(text))
 
 
-def _bytes_layer(data: bytes, firsts: np.ndarray, ends: np.ndarray) -> Layer | None:
-    """A layer from bytes whose places are known one by one, unpacked if it is compressed data."""
-    unpacked = _unpacked(data)
-    if unpacked is not None:
-        text = _readable(unpacked)
-        return None if text is None else _whole(text, int(firsts[0]), int(ends[-1]))
+def _bytes_layer(data: bytes, firsts: np.ndarray, ends: np.ndarray, spans: set, above: frozenset) -> tuple[Layer | None, int]:
+    """The layer in bytes whose places are known one by one, which is the text they unpack to or are, and how many of
+    the bytes belong to it. What an unpacked text too long to be held has inside goes to ``spans``."""
+    if _MAGIC.match(data):
+        inner, kinds, used = _unpacked(data, above)
+        if inner is not None or kinds:
+            first, end = int(firsts[0]), int(ends[used - 1])
+            spans.update((kind, first, end) for kind in kinds)
+            return None if inner is None else _whole(inner, first, end), used
     text = _readable(data)
     if text is None:
-        return None
+        return None, 0
     lead = np.flatnonzero((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)
     last = np.append(lead[1:], len(data)) - 1
-    return text, firsts[lead], ends[last]
+    return (text, firsts[lead], ends[last]), len(data)
 
 
 def _replaced(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
@@ -155,7 +156,7 @@ def _from_unicode(m: re.Match):
     return chr(code), np.array([0]), np.array([len(m[0])])
 
 
-def _from_url_run(run: str, first: np.ndarray, end: np.ndarray) -> Iterator[Layer]:
+def _from_url_run(run: str, first: np.ndarray, end: np.ndarray, spans: set, above: frozenset) -> Iterator[Layer]:
     """Compressed data in a run of escaped and unescaped bytes, wherever in the run it begins; "+" may be itself
     or a space."""
     for raw in {run.encode(), run.replace("+", " ").encode()}:
@@ -168,23 +169,26 @@ def _from_url_run(run: str, first: np.ndarray, end: np.ndarray) -> Iterator[Laye
             at = e.end()
         start = np.concatenate([*places, np.arange(at, len(raw))]).astype(np.int64)
         stop = np.append(start[1:], len(raw))
-        for m in _MAGIC.finditer(data):
-            unpacked = _unpacked(data[m.start() :])
-            inner = None if unpacked is None else _readable(unpacked)
+        at = 0
+        while (m := _MAGIC.search(data, at)) is not None:
+            inner, kinds, used = _unpacked(data[m.start() :], above)
+            at = m.start() + max(used, 1)
+            place = int(first[start[m.start()]]), int(end[stop[at - 1] - 1])
+            spans.update((kind, *place) for kind in kinds)
             if inner is not None:
-                yield _whole(inner, int(first[start[m.start()]]), int(end[stop[-1] - 1]))
+                yield _whole(inner, *place)
 
 
-def _base64_places(text: str, start: int, stop: int) -> Iterator[list[tuple[int, int]]]:
-    """The stretches of a run that may be one encoded value, each as the places of its lines.
+def _base64_places(text: str, lines: list[tuple[int, int]]) -> Iterator[tuple[int, list[tuple[int, int]]]]:
+    """The stretches of a run that may be one encoded value, longest first, each as its first line and its places.
 
     Besides the whole run these are, as words may stand on the lines around a value: the run without its first or
     last line, lines of one width with a shorter one behind and any one before, and each line with its parts in the
     one and the other alphabet.
     """
-    lines = [m.span() for m in _LINE.finditer(text, start, stop)]
     n, width = len(lines), [b - a for a, b in lines]
-    found = {(0, n), (1, n), (0, n - 1), (1, n - 1)}
+    before = [0, *itertools.accumulate(width)]
+    found = {(0, n), (1, n), (0, n - 1), (1, n - 1), *((i, i + 1) for i in range(n))}
     a = 0
     while a < n and n > 1:
         b = a + 1
@@ -193,17 +197,17 @@ def _base64_places(text: str, start: int, stop: int) -> Iterator[list[tuple[int,
         after = b + 1 if b < n and width[b] < width[a] else b
         found.update((x, y) for x in (a, max(a - 1, 0)) for y in (b, after))
         a = b
-    found.update((i, i + 1) for i in range(n))
-    for a, b in sorted(found):
-        if a < b and sum(width[a:b]) >= _LEAST_BASE64:
-            yield lines[a:b]
-    for a, b in lines:
+    for a, b in sorted(found, key=lambda x: (before[x[0]] - before[x[1]], x)) if n > 1 else [(0, 1)]:
+        if a < b and before[b] - before[a] >= _LEAST_BASE64:
+            yield a, lines[a:b]
+    for i, (a, b) in enumerate(lines):
         for alphabet in _ALPHABETS:
-            yield from ([m.span()] for m in alphabet.finditer(text, a, b) if m.span() != (a, b))
+            yield from ((i, [m.span()]) for m in alphabet.finditer(text, a, b) if m.span() != (a, b))
 
 
-def unwrap(layer: Layer) -> Iterator[Layer]:
-    """The layers that are directly encoded in a layer."""
+def unwrap(layer: Layer, spans: set, above: frozenset) -> Iterator[Layer]:
+    """The layers that are directly encoded in a layer. Secrets in those too long to be held are added to ``spans``;
+    ``above`` are the digests of the compressed data around it, which are not unpacked again."""
     text, first, end = layer
     if "%" in text:
         decoded = _replaced(layer, _URL, _from_url)
@@ -211,13 +215,17 @@ def unwrap(layer: Layer) -> Iterator[Layer]:
             yield decoded
         for m in _URL_RUN.finditer(text):  # compressed bytes, of which URLs escape only some
             if "%" in m[0]:
-                yield from _from_url_run(m[0], first[m.start() : m.end()], end[m.start() : m.end()])
+                yield from _from_url_run(m[0], first[m.start() : m.end()], end[m.start() : m.end()], spans, above)
     if "\\" in text:
         decoded = _replaced(layer, _UNICODE, _from_unicode)
         if decoded is not None:
             yield decoded
     for m in _BASE64.finditer(text):
-        for places in _base64_places(text, m.start(), m.end()):
+        lines = [x.span() for x in _LINE.finditer(text, m.start(), m.end())]
+        known: set[int] = set()  # lines of a layer that is found
+        for line, places in _base64_places(text, lines):
+            if line in known:
+                continue
             body = "".join(text[a:b] for a, b in places)
             if len(body) % 4 == 1:
                 body = body[:-1]
@@ -230,9 +238,12 @@ def unwrap(layer: Layer) -> Iterator[Layer]:
             # Byte j comes from the six-bit groups that its bits 8 j .. 8 j + 7 lie in.
             at = np.concatenate([np.arange(a, b) for a, b in places])
             bit = 8 * np.arange(len(data))
-            found = _bytes_layer(data, first[at[bit // 6]], end[at[(bit + 7) // 6]])
+            found, used = _bytes_layer(data, first[at[bit // 6]], end[at[(bit + 7) // 6]], spans, above)
             if found is not None:
                 yield found
+            while used and line < len(lines) and lines[line][0] <= at[(8 * used - 1) // 6]:
+                known.add(line)
+                line += 1
 
 
 def find_secrets(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
@@ -243,22 +254,283 @@ def find_secrets(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str,
     base = sorted(set(scan(text)), key=lambda s: (s[1], rank[s[0]], s[2]))
     places = None
     spans = set(base)
-    seen: set[tuple[int, int, bytes]] = set()
     work: list[Layer] = []
     if "%" in text or "\\" in text or _BASE64.search(text):
         places = np.arange(len(text) + 1)
         work.append((text, places[:-1], places[1:]))
+    _unwrap_all(work, spans, frozenset())
+    return base, sorted(spans, key=lambda s: (s[1], rank[s[0]], s[2]))
+
+
+def _unwrap_all(work: list[Layer], spans: set, above: frozenset) -> None:
+    """Add the secrets of all layers encoded in those of ``work``, at any depth."""
+    seen: set[tuple[int, int, bytes]] = set()
     while work:
         layer = work.pop()
-        for inner, first, end in unwrap(layer):
+        for inner, first, end in unwrap(layer, spans, above):
             if not inner:
                 continue
-            mark = (int(first[0]), int(end[-1]), hashlib.blake2b(inner.encode("utf-8", "surrogatepass"), digest_size=16).digest())
+            mark = (int(first[0]), int(end[-1]), _digest(inner.encode("utf-8", "surrogatepass")))
             if mark not in seen:
                 seen.add(mark)
                 spans.update((kind, int(first[a]), int(end[b - 1])) for kind, a, b in scan(inner))
                 work.append((inner, first, end))
-    return base, sorted(spans, key=lambda s: (s[1], rank[s[0]], s[2]))
+
+
+def _digest(data: bytes) -> bytes:
+    return hashlib.blake2b(data, digest_size=16).digest()
+
+
+class _Text:
+    """Text that comes in pieces of bytes. It is kept while it is short; of a long one only the kinds of its
+    secrets are, which suffices, as all characters of an unpacked layer have one place in the document."""
+
+    def __init__(self, above: frozenset) -> None:
+        self.above = above
+        self.decoder = codecs.getincrementaldecoder("utf-8")()
+        self.n = self.n_plain = 0
+        self.rest = ""
+        self.long = self.damaged = False
+        self.kinds: set[str] = set()
+        self.runs: list[_Run] = []
+
+    def feed(self, data: bytes) -> None:
+        if self.damaged:
+            return
+        try:
+            text = self.decoder.decode(data)
+        except UnicodeDecodeError:
+            self.damaged, self.rest, self.runs = True, "", []
+            return
+        self.n += len(text)
+        self.n_plain += _plain(text)
+        for run in self.runs:
+            run.feed(text)
+        self.rest += text
+        while len(self.rest) >= WINDOW:
+            self._cut()
+
+    def _cut(self) -> None:
+        self.long, text = True, self.rest
+        ends = [m.end() for m in _SAFE_CUT.finditer(text, max(0, len(text) - OVERLAP))] or [m.end() for m in _SAFE_CUT.finditer(text)]
+        if ends:
+            self._window(text[: ends[-1]])
+            self.rest = text[ends[-1] :]
+            return
+        self._window(text)
+        for run in self.runs:
+            if run.ended:
+                self.kinds |= run.close()
+        self.runs = [run for run in self.runs if not run.ended]
+        if not self.runs:
+            self._open(text)
+        self.rest = text[-OVERLAP:]
+
+    def _open(self, text: str) -> None:
+        """Follow the values that the end of a window leaves open."""
+        last = next((m for m in _BASE64.finditer(text) if m.end() >= len(text.rstrip())), None)
+        if last is not None:
+            lines = [m.start() for m in _LINE.finditer(text, last.start(), last.end())]
+            for at in lines[:2]:
+                self.runs.append(_Run(_RUN_END, _FromBase64(), _Layer(self.above)))
+                self.runs[-1].feed(text[at:])
+        url = next((m for m in _URL_RUN.finditer(text) if m.end() == len(text)), None)
+        if url is not None and "%" in url[0]:
+            for space in {"+", " "} if "+" in url[0] else {"+"}:
+                self.runs.append(_Run(_URL_END, _FromUrl(space), _Anywhere(self.above)))
+                self.runs[-1].feed(url[0])
+
+    def _window(self, text: str) -> None:
+        self.kinds.update(kind for kind, _, _ in scan(text))
+        spans: set[tuple[str, int, int]] = set()
+        _unwrap_all([_whole(text, 0, 1)], spans, self.above)
+        self.kinds.update(kind for kind, _, _ in spans)
+
+    def close(self, complete: bool = True) -> tuple[str | None, set[str]]:
+        """The text if it is short, and the kinds in a long one; nothing if it is not readable."""
+        cut_off = bool(self.decoder.getstate()[0])
+        if self.damaged or not self.n or (cut_off and complete) or self.n_plain < 0.95 * self.n:
+            return None, set()
+        if not self.long:
+            return self.rest, set()
+        self._window(self.rest)
+        for run in self.runs:
+            self.kinds |= run.close()
+        return None, self.kinds
+
+
+class _Packed:
+    """Compressed data that comes in pieces: gzip, zlib, bzip2 and xz, member after member."""
+
+    def __init__(self, above: frozenset) -> None:
+        self.text = _Text(above)
+        self.member = None
+        self.head = b""  # too short to tell what it is
+        self.fed = self.used = self.members = 0
+        self.over = False
+
+    def feed(self, data: bytes) -> None:
+        self.fed += len(data)
+        data = self.head + data
+        self.head = b""
+        while not self.over:
+            if self.member is None:
+                if self.members:
+                    data = data.lstrip(b"\0")  # padding between members
+                if len(data) < 6:
+                    self.head = data
+                    return
+                self.member = _member(data)
+                if self.member is None:
+                    self.over = True
+                    return
+            try:
+                out = self.member.decompress(data, _PIECE_OUT)
+            except (zlib.error, OSError, lzma.LZMAError, ValueError, EOFError):
+                self.over = True
+                return
+            self.text.feed(out)
+            self.over = self.over or self.text.damaged
+            if self.member.eof:
+                data = self.member.unused_data
+                self.member = None
+                self.members += 1
+                self.used = self.fed - len(data)
+            elif hasattr(self.member, "unconsumed_tail"):
+                data = self.member.unconsumed_tail
+                if not data and len(out) < _PIECE_OUT:
+                    return
+            else:
+                data = b""
+                if self.member.needs_input:
+                    return
+
+    def close(self) -> tuple[str | None, set[str], int]:
+        text, kinds = self.text.close(self.member is None)
+        broken = self.member is not None and (not self.over or text is not None or kinds)
+        return text, kinds, self.fed if broken else self.used
+
+
+def _member(data: bytes):
+    """What unpacks data that begins so; None if it is not compressed."""
+    if data[:2] == b"\x1f\x8b":
+        return zlib.decompressobj(31)
+    if data[:1] == b"\x78" and int.from_bytes(data[:2], "big") % 31 == 0:
+        return zlib.decompressobj()
+    if data[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if data[:6] == b"\xfd7zXZ\0":
+        return lzma.LZMADecompressor()
+    return None
+
+
+def _unpacked(data: bytes, above: frozenset) -> tuple[str | None, set[str], int]:
+    """Unpacked text if it is short, the kinds of secrets in a long one, and how many bytes of ``data`` it took."""
+    digest = _digest(data)
+    if digest in above:
+        return None, set(), 0
+    packed = _Packed(above | {digest})
+    for at in range(0, len(data), _PIECE_IN):
+        packed.feed(data[at : at + _PIECE_IN])
+        if packed.over:
+            break
+    return packed.close()
+
+
+class _Layer:
+    """Decoded bytes that come in pieces: text or compressed data."""
+
+    def __init__(self, above: frozenset) -> None:
+        self.above, self.head, self.sinks = above, b"", None
+
+    def feed(self, data: bytes) -> None:
+        if self.sinks is None:
+            self.head = data = self.head + data
+            if len(data) < 16:
+                return
+            self.sinks = [_Text(self.above)] + ([_Packed(self.above)] if _MAGIC.match(data) else [])
+        for sink in self.sinks:
+            sink.feed(data)
+
+    def close(self) -> set[str]:
+        return set().union(*(_kinds(sink) for sink in self.sinks or []))
+
+
+class _Anywhere:
+    """Decoded bytes that come in pieces and have compressed data somewhere in their first one."""
+
+    def __init__(self, above: frozenset) -> None:
+        self.above, self.sinks = above, None
+
+    def feed(self, data: bytes) -> None:
+        if self.sinks is not None:
+            for sink in self.sinks:
+                sink.feed(data)
+            return
+        self.sinks, at = [], 0
+        while (m := _MAGIC.search(data, at)) is not None:
+            packed = _Packed(self.above)
+            for i in range(m.start(), len(data), _PIECE_IN):
+                packed.feed(data[i : i + _PIECE_IN])
+            at = m.start() + max(packed.used, 1)
+            if not packed.over:
+                self.sinks.append(packed)
+                return
+
+    def close(self) -> set[str]:
+        return set().union(*(_kinds(sink) for sink in self.sinks or []))
+
+
+def _kinds(sink: _Text | _Packed) -> set[str]:
+    """Kinds of secrets in a layer that has ended, be it short or long."""
+    text, kinds, *_ = sink.close()
+    if text is not None:
+        sink = sink.text if isinstance(sink, _Packed) else sink
+        sink._window(text)
+        return sink.kinds
+    return kinds
+
+
+class _FromBase64:
+    def __init__(self) -> None:
+        self.rest = ""
+
+    def __call__(self, text: str, last: bool) -> bytes:
+        body = self.rest + "".join(text.split()).translate(_URL_SAFE)
+        n = len(body) // 4 * 4
+        self.rest, body = body[n:], body[:n]
+        if last and len(self.rest) > 1:
+            body += self.rest + "=" * (4 - len(self.rest))
+        return base64.b64decode(body)
+
+
+class _FromUrl:
+    def __init__(self, plus: str) -> None:
+        self.plus, self.rest = plus, ""
+
+    def __call__(self, text: str, last: bool) -> bytes:
+        text = self.rest + text
+        at = text.rfind("%", max(0, len(text) - 2))
+        self.rest, text = ("", text) if last or at < 0 else (text[at:], text[:at])
+        return _ESCAPE.sub(lambda e: bytes([int(e[1], 16)]), text.replace("+", self.plus).encode())
+
+
+class _Run:
+    """An encoded value that goes on over the windows of a long layer, decoded as it comes."""
+
+    def __init__(self, stop: re.Pattern, decode, sink: _Layer | _Anywhere) -> None:
+        self.stop, self.decode, self.sink, self.ended = stop, decode, sink, False
+
+    def feed(self, text: str) -> None:
+        if not self.ended:
+            m = self.stop.search(text)
+            self.ended = m is not None
+            self.sink.feed(self.decode(text if m is None else text[: m.start()], self.ended))
+
+    def close(self) -> set[str]:
+        if not self.ended:
+            self.sink.feed(self.decode("", True))
+        return self.sink.close()
 
 
 def _joined(spans: list[tuple[str, int, int]]) -> str:

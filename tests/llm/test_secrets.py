@@ -6,6 +6,8 @@ import base64
 import bz2
 import gzip
 import hashlib
+import lzma
+import random
 import re
 import urllib.parse
 import zlib
@@ -81,6 +83,34 @@ def test_layers_in_other_shapes():
         assert all(at <= a < b <= at + len(layer) for _, a, b in spans), layer
 
 
+def test_members_and_long_layers(monkeypatch):
+    monkeypatch.setattr(s, "WINDOW", 1 << 18, raising=False)
+    filler = "é, plain words in a line. " * 10_000
+    secret = "password=hunter2hunter2"
+    cut = 1 << 18
+    deep = base64.b64encode(zlib.compress(bytes(random.Random(1).choices(range(97, 123), k=3 * cut)) + secret.encode())).decode()
+    assert len(deep) > cut
+    whole = {
+        "members": gzip.compress(b"one, two. " * 20) + gzip.compress(secret.encode()),
+        "streams": bz2.compress(b"one, two. ") + bz2.compress(secret.encode()),
+        "blocks": lzma.compress(b"one, two. ") + lzma.compress(secret.encode()),
+        "padded": gzip.compress(b"one, two. ") + bytes(512) + gzip.compress(secret.encode()),
+        "end": gzip.compress(("é\n" * (23 << 20) + secret).encode()),  # over 64 MB
+        "split": zlib.compress((" " * (cut - 4) + secret + "x" * cut).encode()),
+        "nested": zlib.compress(f"{filler} {deep} {filler}".encode()),
+        "escaped": zlib.compress(f"{filler} {urllib.parse.quote(base64.b64decode(deep))} {filler}".encode()),
+    }
+    for name, data in whole.items():
+        layer = base64.b64encode(data).decode()
+        assert s.find_secrets(f"see {layer} here")[1] == [("assign", 4, 4 + len(layer.rstrip("=")))], name
+
+
+def test_wrapped_layer_is_one_finding():
+    data = gzip.compress(" ".join(map(str, range(500))).encode() + b" password=hunter2hunter2 ", mtime=0)
+    layer = base64.encodebytes(data).decode().rstrip()
+    assert s.find_secrets(f"see:\n{layer}\nhere")[1] == [("assign", 5, 5 + len(layer.rstrip("=")))]
+
+
 def test_cycles_and_bombs_end():
     text = "password=" + "%25" * 50 + "41 " + base64.b64encode(gzip.compress(b"a" * 200_000)).decode()
     base, spans = s.find_secrets(text)
