@@ -2,8 +2,8 @@
 
 Statistics of every text are transformed to a short vector. For each (lang, source) centre and scatter are
 those of the ``SUPPORT`` share of its rows with the smallest determinant, approached by concentration
-steps: distances under the current estimate, the nearest rows, their mean and covariance again. Every
-step is one aggregation over the stored vectors for all groups together, so a group with a third
+steps until the determinant stops falling: distances under the current estimate, the nearest rows, their mean
+and covariance again. Every step is one aggregation over the stored vectors for all groups together, so a group with a third
 of all rows is summed up by all tasks. A text goes when its Mahalanobis distance is too large.
 """
 
@@ -21,14 +21,17 @@ from kilowise.llm.common import _SPACE, flat, mix, slices, word_hashes, word_pla
 from kilowise.plans.storage import materialize
 
 SUPPORT = 0.75
-STEPS = 4
-MIN_ROWS = 100  # smaller groups are estimated together, per language, then over all
+FALL = 1e-4  # a logarithm of the determinant that falls by less has stopped
+MIN_ROWS = 100  # rows of smaller groups are judged by their whole language, or if that is small, by all rows
 CUTOFF = 35.9  # squared distance: the 1 - 1e-6 quantile of chi squared with five degrees
 BROADCAST_ROWS = 500_000
 DIMS = 5
-# Differences below these are no evidence: log mean word length, log words, root shares of symbols,
-# repeated lines and repeated words.
-RESOLUTION = (0.04, 0.25, 0.04, 0.3, 0.2)
+# Log mean word length, log words, root shares of symbols, repeated lines and repeated words. Floors that keep the
+# scatter regular where nearly all texts have the same value, such as no repeated line at all:
+FLOOR = (0.04, 0.25, 0.04, 0.3, 0.2)
+# and spreads that count as those of ``PRIOR_ROWS`` rows, so that a few rows do not make a narrow scatter by chance.
+PRIOR = (0.1, 0.7, 0.1, 0.3, 0.2)
+PRIOR_ROWS = 0
 # Makes the scatter of the nearest 75 % of a five-dimensional normal sample that of the whole sample:
 # 0.75 over the share of chi squared with seven degrees below the 75 % point with five.
 _CONSISTENCY = 1.41
@@ -118,8 +121,9 @@ def _moments(rows: DataFrame) -> DataFrame:
 
 
 def _estimates(moments: DataFrame) -> DataFrame:
-    """group, centre (m_i) and the lower triangle (l_i_j) of the inverse Cholesky factor of the scatter."""
-    names = [f"m_{i}" for i in range(DIMS)] + [f"l_{i}_{j}" for i, j in _PAIRS]
+    """group, centre (m_i), the lower triangle (l_i_j) of the inverse Cholesky factor of the scatter, and the
+    logarithm of the scatter's determinant."""
+    names = [f"m_{i}" for i in range(DIMS)] + [f"l_{i}_{j}" for i, j in _PAIRS] + ["log_det"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
@@ -128,64 +132,77 @@ def _estimates(moments: DataFrame) -> DataFrame:
             scatter = np.zeros((len(rows), DIMS, DIMS))
             for i, j in _PAIRS:
                 scatter[:, i, j] = scatter[:, j, i] = rows[f"p_{i}_{j}"].to_numpy() / n[:, 0] - centre[:, i] * centre[:, j]
-            # A multiple of the raw scatter makes up for the cut tails; the resolution keeps it regular.
-            scatter = scatter * _CONSISTENCY + np.diag(np.square(RESOLUTION))
+            # A multiple of the raw scatter makes up for the cut tails, and in small samples for the fitted centre.
+            scatter *= (_CONSISTENCY * n / np.maximum(n - DIMS, n / 2))[:, :, None]
+            least = np.square(FLOOR) + PRIOR_ROWS / n * np.square(PRIOR)
+            scatter += least[:, :, None] * np.eye(DIMS)
             factor = np.linalg.inv(np.linalg.cholesky(scatter)) if len(rows) else scatter
-            columns = [*centre.T, *(factor[:, i, j] for i, j in _PAIRS)]
+            log_det = -2 * np.log(np.diagonal(factor, axis1=1, axis2=2)).sum(axis=1)
+            columns = [*centre.T, *(factor[:, i, j] for i, j in _PAIRS), log_det]
             yield pd.DataFrame({"group": rows["group"], **dict(zip(names, columns))})
 
     return moments.mapInPandas(run, "group string, " + ", ".join(f"{c} double" for c in names))
 
 
-def _with_distance(rows: DataFrame, estimates: DataFrame) -> DataFrame:
+def _with_distance(rows: DataFrame, estimates: DataFrame, how: str) -> DataFrame:
     """Add the squared Mahalanobis distance ``d2``."""
-    estimates = materialize(estimates, "estimates")
     near = F.broadcast(estimates) if estimates.count() <= BROADCAST_ROWS else estimates
     total = F.lit(0.0)
     for i in range(DIMS):
         total += F.pow(sum((F.col(f"l_{i}_{j}") * (F.col(_X[j]) - F.col(f"m_{j}")) for j in range(i + 1)), F.lit(0.0)), F.lit(2.0))
-    return rows.join(near, "group", "left").withColumn("d2", total).drop(*(c for c in estimates.columns if c != "group"))
+    return rows.join(near, "group", how).withColumn("d2", total).drop(*(c for c in estimates.columns if c != "group"))
 
 
 def _grouped(rows: DataFrame, min_rows: int) -> DataFrame:
-    """Name the group of each row: its language and source, or where those have few rows the rest of its
-    language, or where that has few rows too, the rest of all."""
+    """Name the group by which each row is judged, and in ``members`` all groups whose estimates it takes part in.
+    A row is judged by its language and source, or where those have few rows by all rows of its language, or where
+    that has few rows too, by all rows."""
     own = F.to_json(F.struct(F.col("lang").alias("l"), F.col("source").alias("s")), {"ignoreNullFields": "false"})
     language = F.to_json(F.struct(F.col("lang").alias("l")), {"ignoreNullFields": "false"})
-    sizes = rows.groupBy(own.alias("own"), language.alias("language")).agg(F.count(F.lit(1)).alias("n"))
-    small = sizes.filter(F.col("n") < min_rows)
-    rest = small.groupBy("language").agg(F.sum("n").alias("rest"))
-    named = materialize(
-        small.join(rest, "language").select("own", F.when(F.col("rest") < min_rows, "all").otherwise(F.col("language")).alias("_wider")),
-        "small-groups",
+    sizes = materialize(rows.groupBy(own.alias("own"), language.alias("_language")).agg(F.count(F.lit(1)).alias("_n")), "group-sizes")
+    languages = sizes.groupBy("_language").agg(F.sum("_n").alias("_in_language"), F.min("_n").alias("_least"))
+    narrow = (F.col("_least") < min_rows) & (F.col("_in_language") >= min_rows)
+    languages = materialize(languages.select("_language", "_in_language", narrow.alias("_used")), "languages")
+    few = not languages.filter(F.col("_in_language") < min_rows).isEmpty()
+    none = F.array().cast("array<string>")
+    members = F.concat(
+        F.when(F.col("_n") >= min_rows, F.array("own")).otherwise(none),
+        F.when(F.col("_used"), F.array("_language")).otherwise(none),
+        F.array(F.lit("all")) if few else none,
     )
+    by = F.when(F.col("_n") >= min_rows, F.col("own")).when(F.col("_in_language") >= min_rows, F.col("_language")).otherwise("all")
+    named = materialize(sizes.join(languages, "_language").select("own", by.alias("group"), members.alias("members")), "groups")
     named = F.broadcast(named) if named.count() <= BROADCAST_ROWS else named
-    return rows.withColumn("own", own).join(named, "own", "left").withColumn("group", F.coalesce("_wider", "own")).drop("own", "_wider")
+    return rows.withColumn("own", own).join(named, "own").drop("own")
 
 
-def judge(docs: DataFrame, support: float = SUPPORT, steps: int = STEPS, cutoff: float = CUTOFF, min_rows: int = MIN_ROWS) -> DataFrame:
+def judge(docs: DataFrame, support: float = SUPPORT, steps: int | None = 4, cutoff: float = CUTOFF, min_rows: int = MIN_ROWS) -> DataFrame:
     """doc_id, the five counts, base_failed, kept and d2 (squared distance, null where base_failed).
 
     Texts that fail the base rules take no part in the estimates. Null and empty texts have no words
-    and fail. Null lang and source are values of their own. If fewer than ``min_rows`` rows in all are
-    left in small groups, nobody is judged by them (d2 is null, kept is true). Repeated rows are judged
+    and fail. Null lang and source are values of their own. Every other row has a d2, however few rows there are.
+    The concentration steps go on until no determinant falls, or up to ``steps``. Repeated rows are judged
     alike; an empty table gives an empty one; other columns are left out.
     """
     rows = materialize(statistics(docs).withColumn("base_failed", base_failed()), "statistics")
     passed = rows.filter(~F.col("base_failed")).select("*", *(x.alias(name) for x, name in zip(vector(), _X)))
     vectors = materialize(_grouped(passed, min_rows), "vectors")
-    estimates = _start(vectors)
-    for _ in range(steps):
-        placed = materialize(_with_distance(vectors, estimates), "distances")
+    members = vectors.select(F.explode("members").alias("group"), *_X)
+    estimates = falling = materialize(_start(members), "estimates")
+    while (steps is None or steps > 0) and not falling.isEmpty():
+        steps = None if steps is None else steps - 1
+        placed = materialize(_with_distance(members, falling, "inner"), "distances")
         reach = placed.groupBy("group").agg(F.percentile_approx("d2", support, 10_000).alias("reach"))
         reach = materialize(reach, "reach")
         reach = F.broadcast(reach) if reach.count() <= BROADCAST_ROWS else reach
-        estimates = _estimates(_moments(placed.join(reach, "group").filter("d2 <= reach")))
-    sizes = vectors.groupBy("group").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_rows).select(F.col("group").alias("_g"))
-    estimates = estimates.join(sizes, F.col("group") == F.col("_g"), "left_semi")
-    judged = _with_distance(vectors, estimates).select(*rows.columns, "d2")
+        new = materialize(_estimates(_moments(placed.join(reach, "group").filter("d2 <= reach"))), "estimates")
+        before = falling.select("group", F.col("log_det").alias("_before"))
+        falling = new.join(before, "group").filter(F.col("log_det") < F.col("_before") - FALL).drop("_before")
+        falling = materialize(falling, "falling")
+        estimates = materialize(estimates.join(falling, "group", "left_anti").unionByName(falling), "estimates")
+    judged = _with_distance(vectors, estimates, "left").select(*rows.columns, "d2")
     every = judged.unionByName(rows.filter("base_failed").withColumn("d2", F.lit(None).cast("double")))
-    kept = ~F.col("base_failed") & (F.coalesce("d2", F.lit(0.0)) <= cutoff)
+    kept = ~F.col("base_failed") & (F.col("d2") <= cutoff)
     return every.select("doc_id", *_COUNTS, "base_failed", kept.alias("kept"), "d2")
 
 
@@ -193,6 +210,6 @@ def _start(vectors: DataFrame) -> DataFrame:
     """First estimate of each group: medians and spreads of the single statistics."""
     middle = vectors.groupBy("group").agg(*(F.percentile_approx(x, [0.25, 0.5, 0.75], 10_000).alias(x) for x in _X))
     centre = [F.col(x)[1].alias(f"m_{i}") for i, x in enumerate(_X)]
-    spread = [F.greatest((F.col(x)[2] - F.col(x)[0]) / 1.349, F.lit(r)) for x, r in zip(_X, RESOLUTION)]
+    spread = [F.greatest((F.col(x)[2] - F.col(x)[0]) / 1.349, F.lit(r)) for x, r in zip(_X, FLOOR)]
     factor = [(1 / spread[i] if i == j else F.lit(0.0)).alias(f"l_{i}_{j}") for i, j in _PAIRS]
-    return middle.select("group", *centre, *factor)
+    return middle.select("group", *centre, *factor, F.lit(float("inf")).alias("log_det"))

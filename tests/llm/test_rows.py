@@ -179,6 +179,26 @@ def test_outliers_of_a_group(spark):
     assert all(kept[i] for i in range(420)) and not any(v for k, v in kept.items() if k >= 1000)
 
 
+def _unrepeated(seed, n):
+    return [f"{w}{k % 7}{chr(97 + k % 26)}" for k, w in enumerate(re.findall(r"\w+", prose(seed, n)))]
+
+
+def _judged(spark, texts):
+    rows = [(i, text, lang, source, None) for i, (text, lang, source) in texts.items()]
+    found = {r["doc_id"]: r for r in outliers.judge(spark.createDataFrame(rows, DOCUMENT)).collect()}
+    assert len(found) == len(texts) and not any(r["base_failed"] or r["d2"] is None for r in found.values())
+    return {i for i, r in found.items() if not r["kept"]}
+
+
+def test_every_row_is_judged(spark):
+    """Junk of small groups is judged by its language or all rows, and of a table that is small itself."""
+    large = {i: (" ".join(_unrepeated(i, 60 + i % 90)), "en", "s") for i in range(300)}
+    small = {400 + i: (" ".join(_unrepeated(i, 80 + i)), ("en", "fr")[i % 2], f"rare{i % 7}") for i in range(40)}
+    small |= {1000 + i: (" ".join(f"{w}xxxxxxxxxxxx" for w in _unrepeated(i, 100)), ("en", "fr")[i % 2], f"rare{i}") for i in range(4)}
+    assert _judged(spark, large | small) == set(range(1000, 1004))
+    assert _judged(spark, small) == set(range(1000, 1004))
+
+
 def test_classifier_learns_passages(spark, none):
     """Bags are bad for one junk passage; half of the labels teach, the held-out ones are right."""
     bad = " ".join(w.upper() + "!!" for w in prose(77, 70).split())
