@@ -28,10 +28,10 @@ BROADCAST_ROWS = 500_000
 DIMS = 5
 # Log mean word length, log words, root shares of symbols, repeated lines and repeated words. Floors that keep the
 # scatter regular where nearly all texts have the same value, such as no repeated line at all:
-FLOOR = (0.04, 0.25, 0.04, 0.3, 0.2)
+FLOOR = (0.01, 0.05, 0.02, 0.05, 0.05)
 # and spreads that count as those of ``PRIOR_ROWS`` rows, so that a few rows do not make a narrow scatter by chance.
 PRIOR = (0.1, 0.7, 0.1, 0.3, 0.2)
-PRIOR_ROWS = 0
+PRIOR_ROWS = 6
 # Makes the scatter of the nearest 75 % of a five-dimensional normal sample that of the whole sample:
 # 0.75 over the share of chi squared with seven degrees below the 75 % point with five.
 _CONSISTENCY = 1.41
@@ -176,7 +176,7 @@ def _grouped(rows: DataFrame, min_rows: int) -> DataFrame:
     return rows.withColumn("own", own).join(named, "own").drop("own")
 
 
-def judge(docs: DataFrame, support: float = SUPPORT, steps: int | None = 4, cutoff: float = CUTOFF, min_rows: int = MIN_ROWS) -> DataFrame:
+def judge(docs: DataFrame, support: float = SUPPORT, steps: int | None = None, cutoff: float = CUTOFF, min_rows: int = MIN_ROWS) -> DataFrame:
     """doc_id, the five counts, base_failed, kept and d2 (squared distance, null where base_failed).
 
     Texts that fail the base rules take no part in the estimates. Null and empty texts have no words

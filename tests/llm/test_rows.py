@@ -199,6 +199,14 @@ def test_every_row_is_judged(spark):
     assert _judged(spark, small) == set(range(1000, 1004))
 
 
+def test_repeated_lines_and_words_are_outliers(spark):
+    """In a group that has none of either."""
+    texts = {i: (" ".join(_unrepeated(i, 100 + i % 90)), "en", "s") for i in range(200)}
+    texts |= {1000 + i: ("\nonce\n".join([*_unrepeated(i, 29), " ".join(_unrepeated(i + 9, 100))]), "en", "s") for i in range(3)}
+    texts |= {2000 + i: (" ".join([*_unrepeated(i, 44) * 2, *_unrepeated(i + 9, 160)[44:]]), "en", "s") for i in range(3)}
+    assert _judged(spark, texts) == {*range(1000, 1003), *range(2000, 2003)}
+
+
 def test_classifier_learns_passages(spark, none):
     """Bags are bad for one junk passage; half of the labels teach, the held-out ones are right."""
     bad = " ".join(w.upper() + "!!" for w in prose(77, 70).split())
