@@ -824,9 +824,10 @@ def stream_progress(x: Tables) -> DataFrame:
     def archive(batch: DataFrame, batch_id: int) -> None:
         sinks.archive_batch(batch, batch_id, paths.archive)
 
-    queries = {"archive": sinks.foreach_batch(etl.enriched_stream(raw), archive, paths.checkpoint, ONCE)}
-    etl.await_all(queries)
-    return progress.stream_progress(x.spark, queries).groupBy("query").agg(F.sum("n_input_rows").alias("n_input_rows"))
+    with progress.ProgressLog(x.spark, paths.progress) as log:
+        queries = {"archive": sinks.foreach_batch(etl.enriched_stream(raw), archive, paths.checkpoint, ONCE)}
+        etl.await_all(queries)
+        return log.read(queries).groupBy("query").agg(F.sum("n_input_rows").alias("n_input_rows"))
 
 
 def _typed_stream(x: Tables) -> DataFrame:

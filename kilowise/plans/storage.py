@@ -58,6 +58,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(target)
 
 
+def write_file(spark: SparkSession, path: str, text: str) -> None:
+    """Write or replace one small file."""
+    files, target = _file_system(spark, path)
+    out = files.create(target, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     files, target = _file_system(spark, path)
     files.delete(target, True)

@@ -1,11 +1,17 @@
-"""State of running queries, from the progress records Spark keeps of them."""
+"""State of running queries, from the progress records Spark keeps of them, or that a log stores of every batch."""
 
 from __future__ import annotations
 
+import json
+import threading
+from collections import defaultdict
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+
+from kilowise.plans.storage import path_exists, write_file
 
 
 def stream_progress(
@@ -21,6 +27,59 @@ def stream_progress(
     return spark.createDataFrame(rows, "query string, batch_id bigint, n_input_rows bigint")
 
 
+class ProgressLog(StreamingQueryListener):
+    """Stores the progress of every batch as a file of its own below ``path``. Spark keeps the last 100 records only.
+
+    Enter it before the queries start. A replayed batch replaces its record; reports of an idle query do not.
+    """
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path = spark, path
+        self.ended: dict[str, threading.Event] = defaultdict(threading.Event)
+        self.failed: list[Exception] = []
+
+    def __enter__(self) -> ProgressLog:
+        self.spark.streams.addListener(self)
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.spark.streams.removeListener(self)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        try:
+            file = f"{self.path}/query_id={p.id}/{p.batchId}.json"
+            if p.numInputRows or not path_exists(self.spark, file):
+                write_file(self.spark, file, json.dumps({"batch_id": p.batchId, "n_input_rows": p.numInputRows}) + "\n")
+        except Exception as error:  # Spark only logs what a listener raises
+            self.failed.append(error)
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended[str(event.runId)].set()
+
+    def read(self, queries: Mapping[str, StreamingQuery], seconds: float = 120) -> DataFrame:
+        """Input rows of all batches of each query, one record per batch. Waits for the last records of queries that have
+        ended, which come ``seconds`` later at most."""
+        for name, query in queries.items():
+            if not query.isActive and not self.ended[str(query.runId)].wait(seconds):
+                raise TimeoutError(f"the end of query {name} was not reported")
+        if self.failed:
+            raise RuntimeError("progress was not stored") from self.failed[0]
+        found = self.spark.createDataFrame([], "query string, batch_id bigint, n_input_rows bigint")
+        for name, query in queries.items():
+            folder = f"{self.path}/query_id={query.id}"
+            if path_exists(self.spark, folder):
+                rows = self.spark.read.schema("batch_id bigint, n_input_rows bigint").json(folder)
+                found = found.unionByName(rows.select(F.lit(name).alias("query"), "batch_id", "n_input_rows"))
+        return found
+
+
 def stream_status(queries: Mapping[str, StreamingQuery]) -> dict[str, dict]:
     """Message, activity and error of each query."""
     status = {}

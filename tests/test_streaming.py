@@ -88,6 +88,24 @@ def test_etl_over_two_runs(spark, as_stream, tmp_path, isolated):
     assert all(x["error"] is None for x in progress.stream_status(queries).values())
 
 
+def test_progress_of_every_batch(spark, tmp_path):
+    """More batches than Spark keeps records of."""
+    for i in range(5):
+        spark.range(i + 1).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    kept = "spark.sql.streaming.numRecentProgressUpdates"
+    spark.conf.set(kept, "2")
+    try:
+        with progress.ProgressLog(spark, str(tmp_path / "log")) as log:
+            rows = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+            queries = {"q": sinks.foreach_batch(rows, lambda batch, _: batch.count(), str(tmp_path / "cp"), ONCE)}
+            etl.await_all(queries)
+            found = log.read(queries).collect()
+        assert len(queries["q"].recentProgress) < 5
+    finally:
+        spark.conf.unset(kept)
+    assert sorted(r["batch_id"] for r in found) == list(range(5)) and sum(r["n_input_rows"] for r in found) == 15
+
+
 def test_replayed_batch_changes_nothing(spark, tmp_path, messages):
     paths = etl.EtlPaths(str(tmp_path / "replay"))
     spark.createDataFrame([("k-17",)], "meter_id string").write.parquet(paths.meters)
