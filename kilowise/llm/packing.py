@@ -25,6 +25,7 @@ from kilowise.llm.common import slices, text_column
 from kilowise.plans.storage import materialize
 
 GROUP_PIECES = 50_000
+LONG_RUN = 4096  # characters
 _ID_BYTES = 4
 # Fixed value: how a byte-level BPE cuts texts into words.
 SPLIT_RULE = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -49,11 +50,35 @@ def _encoding(path: str):
     return tiktoken.Encoding("own", pat_str=SPLIT_RULE, mergeable_ranks=ranks, special_tokens=special), list(special)
 
 
+@functools.lru_cache(maxsize=2)
+def _plain(path: str):
+    """The tokenizers library's own encoder of a file."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
+def _has_long_run(text: str, limit: int = LONG_RUN) -> bool:
+    """Whether a word of the split rule may be longer than ``limit``: a word lies inside a run without
+    white space, or inside a run of white space and the character next to it. Said too often
+    for texts with much white space in all."""
+    if len(text) <= limit:
+        return False
+    sizes = list(map(len, text.split()))
+    return max(sizes, default=0) >= limit or len(text) - sum(sizes) - len(sizes) >= limit
+
+
 def token_ids(texts: list[str], path: str) -> Iterator[bytes]:
-    """Token ids of each text as little-endian unsigned 32-bit numbers."""
+    """Token ids of each text as little-endian unsigned 32-bit numbers.
+
+    Texts with very long words or stretches of white space take the tokenizers library: tiktoken's
+    expression overflows its stack on them, and its merging is quadratic in the length of a word.
+    """
     encoding, special = _encoding(path)
     for text in texts:
-        if any(x in text for x in special):
+        if _has_long_run(text):
+            ids = _plain(path).encode(text, add_special_tokens=False).ids
+        elif any(x in text for x in special):
             ids = encoding.encode(text, allowed_special="all")
         else:
             ids = encoding.encode_ordinary(text)
