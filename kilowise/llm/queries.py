@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kilowise.llm import attention, decontaminate, jaccard, oracle, outliers, packing, secrets, sharding, substrings, suffix_array, warc
+from kilowise.llm import attention, cost_packing, decontaminate, jaccard, oracle, outliers, packing, secrets, sharding, substrings, suffix_array, warc
 
 BPE = "byte_bpe_50k.json"
 
@@ -60,7 +60,11 @@ def op10_substrings(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.remove_passages(table(spark, folder, "documents")).drop("kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_index, op2_decontaminate, op3_secrets, op4_suffix_array, op5_attention, op6_ngram_jaccard, op7_pack, op8_shard, op9_outliers, op10_substrings)}
+def op11_cost_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return cost_packing.pack_by_cost(table(spark, folder, "documents"), tokenizer_path())
+
+
+QUERIES = {f.__name__: f for f in (op1_warc_index, op2_decontaminate, op3_secrets, op4_suffix_array, op5_attention, op6_ngram_jaccard, op7_pack, op8_shard, op9_outliers, op10_substrings, op11_cost_packing)}
 
 # Decoding, learning, tokenising and robust estimates have no SQL form; tests hold the other queries
 # against brute force.
