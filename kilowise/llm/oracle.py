@@ -97,3 +97,56 @@ SELECT doc_id, size, text_crc32, 'key' AS law, shard, grown_shard,
        row_number() OVER (PARTITION BY shard ORDER BY doc_id, size, text_crc32) - 1 AS slot
 FROM sized JOIN best USING (doc_id)
 """
+
+# CRC-32 of the decimal digits of a number, byte by byte over a table of 256 remainders.
+_CRC_TABLE = """
+crc_table AS (
+    SELECT list(list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+                ORDER BY n) AS t FROM range(256) r(n))"""
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({0}::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+               lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295)"""
+
+# Equal words at each distance of up to a quarter of the text; places on end without a gap are one stretch.
+SQUARES = f"""
+WITH {_CRC_TABLE},
+d AS (SELECT doc_id, {_SPACED.format("text")} AS w, {_CRC.format("doc_id")} AS h FROM documents, crc_table),
+planted AS (SELECT doc_id, w, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS again, (h // 10) % greatest(len(w), 1) AS a, 3 + (h // 10) % 8 AS k FROM d),
+words AS (SELECT doc_id, n, CASE WHEN again THEN list_transform(range(0, n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // k) END]) ELSE w END AS w
+          FROM planted),
+placed AS (SELECT doc_id, n, unnest(w) AS word, unnest(range(0, n)) AS i FROM words),
+pairs AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM placed x JOIN placed y
+          ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+numbered AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS stretch FROM pairs),
+stretches AS (SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM numbered GROUP BY doc_id, q, stretch
+              HAVING count(*) + q >= greatest(6, 4 * q)),
+runs AS (SELECT doc_id, start, length, min(q) AS period FROM stretches GROUP BY doc_id, start, length),
+best AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY length::DOUBLE / period DESC, start, period) AS r FROM runs),
+listed AS (SELECT doc_id, count(*) AS n, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS s FROM runs GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS s FROM placed ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(listed.n, 0)::BIGINT AS n_runs, best.start::BIGINT AS start, best.length::BIGINT AS length, best.period::BIGINT AS period,
+       (1000 * best.length // best.period)::BIGINT AS exponent_milli, sha256(coalesce(listed.s, '')) AS runs_sha256, sha256(coalesce(kept.s, '')) AS collapsed_sha256
+FROM d LEFT JOIN listed USING (doc_id) LEFT JOIN (SELECT * FROM best WHERE r = 1) best USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+# Every prefix of every conversation by its text; a subtree is what names the node among its own prefixes.
+PREFIX_TRIE = f"""
+WITH {_CRC_TABLE},
+own AS (SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn NULLS FIRST, role, text) AS w
+        FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+heads AS (SELECT conv_id, w, {_CRC.format("conv_id")} % 9 AS h FROM own, crc_table),
+c AS (SELECT heads.conv_id, list_concat(coalesce(own.w[1:h], []), heads.w[h + 1:]) AS w
+      FROM heads LEFT JOIN own ON own.conv_id = heads.conv_id - heads.conv_id % 5),
+prefixes AS (SELECT conv_id, len(w) AS n, d, w[1:d] AS w, sha256(to_json(w[1:d])::VARCHAR) AS k, CASE WHEN d > 0 THEN sha256(to_json(w[1:d - 1])::VARCHAR) END AS up
+             FROM (SELECT conv_id, w, unnest(range(0, len(w) + 1)) AS d FROM c)),
+nodes AS (SELECT k, any_value(up) AS up, any_value(d) AS d, any_value(w) AS w, min(conv_id) AS conv_id, count(*) AS n_convs,
+                 coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE n = d), '') AS ends
+          FROM prefixes GROUP BY k),
+children AS (SELECT up AS k, count(*) AS n FROM nodes WHERE up IS NOT NULL GROUP BY up),
+below AS (SELECT sha256(to_json(w[1:j])::VARCHAR) AS k, n IS NULL AS leaf, CASE WHEN d > 0 THEN (n_convs - 1) * octet_length(encode(w[d].text)) ELSE 0 END AS saved
+          FROM (SELECT w, d, n_convs, children.n, unnest(range(0, d + 1)) AS j FROM nodes LEFT JOIN children USING (k))),
+sums AS (SELECT k, sum(leaf::INT)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM below GROUP BY k)
+SELECT nodes.conv_id, nodes.d::BIGINT AS depth, parents.conv_id AS parent_conv_id, nodes.n_convs, coalesce(children.n, 0)::BIGINT AS n_children,
+       n_leaves, saved_tokens, sha256(nodes.ends) AS ends_sha256
+FROM nodes LEFT JOIN nodes parents ON nodes.up = parents.k LEFT JOIN children ON children.k = nodes.k JOIN sums ON sums.k = nodes.k
+"""
