@@ -124,6 +124,30 @@ def read_insert_dump(x: Tables) -> DataFrame:
     )
 
 
+@query
+def read_multiline_dump(x: Tables) -> DataFrame:
+    """Customers as statements of several tuples over many lines, with texts in either kind of quotes that hold
+    line ends, quotes, marks of comments and of statements; statements of another table stand between them."""
+    path = storage.work_dir(x.spark, "multiline-dump")
+    odd = F.concat("office_address", F.lit("'s \"main\", (unit\n1); -- /* INSERT INTO dim_customer VALUES ("), "customer_id", F.lit(")"))
+
+    def quoted(text, quote: str):
+        return F.concat(F.lit(quote), F.replace(text, F.lit(quote), F.lit(quote * 2)), F.lit(quote))
+
+    values = F.concat(
+        F.lit("(\n  "), "customer_id", F.lit(" /* it's, */,\n  "), F.when(F.col("customer_id") % 2 == 0, quoted(odd, "'")).otherwise(quoted(odd, '"')),
+        F.lit(",\n  "), quoted(F.col("email"), '"'), F.lit(", -- \"\n  NULL\n)"),
+    )
+    place = F.col("customer_id") % 4
+    before = F.when(place == 0, F.lit("INSERT INTO\npublic.dim_customer\n(customer_id, office_address,\nemail, created_at)\nVALUES\n"))
+    before = before.when(place == 1, F.lit("insert into dim_customer values ")).otherwise(F.lit("INSERT INTO dim_customer VALUES "))
+    other = F.concat(F.lit("INSERT INTO dim_other VALUES\n"), values, F.lit(",\n"), values, F.lit("\n;"))
+    x.customers.select(F.concat(before, values, F.lit("\n,\n"), F.replace(values, F.lit("NULL"), F.lit("DEFAULT")), F.lit(";\n"), other).alias("value")).write.text(path)
+    schema = T.StructType.fromDDL("customer_id BIGINT, office_address STRING, email STRING, created_at TIMESTAMP")
+    rows = insert_dump.read_insert_dump(x.spark, path, "dim_customer", schema)
+    return rows.select("customer_id", "office_address", "email", F.col("created_at").isNull().alias("no_date"))
+
+
 @query
 def preview_table(x: Tables) -> DataFrame:
     return profiling.preview_table(x.customers, 5, ["customer_id"])

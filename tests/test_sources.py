@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 from decimal import Decimal
 
 import pytest
@@ -63,12 +64,74 @@ def test_dump_split_over_tasks(spark, tmp_path):
     assert len(rows) == 14 * 20 and {int(r["col_0"]) % 3 for r in rows} == {0}
 
 
-@pytest.mark.parametrize("text", ["INSERT INTO t VALUES\n(1, 'a\nb');\n", "INSERT INTO t VALUES (1,\n'a');\n", "INSERT INTO t VALUES\n(1, 'a') ON CONFLICT;\n",
-                                  "INSERT INTO t VALUES\n/* (1, 'a'),\n(2, 'b') */\n(3, 'c');\n"])
-def test_dump_raises_on_what_it_cannot_read(spark, tmp_path, text):
+PAIR = schemas.T.StructType().add("i", "integer").add("s", "string")
+
+
+def dump_rows(spark, tmp_path, text, schema=PAIR):
     (tmp_path / "t.sql").write_text(text)
-    with pytest.raises(Exception, match="cannot read this line"):
-        insert_dump.read_insert_dump(spark, str(tmp_path), "t", schemas.T.StructType.fromDDL("i INT, s STRING")).collect()
+    return sorted(tuple(r) for r in insert_dump.read_insert_dump(spark, str(tmp_path), "t", schema).collect())
+
+
+@pytest.mark.parametrize("text,rows", [
+    ("INSERT INTO t VALUES\n(1, 'a\nb');\n", [(1, "a\nb")]),
+    ("INSERT INTO t VALUES (1,\n'a'),\n\n(2\n,\n'b')\n;\n", [(1, "a"), (2, "b")]),
+    ("INSERT INTO t VALUES\n(1, 'a') ON CONFLICT (i) DO NOTHING;\n", [(1, "a")]),
+    ("INSERT INTO t VALUES\n/* (1, 'a'),\n(2, 'b') */\n(3, 'c');\n", [(3, "c")]),
+    ('INSERT INTO t VALUES (1, "a, (b"), (2, "it\'s"), (3, \'say ""no""\'), (4, "say ""no"""), (5, \'it\'\'s\')', [
+        (1, "a, (b"), (2, "it's"), (3, 'say ""no""'), (4, 'say "no"'), (5, "it's")]),
+    ("insert into t (s, i) values ('x', 1), (NULL, 2); insert into t values (3, 'NULL'), (4, '')", [(1, "x"), (2, None), (3, "NULL"), (4, "")]),
+    ('INSERT INTO "public"."t"("i","s")VALUES(1,now()),(2,f(a, b));CREATE TABLE t (i int, s text);', [(1, "now()"), (2, "f(a, b)")]),
+    ("SET a = 1, b = 2; TRUNCATE TABLE t; INSERT INTO u VALUES (1, 'a'), (2, 'b'); INSERT INTO u SELECT 1, 2;", []),
+    ("INSERT INTO t VALUES (1, 'a;--b'), -- it's\n(2, '/*') -- ;\n; -- \"\n", [(1, "a;--b"), (2, "/*")]),
+    ("INSERT INTO t VALUES (1, 'a\r\nb'),\r\n(2, '');\r\n", [(1, "a\r\nb"), (2, "")]),
+])
+def test_dump_over_lines_and_quotes(spark, tmp_path, text, rows):
+    assert dump_rows(spark, tmp_path, text) == rows
+
+
+@pytest.mark.parametrize("text", [
+    "INSERT INTO t VALUES (1, 'a", "INSERT INTO t VALUES (1, 'a'", "INSERT INTO t VALUES (1, 'a'); /* ", "INSERT INTO t VALUES (1, 'a'));",
+    "INSERT INTO t VALUES (1);", "INSERT INTO t VALUES (1, 'a', 2);", "INSERT INTO t SELECT 1, 'a';", "INSERT INTO t VALUES (1, 'a'), nothing;",
+    "INSERT INTO t (a, b) VALUES (1, 'a');", "INSERT INTO t VALUES (1, 'a'; INSERT INTO t VALUES (2, 'b');",
+])
+def test_dump_raises_on_what_it_cannot_read(spark, tmp_path, text):
+    with pytest.raises(Exception, match="DumpError|does not fit"):
+        dump_rows(spark, tmp_path, text)
+
+
+@pytest.mark.parametrize("split", [23, 150])
+def test_dump_split_inside_of_texts(spark, tmp_path, monkeypatch, split):
+    """Statements, quoted texts and comments go on over many splits; some splits are one part of a unit."""
+    draw = random.Random(split)
+    want, parts = [], ["-- it's a \"dump\n"]
+    texts = ["a'b", 'say "x"', "(1, 2),\n(3", "-- no comment\n", "/* nor\nthis", "; INSERT INTO t VALUES (0, 'no')", "x\n" * 30, "", "','", '","']
+    for statement in range(7):
+        table = "t" if statement % 3 else "u"
+        tuples = []
+        for i in range(draw.randint(1, 9)):
+            text, quote = draw.choice(texts), draw.choice("'\"")
+            own = statement * 100 + i
+            tuples.append(f"({own},{draw.choice([' ', chr(10)])}{quote}{text.replace(quote, quote * 2)}{quote})")
+            want += [(own, text)] if table == "t" else []
+        comment = draw.choice(["", "/* 'unclosed\n\n (\n */", "-- \"unclosed (\n"])
+        parts.append(f"INSERT INTO\n{table}\nVALUES{comment} " + draw.choice([",", ",\n", "\n,/* , */\n"]).join(tuples) + draw.choice([";", "\n;\n"]))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    try:
+        if split > 100:
+            monkeypatch.setattr(insert_dump, "BROADCAST_BYTES", -1)
+        assert dump_rows(spark, tmp_path, "".join(parts)) == sorted(want)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_dump_of_several_files(spark, tmp_path):
+    """Every file begins outside of all statements, and one without rows is no matter."""
+    (tmp_path / "a.sql").write_text("INSERT INTO t VALUES (1, 'a')")
+    (tmp_path / "b.sql").write_text("-- nothing\n")
+    (tmp_path / "c.sql").write_text("")
+    (tmp_path / "d.sql").write_text("INSERT INTO u VALUES (9, 'z');\nINSERT INTO t VALUES (2, 'b')\n")
+    assert dump_rows(spark, tmp_path, "INSERT INTO t VALUES (3, 'c');") == [(1, "a"), (2, "b"), (3, "c")]
 
 
 def test_dump_layouts(spark, tmp_path):
