@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kilowise.functions.columns import (
@@ -29,6 +29,7 @@ from kilowise.functions.columns import (
     within,
 )
 from kilowise.functions.ranking import add_ntile, add_rank_desc
+from kilowise.functions.scan import running
 from kilowise.plans.sizing import broadcast_if_small
 from kilowise.plans.storage import materialize
 
@@ -184,26 +185,47 @@ def usage_stats(r: DataFrame) -> DataFrame:
     )
 
 
+def _limits(n: Column, s1: Column, s2: Column) -> tuple[Column, Column]:
+    """Mean and sample standard deviation, both rounded to two decimals; one reading has no deviation."""
+    total = s1.cast("double")
+    spread = F.try_divide(s2.cast("double") - F.try_divide(total * total, n), n - 1)
+    deviation = F.when(n > 1, F.round(F.sqrt(F.greatest(spread, F.lit(0.0))), 2))
+    return F.round(F.try_divide(total, n), 2), deviation
+
+
+def _above(k: int) -> Column:
+    return F.col("kwh_usage").cast("double") > F.col("avg_usage") + k * F.col("_dev")
+
+
+_FLAGGED = ("customer_id", "reading_id", "reading_ts", "kwh_usage", "avg_usage")
+
+
 def flag_3sigma(r: DataFrame, stats: DataFrame, k: int = 3) -> DataFrame:
     """Readings above mean + k sample standard deviations of their customer, both
     rounded to two decimals first; a single reading has no deviation."""
-    n = F.col("n")
-    mean = F.try_divide(F.col("s1").cast("double"), n)
-    spread = F.try_divide(
-        F.col("s2").cast("double") - F.try_divide(F.col("s1").cast("double") * F.col("s1").cast("double"), n),
-        n - 1,
-    )
-    limits = stats.select(
-        "customer_id",
-        F.round(mean, 2).alias("avg_usage"),
-        F.round(F.sqrt(F.greatest(spread, F.lit(0.0))), 2).alias("_dev"),
-        (n > 1).alias("_many"),
-    )
-    return (
-        r.join(limits, "customer_id")
-        .filter(F.col("_many") & (F.col("kwh_usage").cast("double") > F.col("avg_usage") + k * F.col("_dev")))
-        .select("customer_id", "reading_id", "reading_ts", "kwh_usage", "avg_usage")
-    )
+    mean, deviation = _limits(F.col("n"), F.col("s1"), F.col("s2"))
+    limits = stats.select("customer_id", mean.alias("avg_usage"), deviation.alias("_dev"))
+    return r.join(limits, "customer_id").filter(_above(k)).select(*_FLAGGED)
+
+
+def anomaly_at_arrival(r: DataFrame, order: Sequence[Column], k: int = 3, earlier: DataFrame | None = None) -> DataFrame:
+    """Readings above mean + k standard deviations of what had come of their customer by then, themselves included.
+
+    ``order`` is the total order in which readings arrive; ``earlier`` holds the sums (``usage_stats``) of readings
+    that came before all of these. Sums run along a range sort, so a customer may hold any share of the readings.
+    Readings without customer have no history and are not judged.
+    """
+    x = F.col("kwh_usage").cast("decimal(12,4)")
+    parts = {"_n": x.isNotNull().cast("bigint"), "_s1": x, "_s2": x * x}
+    sums = {"n": ("sum", "_n"), "s1": ("sum", "_s1"), "s2": ("sum", "_s2")}
+    judged = running(r.filter("customer_id IS NOT NULL").withColumns(parts), ["customer_id"], order, sums, "arrivals")
+    if earlier is not None:
+        before = earlier.select("customer_id", *(F.col(c).alias(f"_before_{c}") for c in sums))
+        judged = judged.join(before, "customer_id", "left")
+        whole = {c: F.coalesce(F.col(c) + F.col(f"_before_{c}"), c, f"_before_{c}") for c in sums}
+        judged = judged.withColumns(whole)
+    mean, deviation = _limits(F.col("n"), F.col("s1"), F.col("s2"))
+    return judged.withColumns({"avg_usage": mean, "_dev": deviation}).filter(_above(k)).select(*_FLAGGED)
 
 
 def usage_anomaly_3sigma(r: DataFrame, k: int = 3) -> DataFrame:

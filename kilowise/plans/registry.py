@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kilowise.functions import intervals
 from kilowise.operators import billing, changes, customers, enrich, fleet, profiling, quality, usage, weather
 from kilowise.plans import sql_surface, storage
 from kilowise.plans.bindings import TOPIC_PARTITIONS, Tables
@@ -875,6 +876,35 @@ def stream_usage_anomalies(x: Tables) -> DataFrame:
     return sinks.read_archive(x.spark, paths.anomalies).drop("batch_id")
 
 
+@query
+def anomaly_at_arrival(x: Tables) -> DataFrame:
+    """Readings in the order of their numbers, each judged by what had come before it and itself."""
+    return usage.anomaly_at_arrival(x.loaded_stream, [F.col("reading_id")])
+
+
+@query
+def stream_anomaly_at_arrival(x: Tables) -> DataFrame:
+    """The same on a stream that is filled in the order of the numbers, with a batch per file."""
+    paths = etl.EtlPaths(storage.work_dir(x.spark, "arrivals"))
+    rows = x.loaded_stream.select("customer_id", "reading_id", "reading_ts", "kwh_usage")
+    middle = rows.agg(F.avg("reading_id").alias("m"))
+    for later in (False, True):
+        half = rows.join(F.broadcast(middle), (F.col("reading_id") > F.col("m")) == F.lit(later)).drop("m")
+        half.write.mode("append").parquet(paths.readings)
+        arrivals = x.spark.readStream.schema(rows.schema).options(**BATCH_SIZE).parquet(paths.readings)
+        alerts.watch_anomalies(arrivals, paths.root, paths.checkpoint, ONCE).awaitTermination()
+    return sinks.read_archive(x.spark, paths.anomalies).drop("batch_id")
+
+
+@query
+def readings_with_address(x: Tables) -> DataFrame:
+    """Every reading with each address that its customer had at that time; the times of addresses overlap, some are open."""
+    until = F.when(F.col("address_id") % 7 == 0, None).otherwise(F.expr("date_add(start_date, CAST(address_id % 300 AS INT))"))
+    periods = x.addresses.select("customer_id", "address_id", "address", "start_date", until.alias("end_date"))
+    rows = intervals.interval_join(x.readings, "reading_ts", periods, "start_date", "end_date", "customer_id")
+    return rows.select("reading_id", "customer_id", "reading_ts", "kwh_usage", "address_id", "address")
+
+
 @query
 def stream_refresh_mv(x: Tables) -> DataFrame:
     """A view that is recomputed when weather arrives on a stream."""

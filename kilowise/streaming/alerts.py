@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from kilowise.operators.enrich import high_usage_alert
-from kilowise.operators.usage import flag_3sigma, usage_stats
+from kilowise.operators.usage import anomaly_at_arrival, flag_3sigma, usage_stats
 from kilowise.plans.storage import publish
 from kilowise.streaming.sinks import archive_batch, foreach_batch
 from kilowise.streaming.sums import add_batch, history
 
+ARRIVAL = ("reading_id",)
+
 
 def watch_high_usage(
     readings: DataFrame, path: str, checkpoint: str, trigger: dict, limit: float = 1000
@@ -36,16 +40,23 @@ def customer_stats(spark, root: str, upto: int | None = None) -> DataFrame | Non
     return None if found is None else _add_up(found)
 
 
-def anomaly_batch(batch: DataFrame, batch_id: int, root: str, k: int = 3, compact_every: int = 100) -> None:
-    """Flag the batch's readings against their customers' history up to and with this batch.
+def anomaly_batch(
+    batch: DataFrame, batch_id: int, root: str, k: int = 3, compact_every: int = 100, order: Sequence[str] = ARRIVAL
+) -> None:
+    """Flag each reading of the batch against what had come of its customer by then, as a trigger per row
+    would: all earlier batches, and the rows of this one up to and with itself in the ``order`` of arrival. So
+    what is flagged does not depend on how the stream is cut.
 
-    What is flagged depends on what had arrived by then; ``backfill_anomalies`` judges a whole
-    history by its final statistics.
+    ``backfill_anomalies`` judges a whole history by its final statistics instead.
     """
+    spark = batch.sparkSession
+    earlier = history(spark, root, batch_id - 1)
+    if earlier is not None:
+        here = batch.select("customer_id").distinct()
+        earlier = _stored(_add_up(earlier.join(here, "customer_id", "left_semi")), f"{root}/current", batch_id)
+    flagged = anomaly_at_arrival(batch, [F.col(c) for c in order], k, earlier)
+    archive_batch(flagged, batch_id, f"{root}/anomalies")
     add_batch(_add_up(usage_stats(batch)), batch_id, root, _add_up, compact_every)
-    here = batch.select("customer_id").distinct()
-    stats = history(batch.sparkSession, root, batch_id).join(here, "customer_id", "left_semi")
-    archive_batch(flag_3sigma(batch, _stored(_add_up(stats), f"{root}/current", batch_id), k), batch_id, f"{root}/anomalies")
 
 
 def _stored(stats: DataFrame, path: str, batch_id: int) -> DataFrame:
@@ -55,10 +66,10 @@ def _stored(stats: DataFrame, path: str, batch_id: int) -> DataFrame:
 
 
 def watch_anomalies(
-    readings: DataFrame, root: str, checkpoint: str, trigger: dict, k: int = 3, compact_every: int = 100
+    readings: DataFrame, root: str, checkpoint: str, trigger: dict, k: int = 3, compact_every: int = 100, order: Sequence[str] = ARRIVAL
 ) -> StreamingQuery:
     def handle(batch: DataFrame, batch_id: int) -> None:
-        anomaly_batch(batch, batch_id, root, k, compact_every)
+        anomaly_batch(batch, batch_id, root, k, compact_every, order)
 
     return foreach_batch(readings, handle, checkpoint, trigger)
 

@@ -1,6 +1,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
+import statistics
+from collections import defaultdict
+from decimal import Decimal
 import json
 
 import pytest
@@ -130,26 +134,34 @@ def test_failing_handler_fails_the_query(spark, as_stream, tmp_path):
     assert "sink is down" in progress.stream_status({"q": q})["q"]["error"]
 
 
-def test_anomalies_over_batches_equal_history(spark, tmp_path):
-    root = str(tmp_path / "watch")
+def test_anomalies_are_those_of_a_trigger_per_row(spark, tmp_path):
+    """Whatever the batches: a reading is judged by those before it and itself, also inside of its own batch."""
     schema = "customer_id string, reading_id long, reading_ts timestamp, kwh_usage decimal(10,4)"
     t = dt.datetime(2024, 1, 1)
-    values = [[("a", 1), ("a", 1), ("b", 5)], [("a", 1)] * 9, [("a", 50), ("b", 5)], [("a", 1), ("c", 900)], [("a", 60)]]
-    seen, want = [], {}
-    from decimal import Decimal
-
-    for batch_id, rows in enumerate(values):
-        numbered = [(c, len(seen) + i, t, Decimal(v)) for i, (c, v) in enumerate(rows)]
-        seen += numbered
-        batch = spark.createDataFrame(numbered, schema)
-        for _ in range(2):  # a replay
-            alerts.anomaly_batch(batch, batch_id, root, compact_every=2)
-        history = usage.usage_stats(spark.createDataFrame(seen, schema))
-        for r in usage.flag_3sigma(batch, history).collect():
-            want[r["reading_id"]] = r["avg_usage"]
-    got = {r["reading_id"]: r["avg_usage"] for r in sinks.read_archive(spark, f"{root}/anomalies").collect()}
-    assert got == want and 12 in got
-    assert {r[0] for r in spark.read.parquet(f"{root}/base").select("upto").distinct().collect()} == {2, 4}
+    draw = random.Random(2)
+    values = [("a", 1), ("a", 1), ("b", 5), *[("a", 1)] * 12, ("a", 50), ("b", 5), ("a", 1), ("c", 900), ("a", 60), (None, 4), ("a", None)]
+    values += [(draw.choice(["a", "b", None]), 1 if draw.random() < 0.8 else 200 * i) for i in range(40)]
+    rows = [(c, i, t, None if v is None else Decimal(v)) for i, (c, v) in enumerate(values)]
+    want, seen = {}, defaultdict(list)
+    for c, i, _, v in rows:
+        own = seen[c]
+        own += [] if v is None else [float(v)]
+        if c and v is not None and len(own) > 1 and float(v) > round(statistics.mean(own), 2) + 3 * round(statistics.stdev(own), 2):
+            want[i] = round(statistics.mean(own), 2)
+    assert 15 in want and len(want) > 3
+    frame = spark.createDataFrame(rows, schema)
+    whole = usage.anomaly_at_arrival(frame, [F.col("reading_id")]).collect()
+    assert {r["reading_id"]: r["avg_usage"] for r in whole} == want
+    for cuts in ([0, 4, 15, 16, 40], [0]):
+        root = str(tmp_path / f"watch{len(cuts)}")
+        for batch_id, (start, stop) in enumerate(zip(cuts, [*cuts[1:], len(rows)])):
+            batch = spark.createDataFrame(rows[start:stop], schema)
+            for _ in range(2 if batch_id == 2 else 1):  # a replay
+                alerts.anomaly_batch(batch, batch_id, root, compact_every=2)
+        got = {r["reading_id"]: r["avg_usage"] for r in sinks.read_archive(spark, f"{root}/anomalies").collect()}
+        assert got == want
+        if len(cuts) > 1:
+            assert {r[0] for r in spark.read.parquet(f"{root}/base").select("upto").distinct().collect()} == {2, 4}
 
 
 def test_backfill_judges_by_final_statistics(spark, as_stream, tmp_path):
