@@ -6,8 +6,10 @@ decimals as double, integers as bigint, timestamps without zone.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -855,6 +857,85 @@ def stream_progress(x: Tables) -> DataFrame:
         return log.read(queries).groupBy("query").agg(F.sum("n_input_rows").alias("n_input_rows"))
 
 
+@query
+def stream_row_fates(x: Tables) -> DataFrame:
+    """Rows kept, quarantined and dropped by the load, as counted on its running batches."""
+    with progress.ProgressLog(x.spark, storage.work_dir(x.spark, "fates")) as log:
+        _, queries = _run_etl(x)
+        etl.await_all(queries)
+        counts = log.read_observed(queries).filter("observation = 'fates'")
+        return counts.groupBy(F.col("metric").alias("fate")).agg(F.sum("value").alias("n_rows"))
+
+
+@query
+def stream_status(x: Tables) -> DataFrame:
+    """Two queries over the messages, of which one stops with an error: their state, and the rows that the other read."""
+    paths = etl.EtlPaths(storage.work_dir(x.spark, "status"))
+    raw = readers.read_topic(x.spark, "parquet", BATCH_SIZE, path=x.stored_topic())
+
+    def archive(batch: DataFrame, batch_id: int) -> None:
+        sinks.archive_batch(batch, batch_id, paths.archive)
+
+    def refuse(batch: DataFrame, batch_id: int) -> None:
+        raise RuntimeError("sink is down")
+
+    with progress.ProgressLog(x.spark, paths.progress) as log:
+        parsed = enrich.parse_json(raw)
+        queries = {"archive": sinks.foreach_batch(parsed, archive, paths.checkpoint_archive, ONCE)}
+        queries["refused"] = sinks.foreach_batch(parsed, refuse, paths.checkpoint_refused, ONCE)
+        for running in queries.values():
+            try:
+                running.awaitTermination()
+            except StreamingQueryException:
+                pass  # its error is what the status shows
+        rows = log.read(queries).groupBy("query").agg(F.sum("n_input_rows").alias("n_input_rows"))
+        state = progress.status_rows(x.spark, queries)
+    return state.join(rows, "query", "left").select("query", "active", F.col("error").contains("sink is down").alias("sink_down"), "n_input_rows")
+
+
+def _closed_stream(x: Tables, job: Callable[[DataFrame, str], DataFrame], name: str) -> DataFrame:
+    """What a watermark job has emitted when all its windows are closed: the readings come as a stream, then one reading
+    of no meter, so late that it closes every window. The delay covers the whole history, so none is late, however
+    the stream is cut."""
+    paths = etl.EtlPaths(storage.work_dir(x.spark, name))
+    rows = x.loaded_stream.select("meter_id", "customer_id", F.col("reading_ts").alias("timestamp"), "kwh_usage")
+    rows = rows.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    rows.write.parquet(paths.readings)
+    first, last = x.spark.read.parquet(paths.readings).agg(F.min("timestamp"), F.max("timestamp")).first()
+    if first is None:
+        first = last = dt.datetime(2000, 1, 1)
+    span = (last - first).days + 2
+    closing = x.spark.createDataFrame([(None, None, last + dt.timedelta(2 * span + 30), None)], rows.schema)
+
+    def run() -> None:
+        stream = x.spark.readStream.schema(rows.schema).options(**BATCH_SIZE).parquet(paths.readings)
+        sinks.append_lake_stream(job(stream, f"{span} days"), paths.out, "parquet", paths.checkpoint, ONCE).awaitTermination()
+
+    run()
+    closing.write.mode("append").parquet(paths.readings)
+    run()
+    return x.spark.read.parquet(paths.out)
+
+
+@query
+def stream_sliding_counts(x: Tables) -> DataFrame:
+    """Readings of each customer per day, a day beginning every six hours."""
+    return _closed_stream(x, lambda s, delay: summary.sliding_counts(s, "1 day", "6 hours", delay), "sliding")
+
+
+@query
+def stream_reading_sessions(x: Tables) -> DataFrame:
+    """Stretches of each meter's readings that are less than three hours apart."""
+    return _closed_stream(x, lambda s, delay: summary.reading_sessions(s, "3 hours", delay), "sessions")
+
+
+@query
+def stream_closed_days(x: Tables) -> DataFrame:
+    """The daily summary as its watermark form emits it."""
+    priced = lambda s, delay: summary.stream_daily_summary(s.withColumns({"voltage": F.lit(230), "cost": F.col("kwh_usage") * 0.25}), delay)
+    return _closed_stream(x, priced, "closed-days").drop("avg_voltage")
+
+
 def _typed_stream(x: Tables) -> DataFrame:
     raw = readers.read_topic(x.spark, "parquet", BATCH_SIZE, path=x.stored_topic())
     numbered = raw.withColumn("reading_id", F.col("offset") * TOPIC_PARTITIONS + F.col("partition"))

@@ -7,7 +7,7 @@ import threading
 from collections import defaultdict
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
@@ -56,29 +56,47 @@ class ProgressLog(StreamingQueryListener):
         try:
             file = f"{self.path}/query_id={p.id}/{p.batchId}.json"
             if p.numInputRows or not path_exists(self.spark, file):
-                write_file(self.spark, file, json.dumps({"batch_id": p.batchId, "n_input_rows": p.numInputRows}) + "\n")
+                record = {"batch_id": p.batchId, "n_input_rows": p.numInputRows, "observed": observed_rows(p.observedMetrics)}
+                write_file(self.spark, file, json.dumps(record) + "\n")
         except Exception as error:  # Spark only logs what a listener raises
             self.failed.append(error)
 
     def onQueryTerminated(self, event) -> None:
         self.ended[str(event.runId)].set()
 
-    def read(self, queries: Mapping[str, StreamingQuery], seconds: float = 120) -> DataFrame:
-        """Input rows of all batches of each query, one record per batch. Waits for the last records of queries that have
-        ended, which come ``seconds`` later at most."""
+    def _records(self, queries: Mapping[str, StreamingQuery], seconds: float) -> DataFrame:
         for name, query in queries.items():
             if not query.isActive and not self.ended[str(query.runId)].wait(seconds):
                 raise TimeoutError(f"the end of query {name} was not reported")
         if self.failed:
             raise RuntimeError("progress was not stored") from self.failed[0]
-        found = self.spark.createDataFrame([], "query string, batch_id bigint, n_input_rows bigint")
+        found = self.spark.createDataFrame([], f"query string, {RECORD}")
         for name, query in queries.items():
             folder = f"{self.path}/query_id={query.id}"
             if path_exists(self.spark, folder):
-                rows = self.spark.read.schema("batch_id bigint, n_input_rows bigint").json(folder)
-                found = found.unionByName(rows.select(F.lit(name).alias("query"), "batch_id", "n_input_rows"))
+                rows = self.spark.read.schema(RECORD).json(folder)
+                found = found.unionByName(rows.withColumn("query", F.lit(name)))
         return found
 
+    def read(self, queries: Mapping[str, StreamingQuery], seconds: float = 120) -> DataFrame:
+        """Input rows of all batches of each query, one record per batch. Waits for the last records of queries that have
+        ended, which come ``seconds`` later at most."""
+        return self._records(queries, seconds).select("query", "batch_id", "n_input_rows")
+
+    def read_observed(self, queries: Mapping[str, StreamingQuery], seconds: float = 120) -> DataFrame:
+        """query, batch_id, observation, metric, value: what ``observe`` counted in each batch, without a pass of its own."""
+        records = self._records(queries, seconds)
+        return records.select("query", "batch_id", F.inline("observed"))
+
+
+RECORD = "batch_id bigint, n_input_rows bigint, observed array<struct<observation: string, metric: string, value: bigint>>"
+
+
+def observed_rows(metrics: Mapping[str, Row]) -> list[dict]:
+    return [
+        {"observation": name, "metric": metric, "value": value} for name, row in metrics.items() for metric, value in row.asDict().items()
+    ]
+
 
 def stream_status(queries: Mapping[str, StreamingQuery]) -> dict[str, dict]:
     """Message, activity and error of each query."""
@@ -91,3 +109,9 @@ def stream_status(queries: Mapping[str, StreamingQuery]) -> dict[str, dict]:
             "error": str(error) if error else None,
         }
     return status
+
+
+def status_rows(spark: SparkSession, queries: Mapping[str, StreamingQuery]) -> DataFrame:
+    """query, active, message, error: the state of each query as rows; a query without error has null there."""
+    rows = [(name, x["active"], x["message"], x["error"]) for name, x in stream_status(queries).items()]
+    return spark.createDataFrame(rows, "query string, active boolean, message string, error string")

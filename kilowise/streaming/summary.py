@@ -1,7 +1,7 @@
 """Jobs over event time.
 
-``watch_daily_summary`` counts every reading whenever it comes and shows open days too. The two
-watermark jobs keep their state in bounds for endless streams: a reading may come ``LATENESS`` late,
+``watch_daily_summary`` counts every reading whenever it comes and shows open days too. The other
+jobs keep their state in bounds by a watermark, for endless streams: a reading may come ``LATENESS`` late,
 later ones are left out, so a history is to be read in event-time order or by the batch jobs.
 """
 
@@ -81,3 +81,41 @@ def drop_repeated_readings(
     """First reading of each key, for append-only tables; keys are remembered for
     the lateness span only."""
     return s.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
+
+
+def sliding_counts(
+    s: DataFrame, width: str = "1 day", slide: str = "6 hours", delay: str = LATENESS, ts: str = "timestamp", key: str = "customer_id"
+) -> DataFrame:
+    """window_start, key, n_readings, total_kwh of each window of ``width`` that begins every ``slide``; a window
+    is emitted once, when no more readings of it are accepted.
+
+    A reading is added to the one pane (a window of ``slide``) that it lies in. Panes that are closed are added to the
+    windows over them: so only panes, not readings, are copied into each of the width / slide windows.
+    ``width`` must be a multiple of ``slide``.
+    """
+    panes = (
+        s.withWatermark(ts, delay)
+        .groupBy(F.window(ts, slide).alias("pane"), key)
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("kwh_usage").cast("decimal(12,4)")).alias("kwh"))
+    )
+    return (
+        panes.groupBy(F.window(F.window_time("pane"), width, slide).alias("w"), key)
+        .agg(F.sum("n").alias("n_readings"), F.sum("kwh").cast("decimal(30,4)").alias("total_kwh"))
+        .select(F.col("w.start").alias("window_start"), key, "n_readings", "total_kwh")
+    )
+
+
+def reading_sessions(s: DataFrame, gap: str = "3 hours", delay: str = LATENESS, ts: str = "timestamp", key: str = "meter_id") -> DataFrame:
+    """session_start, last_reading, key, n_readings, total_kwh: stretches of readings of a meter with less than ``gap``
+    between them. The state of a session grows with each reading, and a late one that lies between two sessions
+    merges their states; a session is emitted once, when no more readings of it are accepted."""
+    return (
+        s.withWatermark(ts, delay)
+        .groupBy(F.session_window(ts, gap).alias("w"), key)
+        .agg(F.count(F.lit(1)).alias("n_readings"), F.sum(F.col("kwh_usage").cast("decimal(12,4)")).cast("decimal(30,4)").alias("total_kwh"))
+        .select(
+            F.col("w.start").alias("session_start"),
+            (F.col("w.end") - F.expr(f"interval {gap}")).alias("last_reading"),
+            key, "n_readings", "total_kwh",
+        )
+    )
