@@ -965,14 +965,14 @@ def anomaly_at_arrival(x: Tables) -> DataFrame:
 
 @query
 def stream_anomaly_at_arrival(x: Tables) -> DataFrame:
-    """The same on a stream that is filled in the order of the numbers, with a batch per file."""
+    """The same on a stream: what arrives in two steps, in the order of the numbers, is judged in two batches."""
     paths = etl.EtlPaths(storage.work_dir(x.spark, "arrivals"))
     rows = x.loaded_stream.select("customer_id", "reading_id", "reading_ts", "kwh_usage")
     middle = rows.agg(F.avg("reading_id").alias("m"))
     for later in (False, True):
         half = rows.join(F.broadcast(middle), (F.col("reading_id") > F.col("m")) == F.lit(later)).drop("m")
         half.write.mode("append").parquet(paths.readings)
-        arrivals = x.spark.readStream.schema(rows.schema).options(**BATCH_SIZE).parquet(paths.readings)
+        arrivals = x.spark.readStream.schema(rows.schema).parquet(paths.readings)
         alerts.watch_anomalies(arrivals, paths.root, paths.checkpoint, ONCE).awaitTermination()
     return sinks.read_archive(x.spark, paths.anomalies).drop("batch_id")
 
@@ -997,7 +997,7 @@ def stream_refresh_mv(x: Tables) -> DataFrame:
         return weather.energy_weather_daily(x.readings, x.spark.read.parquet(paths.weather))
 
     sinks.refresh_on_arrival(arrivals, build, paths.view, paths.checkpoint, ONCE).awaitTermination()
-    return storage.read_published(x.spark, paths.view)
+    return x.spark.read.parquet(paths.view).drop("v")
 
 
 @query
@@ -1015,7 +1015,7 @@ def stream_drop_duplicates(x: Tables) -> DataFrame:
     paths = etl.EtlPaths(storage.work_dir(x.spark, "unique-readings"))
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        sinks.append_new(batch, batch_id, paths.rows, HOUR_KEY, "reading_ts", "yyyy-MM-dd")
+        sinks.append_new(batch, batch_id, paths.rows, HOUR_KEY, "reading_ts", "yyyy-MM-dd", ["reading_id"])
 
     sinks.foreach_batch(keyed, append, paths.checkpoint, ONCE).awaitTermination()
-    return sinks.read_archive(x.spark, paths.rows).select(*HOUR_KEY)
+    return sinks.read_unique(x.spark, paths.rows).select(*HOUR_KEY)

@@ -68,6 +68,27 @@ def write_file(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
+def read_file(spark: SparkSession, path: str) -> str | None:
+    """Text of one small file; None if there is none."""
+    files, target = _file_system(spark, path)
+    if not files.exists(target):
+        return None
+    found = files.open(target)
+    try:
+        return bytes(found.readAllBytes()).decode()
+    finally:
+        found.close()
+
+
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a folder, into parents that are made where they are missing."""
+    files, source = _file_system(spark, path)
+    _, target = _file_system(spark, to)
+    files.mkdirs(target.getParent())
+    if not files.rename(source, target):
+        raise OSError(f"cannot move {path} to {to}")
+
+
 def remove(spark: SparkSession, path: str) -> None:
     files, target = _file_system(spark, path)
     files.delete(target, True)
@@ -107,8 +128,34 @@ def publish(df: DataFrame, path: str, version: int | None = None, keep: int = 2)
 
 def read_published(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
     """The newest version, or the newest one below ``before``; None if there is none."""
-    versions = [v for v in committed(spark, path, "v=") if before is None or v < before]
-    return spark.read.parquet(f"{path}/v={versions[-1]}") if versions else None
+    for folder in (path, f"{path}/{OLD}"):
+        versions = [v for v in committed(spark, folder, "v=") if before is None or v < before]
+        if versions:
+            return spark.read.parquet(f"{folder}/v={versions[-1]}")
+    return None
+
+
+OLD, NEW = "_old", "_new"  # folders that readers of the folder above do not look into
+
+
+def publish_view(df: DataFrame, path: str) -> DataFrame:
+    """Replace a stored view and return it. A plain reader of the folder finds one version, its number in ``v``.
+
+    The new version is written aside. Then the old one is moved out of sight and the new one in, so a reader
+    sees the old rows or the new ones, never both; ``read_published`` finds the old ones also between the two
+    moves, and after a driver was lost there. ``df`` may read the view; the version before is kept for readers that began with it.
+    """
+    spark = df.sparkSession
+    shown, hidden = committed(spark, path, "v="), committed(spark, f"{path}/{OLD}", "v=")
+    version = max([*shown, *hidden], default=-1) + 1
+    aside = f"{path}/{NEW}/v={version}"
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(aside)
+    for old in shown:
+        move(spark, f"{path}/v={old}", f"{path}/{OLD}/v={old}")
+    move(spark, aside, f"{path}/v={version}")
+    for old in hidden if shown else hidden[:-1]:
+        remove(spark, f"{path}/{OLD}/v={old}")
+    return spark.read.parquet(f"{path}/v={version}")
 
 
 def write_partitions(df: DataFrame, path: str, *columns: str, sort_by: Sequence[str] = ()) -> None:
@@ -182,6 +229,5 @@ def read_months(
 
 
 def refresh_mv(build: Callable[[], DataFrame], path: str) -> DataFrame:
-    """Recompute a stored view and return the stored table. Readers of the view (``read_published``)
-    find its last complete state at any time."""
-    return publish(build(), path)
+    """Recompute a stored view and return the stored table. Any reader of the folder finds one complete state."""
+    return publish_view(build(), path)

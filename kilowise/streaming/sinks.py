@@ -3,14 +3,31 @@ wrote before, so a replayed batch leaves the same files."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from kilowise.operators.changes import READING_KEYS, UPDATED_ON_CONFLICT, upsert_readings
-from kilowise.plans.storage import committed, publish, read_published, refresh_mv, remove, replace_partitions
+from kilowise.plans.sizing import broadcast_if_small
+from kilowise.plans.storage import (
+    committed,
+    materialize,
+    path_exists,
+    publish,
+    read_file,
+    read_published,
+    refresh_mv,
+    remove,
+    replace_partitions,
+    write_file,
+)
 
 
 def archive_batch(batch: DataFrame, batch_id: int, path: str) -> None:
@@ -105,21 +122,82 @@ def upsert_batch(
             remove(spark, f"{path}/data/version={row['version']}/{SLOT}={row[SLOT]}")
 
 
-def append_new(batch: DataFrame, batch_id: int, path: str, keys: Sequence[str], ts: str, slot_format: str = HOUR_SLOTS) -> None:
-    """Append the rows whose key is not stored yet, one per key, under the number of the batch.
+NO_SLOT = "none"  # of rows without time
+COMPACT_PARTS = 8
 
-    Keys are looked up in the stored rows of the time slots that the batch touches, so the answer does
-    not depend on how late a row comes or how the stream is cut. The key must determine the slot.
+
+class SlotParts(NamedTuple):
+    """Which parts of a slot hold its rows, by the batches that wrote them: after ``batch``, and ``before`` it."""
+
+    batch: int
+    parts: list[int]
+    before: list[int]
+
+
+def _slot_parts(spark: SparkSession, path: str, slot: str) -> SlotParts:
+    text = read_file(spark, f"{path}/live/{slot}.json")
+    if text is None:
+        return SlotParts(-1, [], [])
+    known = json.loads(text)
+    return SlotParts(known["batch"], known["parts"], known["before"])
+
+
+def append_new(
+    batch: DataFrame,
+    batch_id: int,
+    path: str,
+    keys: Sequence[str],
+    ts: str,
+    slot_format: str = HOUR_SLOTS,
+    order: Sequence[str] = (),
+    compact_parts: int = COMPACT_PARTS,
+) -> None:
+    """Append the rows whose key is not stored yet, of each key the first by ``order`` (none: by all columns).
+
+    The key must determine the time slot, null being a value like others. A key is looked up in its slot only,
+    so the answer does not depend on how late a row comes or how the stream is cut, and a batch reads and lists the
+    slots that it touches and nothing else: its cost does not grow with the number of batches before. A slot has a
+    small file that names its parts; after ``compact_parts`` parts the next batch that adds to a slot writes it anew as one. A
+    replayed batch starts from the parts before it. Parts that no slot file names any more are deleted a batch later.
     """
     spark = batch.sparkSession
-    rows = batch.withColumn(SLOT, F.date_format(ts, slot_format)).dropDuplicates([*keys])
-    earlier = [b for b in committed(spark, path, "batch_id=") if b < batch_id]
-    if earlier:
-        stored = spark.read.schema(rows.schema).option("basePath", path).parquet(*(f"{path}/batch_id={b}" for b in earlier))
-        span = rows.agg(F.min(SLOT), F.max(SLOT)).first()
-        if span[0] is not None:
-            rows = rows.join(stored.filter(F.col(SLOT).between(*span)).select(*keys), [*keys], "left_anti")
-    replace_partitions(rows, f"{path}/batch_id={batch_id}", SLOT)
+    rows = batch.withColumn(SLOT, F.coalesce(F.date_format(ts, slot_format), F.lit(NO_SLOT)))
+    columns = rows.columns
+    whole = F.struct(*(order or columns), *columns) if order else F.struct(*columns)
+    first = rows.groupBy(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys))).agg(F.min_by(F.struct(*columns), whole).alias("_row")).select("_row.*")
+    # One row per slot of the batch.
+    known = {r[SLOT]: _slot_parts(spark, path, r[SLOT]) for r in rows.select(SLOT).distinct().collect()}
+    parts = {slot: x.before if x.batch == batch_id else x.parts for slot, x in known.items()}
+    folders = [f"{path}/data/part={part}/{SLOT}={slot}" for slot, own in parts.items() for part in own]
+    full = [slot for slot, own in parts.items() if len(own) >= compact_parts]
+    if folders:
+        stored = spark.read.schema(rows.schema).option("basePath", f"{path}/data").parquet(*folders).select(*columns)
+        taken = stored.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)))
+        same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)))
+        first = first.join(taken, same, "left_anti")
+        if full:
+            # A full slot to which nothing is added stays as it is.
+            grown = broadcast_if_small(materialize(first.filter(F.col(SLOT).isin(full)).select(SLOT).distinct(), "grown-slots"))
+            first = first.unionByName(stored.filter(F.col(SLOT).isin(full)).join(grown, SLOT, "left_semi").select(*columns))
+    replace_partitions(first, f"{path}/data/part={batch_id}", SLOT, sort_by=keys)
+    for slot, own in parts.items():
+        if not path_exists(spark, f"{path}/data/part={batch_id}/{SLOT}={slot}"):
+            continue  # nothing new
+        now = SlotParts(batch_id, [batch_id] if slot in full else [*own, batch_id], own)
+        write_file(spark, f"{path}/live/{slot}.json", json.dumps({SLOT: slot, **now._asdict()}) + "\n")
+        for part in set(known[slot].before) - {*now.parts, *now.before}:
+            remove(spark, f"{path}/data/part={part}/{SLOT}={slot}")
+
+
+def read_unique(spark: SparkSession, path: str) -> DataFrame:
+    """All rows that ``append_new`` stored."""
+    live = spark.read.schema(f"{SLOT} string, parts array<bigint>").json(f"{path}/live")
+    named = live.select(SLOT, F.explode("parts").alias("part"))
+    data = f"{path}/data"
+    # Names of slots may look like numbers, which they are not.
+    columns = [c for c in spark.read.parquet(data).schema if c.name not in (SLOT, "part")]
+    rows = spark.read.schema(T.StructType(columns).add(SLOT, T.StringType()).add("part", T.LongType())).parquet(data)
+    return rows.join(named, [SLOT, "part"], "left_semi").drop(SLOT, "part")
 
 
 def foreach_batch(

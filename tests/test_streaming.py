@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kilowise.operators import enrich, usage
+from kilowise.plans import storage
 from kilowise.schemas import TOPIC_RECORD
 from kilowise.streaming import alerts, etl, progress, sinks, summary
 from tests.conftest import topic
@@ -268,15 +269,183 @@ def test_repeated_readings_are_dropped(spark, as_stream, tmp_path):
 
 
 def test_view_refresh_on_arrival(spark, tmp_path):
+    """A plain reader of the folder and ``read_published`` both find the last state, and only that."""
     source, view = str(tmp_path / "weather"), str(tmp_path / "view")
     spark.range(3).write.parquet(source)
     arrivals = spark.readStream.schema("id long").parquet(source)
     build = lambda: spark.read.schema("id long").parquet(source).agg(F.count("*").alias("n"))
-    for expected in (3, 5):
+    for expected in (3, 5, 7):
         sinks.refresh_on_arrival(arrivals, build, view, str(tmp_path / "cp"), ONCE).awaitTermination()
-        assert spark.read.parquet(view).first()["n"] == expected
+        assert [r["n"] for r in spark.read.parquet(view).collect()] == [expected]
+        assert [r["n"] for r in storage.read_published(spark, view).collect()] == [expected]
         spark.range(2).write.mode("append").parquet(source)
 
 
+def test_view_after_a_lost_driver(spark, tmp_path, monkeypatch):
+    """Lost before, between and after the two moves: readers find the old rows, and the next refresh works."""
+    view = str(tmp_path / "view")
+    storage.publish_view(spark.range(1), view)
+    move = storage.move
+    for lost_at in (0, 1):
+        calls = []
+
+        def failing(*args):
+            calls.append(args)
+            if len(calls) > lost_at:  # noqa: B023
+                raise OSError("driver lost")
+            move(*args)
+
+        with monkeypatch.context() as m:
+            m.setattr(storage, "move", failing)
+            with pytest.raises(OSError):
+                storage.publish_view(spark.range(9), view)
+        assert storage.read_published(spark, view).count() == 1
+    for n in (2, 3, 4):
+        storage.publish_view(spark.range(n), view)
+        assert spark.read.parquet(view).count() == n == storage.read_published(spark, view).count()
+    assert len(list((tmp_path / "view" / "_old").iterdir())) == 1
+
+
+KEYED = "meter_id string, hour timestamp, v int, arrival int"
+
+
+def keyed_rows(n, seed):
+    draw = random.Random(seed)
+    t = dt.datetime(2024, 1, 1)
+    return [(draw.choice(["a", "b", "c", None]), t + dt.timedelta(hours=draw.choice([0, 1, i // 20])), i * 7 % 11, i) for i in range(n)]
+
+
+@pytest.mark.parametrize("cuts", [[0], [0, 30, 31, 90], list(range(0, 120, 12))])
+def test_append_new_keeps_the_first_of_each_key(spark, tmp_path, cuts):
+    """Late rows, null keys, repeated keys inside of a batch and over batches, replays, compaction."""
+    path, rows = str(tmp_path / "rows"), keyed_rows(120, 3)
+    want = {}
+    for m, h, v, i in rows:
+        want.setdefault((m, h), (v, i))
+    for batch_id, (start, stop) in enumerate(zip(cuts, [*cuts[1:], len(rows)])):
+        batch = spark.createDataFrame(rows[start:stop], KEYED)
+        for _ in range(2 if batch_id % 4 == 1 else 1):
+            sinks.append_new(batch, batch_id, path, ["meter_id", "hour"], "hour", "yyyy-MM-dd-HH", ["arrival"], compact_parts=3)
+    found = sinks.read_unique(spark, path).collect()
+    assert len(found) == len(want) and {(r["meter_id"], r["hour"]): (r["v"], r["arrival"]) for r in found} == want
+
+
+def test_append_new_survives_a_lost_driver(spark, tmp_path, monkeypatch):
+    """Lost while the slots' files are written: the replay starts from the parts before the batch."""
+    path = str(tmp_path / "rows")
+    at = dt.datetime(2024, 1, 1)
+    first = [("a", at, 1, 1), ("a", at.replace(hour=5), 2, 2)]
+    second = [("a", at, 9, 3), ("b", at, 3, 4), ("b", at.replace(hour=5), 4, 5)]
+    add = lambda rows, n: sinks.append_new(spark.createDataFrame(rows, KEYED), n, path, ["meter_id", "hour"], "hour", "HH", compact_parts=1)
+    add(first, 0)
+    write, calls = sinks.write_file, []
+
+    def failing(*args):
+        calls.append(args)
+        if len(calls) == 2:
+            raise OSError("driver lost")
+        write(*args)
+
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "write_file", failing)
+        with pytest.raises(OSError):
+            add(second, 1)
+    add(second, 1)
+    assert sorted(r["v"] for r in sinks.read_unique(spark, path).collect()) == [1, 2, 3, 4]
+
+
+def test_append_new_does_not_slow_down(spark, tmp_path, monkeypatch):
+    """Batch n opens the parts of the slots it touches, however many batches and slots there were before."""
+    path, opened, read = str(tmp_path / "rows"), [], sinks.read_file
+    monkeypatch.setattr(sinks, "read_file", lambda s, p: opened.append(p) or read(s, p))
+    at = dt.datetime(2024, 1, 1)
+    for n in range(14):
+        opened.clear()
+        rows = [(f"m{n}", at + dt.timedelta(hours=n + i), n, n) for i in (0, 1)]
+        sinks.append_new(spark.createDataFrame(rows, KEYED), n, path, ["meter_id", "hour"], "hour", compact_parts=4)
+        assert len(opened) == 2
+    for n in range(14, 24):  # all into one slot
+        sinks.append_new(spark.createDataFrame([(f"x{n}", at, n, n)], KEYED), n, path, ["meter_id", "hour"], "hour", compact_parts=4)
+        assert len(sinks._slot_parts(spark, path, "2024-01-01-00").parts) <= 5
+    assert sinks.read_unique(spark, path).count() == 28 + 10
+    held = [p for p in (tmp_path / "rows" / "data").glob("part=*/slot=2024-01-01-00")]
+    assert len(held) <= 10  # parts now and before the last batch, no more
+
+
+def micro_batches(spark, tmp_path, job, batches, rest="kwh_usage double, customer_id string, meter_id string"):
+    """Rows that a job has emitted, each list being a batch of (hour or ISO time, id)."""
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    schema = f"timestamp timestamp, {rest}"
+    for i, rows in enumerate(batches):
+        spark.createDataFrame([(dt.datetime.fromisoformat(t), 1.5, k, k) for t, k in rows], schema).coalesce(1).write.mode("append").parquet(source)
+        stream = job(spark.readStream.schema(schema).parquet(source))
+        sinks.append_lake_stream(stream, out, "parquet", str(tmp_path / "cp"), ONCE).awaitTermination()
+    return spark.read.parquet(out).collect()
+
+
+END = [("2024-03-01T00:00:00", None)]
+
+
+@pytest.mark.parametrize("batches", [
+    [[("2024-01-01T05:00:00", "a"), ("2024-01-01T07:00:00", "a"), ("2024-01-01T23:00:00", "b"), ("2024-01-02T06:00:00", "a")], END],
+    [[("2024-01-01T07:00:00", "a")], [("2024-01-01T05:00:00", "a")], [("2024-01-02T06:00:00", "a")], [("2024-01-01T23:00:00", "b")], END],
+])
+def test_sliding_counts(spark, tmp_path, batches):
+    """Any cut of the stream whose rows are within the lateness gives the windows of the whole."""
+    found = micro_batches(spark, tmp_path, lambda s: summary.sliding_counts(s, "1 day", "6 hours", "1 day"), batches)
+    want = {}
+    for t, k in {x for batch in batches[:-1] for x in batch}:
+        pane = dt.datetime.fromisoformat(t).replace(hour=dt.datetime.fromisoformat(t).hour // 6 * 6)
+        for back in range(4):
+            key = (pane - dt.timedelta(hours=6 * back), k)
+            want[key] = want.get(key, 0) + 1
+    assert {(r["window_start"], r["customer_id"]): r["n_readings"] for r in found if r["customer_id"]} == want
+    assert all(float(r["total_kwh"]) == 1.5 * r["n_readings"] for r in found)
+
+
+def test_sliding_counts_add_each_reading_once(spark):
+    """Readings are added to panes; only panes are copied into the windows over them."""
+    s = spark.createDataFrame([], "timestamp timestamp, kwh_usage double, customer_id string")
+    plan = summary.sliding_counts(s)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Expand") == 1 and plan.index("Expand") < plan.rindex("Aggregate")
+
+
+def test_late_reading_merges_two_sessions(spark, tmp_path):
+    day = "2024-01-01T"
+    batches = [[(day + "00:00:00", "m"), (day + "05:00:00", "m"), (day + "09:00:00", "n")], [(day + "02:30:00", "m")], END]
+    found = micro_batches(spark, tmp_path, lambda s: summary.reading_sessions(s, "3 hours", "1 day"), batches)
+    at = lambda h: dt.datetime(2024, 1, 1, h)
+    assert sorted((r["meter_id"], r["session_start"], r["last_reading"], r["n_readings"]) for r in found if r["meter_id"]) == [
+        ("m", at(0), at(5), 3), ("n", at(9), at(9), 1)]
+
+
+def test_session_beyond_the_lateness_stays_closed(spark, tmp_path):
+    day = "2024-01-0"
+    batches = [[(day + "1T00:00:00", "m")], [(day + "9T00:00:00", "m")], [(day + "1T01:00:00", "m")], END]
+    found = micro_batches(spark, tmp_path, lambda s: summary.reading_sessions(s, "3 hours", "1 day"), batches)
+    assert sorted((r["session_start"].day, r["n_readings"]) for r in found if r["meter_id"]) == [(1, 1), (9, 1)]
+
+
+def test_fates_are_counted_on_the_running_batch(spark, tmp_path):
+    """Per batch, by one pass: the rows of each file, whatever becomes of them."""
+    source, paths = str(tmp_path / "topic"), etl.EtlPaths(str(tmp_path / "etl"))
+    spark.createDataFrame([("m1", None, True)], "meter_id string, installation_date date, is_active boolean").write.parquet(paths.meters)
+    known = spark.createDataFrame([("c1",), ("c1",)], "customer_id string")
+    first = [message("m1", "2024-01-01T10:00:00Z", 1.0), message("m1", "2024-01-01T11:00:00Z", 1.0, 250), message("m2", "2024-01-01T10:00:00Z", 1.0, customer="x")]
+    second = [message("m1", f"2024-01-02T1{i}:00:00Z", 1.0) for i in range(4)]
+    with progress.ProgressLog(spark, str(tmp_path / "log")) as log:
+        for start, bodies in ((0, first), (10, second)):
+            topic(spark, bodies, start).coalesce(1).write.mode("append").parquet(source)
+            raw = spark.readStream.schema(TOPIC_RECORD).parquet(source)
+            queries = etl.run_stream_etl(raw, known, paths, "2024-01-03", trigger=ONCE)
+            etl.await_all(queries)
+        found = log.read_observed(queries).collect()
+    counts = {(r["batch_id"], r["metric"]): r["value"] for r in found if r["observation"] == "fates"}
+    assert {k: v for k, v in counts.items() if v} == {(0, "kept"): 1, (0, "quarantined"): 1, (0, "dropped"): 1, (1, "kept"): 4}
+    assert sinks.read_store(spark, paths.readings).count() == 5
+    state = progress.status_rows(spark, queries).collect()
+    assert [(r["query"], r["active"], r["error"]) for r in state] == [("load", False, None)]
+
+
 def test_topic_shape():
     assert TOPIC_RECORD.fieldNames() == ["key", "value", "topic", "partition", "offset", "timestamp", "timestampType"]
