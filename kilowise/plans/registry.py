@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from kilowise.functions import intervals
 from kilowise.operators import billing, changes, customers, enrich, fleet, profiling, quality, usage, weather
-from kilowise.plans import sql_surface, storage
+from kilowise.plans import procedures, sql_surface, storage
 from kilowise.plans.bindings import TOPIC_PARTITIONS, Tables
 from kilowise.schemas import STREAM_RECORD
 from kilowise.session import tune
@@ -105,6 +105,16 @@ def read_text_lines(x: Tables) -> DataFrame:
     return lines.select("record.*")
 
 
+@query
+def read_whole_texts(x: Tables) -> DataFrame:
+    """The messages as whole files: characters in all, and bytes as the listing of the files has them."""
+    path = storage.work_dir(x.spark, "message-files")
+    x.topic.select(F.col("value").cast("string")).write.text(path)
+    characters = readers.read_text_lines(x.spark, path, whole=True).agg(F.sum(F.length("value")).alias("n_characters"))
+    listed = readers.list_files(x.spark, path).filter("file_path LIKE '%.txt'").agg(F.sum("n_bytes").alias("n_bytes"))
+    return characters.join(listed)  # one row each
+
+
 @query
 def read_insert_dump(x: Tables) -> DataFrame:
     path = storage.work_dir(x.spark, "dump")
@@ -151,6 +161,17 @@ def read_multiline_dump(x: Tables) -> DataFrame:
     return rows.select("customer_id", "office_address", "email", F.col("created_at").isNull().alias("no_date"))
 
 
+@query
+def column_max(x: Tables) -> DataFrame:
+    return profiling.column_max(x.readings, "kwh_usage")
+
+
+@query
+def customer_details(x: Tables) -> DataFrame:
+    """The composite value of each customer, taken apart."""
+    return customers.customer_details(x.customers, x.tariffs).select("customer_details.*")
+
+
 @query
 def preview_table(x: Tables) -> DataFrame:
     return profiling.preview_table(x.customers, 5, ["customer_id"])
@@ -256,6 +277,18 @@ def monthly_partitions(x: Tables) -> DataFrame:
     return storage.monthly_partitions(x.readings, storage.work_dir(x.spark, "by-month"))
 
 
+@query
+def month_store_by_quarter(x: Tables) -> DataFrame:
+    """Usage in the months of one quarter, read from the store by a calendar that names them."""
+    path = storage.work_dir(x.spark, "months")
+    storage.monthly_partitions(x.readings, path)
+    day = F.col("observation_date")
+    quarter = F.concat(F.year(day), F.lit("-Q"), F.quarter(day)).alias("quarter")
+    calendar = x.weather.select(F.date_format(day, "yyyy-MM").alias("year_month"), quarter).distinct()
+    rows = storage.read_calendar_months(x.spark, path, calendar.filter("quarter = '1997-Q2'"))
+    return rows.groupBy("quarter", "year_month").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("kwh_usage").alias("kwh"))
+
+
 # Enrichment
 
 
@@ -490,6 +523,14 @@ def monthly_consumption_trend(x: Tables) -> DataFrame:
     return usage.monthly_consumption_trend(x.readings, x.bills)
 
 
+@query
+def consumption_trend_rows(x: Tables) -> DataFrame:
+    """The monthly trend as JSON objects, read back by key."""
+    rows = usage.as_json_rows(usage.monthly_consumption_trend(x.readings, x.bills))
+    parts = {"customer_id": "bigint", "month": "string", "peak_consumption": "double", "billed_amount": "double"}
+    return rows.select(*(F.get_json_object("row", f"$.{c}").cast(kind).alias(c) for c, kind in parts.items()))
+
+
 @query
 def missing_days(x: Tables) -> DataFrame:
     return usage.missing_days(x.stream_readings, x.meters)
@@ -624,6 +665,40 @@ def sql_calculate_charge(x: Tables) -> DataFrame:
     )
 
 
+@query
+def sql_meter_descendants(x: Tables) -> DataFrame:
+    """Meters below each meter, and how deep they reach, by the recursive statement."""
+    return sql_surface.bound(x).sql(
+        "SELECT meter_id, count(*) - 1 AS n_descendants, max(distance) AS height FROM meter_descendants() GROUP BY meter_id"
+    )
+
+
+@query
+def sql_region_filter(x: Tables) -> DataFrame:
+    """Readings of a list of regions by a dynamic statement; one of them has a quote in its name and no readings."""
+    found = sql_surface.readings_of_regions(sql_surface.bound(x), ["AFRICA", "ASIA", "') OR ('1' = '1"])
+    return found.select("reading_id", "meter_id", "region", "kwh_usage")
+
+
+@query
+def sql_generate_monthly_bills(x: Tables) -> DataFrame:
+    """Bills that a call of the procedure has stored."""
+    target = storage.work_dir(x.spark, "called-bills")
+    procedures.call(sql_surface.bound(x), "generate_monthly_bills", {"month": "1998-06-17"}, target)
+    return procedures.read_result(x.spark, target)
+
+
+@query
+def sql_log_and_update(x: Tables) -> DataFrame:
+    """Customers after two calls, of which the second fails, and what that one has logged."""
+    spark = sql_surface.bound(x)
+    target, log = storage.work_dir(x.spark, "called-customers"), storage.work_dir(x.spark, "called-log")
+    for address, email in (("NATION_5", "office@example.com"), ("NATION_18", "nobody")):
+        procedures.call(spark, "log_and_update", {"address": address, "email": email}, target, log)
+    failed = x.spark.read.parquet(log).select("name", F.lit(None).cast("bigint").alias("customer_id"), "email")
+    return failed.unionByName(procedures.read_result(x.spark, target).select(F.lit("customer").alias("name"), "customer_id", "email"))
+
+
 # Weather, fleet and customers
 
 

@@ -228,6 +228,17 @@ def read_months(
     return stored.filter(span).drop("year_month")
 
 
+def read_calendar_months(spark: SparkSession, path: str, calendar: DataFrame) -> DataFrame:
+    """Readings of the months that a calendar (year_month and further columns) names, from a table stored by month.
+
+    Which months those are is known when the calendar has been read; the scan of the readings waits for it and opens the
+    folders of these months only (dynamic partition pruning). A calendar has a row per month, so it is broadcast.
+    """
+    stored = spark.read.parquet(path)
+    months = calendar.withColumn("year_month", F.col("year_month").cast(stored.schema["year_month"].dataType))
+    return stored.join(F.broadcast(months), "year_month")
+
+
 def refresh_mv(build: Callable[[], DataFrame], path: str) -> DataFrame:
     """Recompute a stored view and return the stored table. Any reader of the folder finds one complete state."""
     return publish_view(build(), path)

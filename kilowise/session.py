@@ -17,6 +17,8 @@ RECOMMENDED = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Recursive statements end by their own guards, not by a number of rows.
+    "spark.sql.cteRecursionRowLimit": "-1",
     # State of streams on local disk and in checkpoints instead of the heap.
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
