@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from kilowise.llm.common import flat, mix, slices, word_hashes, word_places
 from kilowise.llm.components import connected_components
+from kilowise.plans.sizing import broadcast_if_small
 from kilowise.plans.storage import materialize
 
 WORDS = 4
@@ -38,7 +39,6 @@ PERCENT = 85
 NEAR_WORDS, NEAR_PERCENT = 5, 80  # of near duplicates, where nothing else is asked for
 BLOCK = 1024  # sets on either side of a block of pairs
 BITMAP_BITS = 1 << 26  # fixed size of the filter of shared keys: 8 MB
-BROADCAST_ROWS = 2_000_000
 LEVELS = (2, 8, 64, 512, 4096)  # how often a shingle occurs, for the order by frequency
 LEVEL_BITS = 1 << 25  # fixed size of the filter of each level: 4 MB
 HELD = 1 << 18  # numbers that a task counts at a time
@@ -110,11 +110,10 @@ def segment_keys(own: np.ndarray, percent: int = PERCENT) -> Iterator[tuple[int,
         yield (spare // 2, keys[filled]) if spare >= 0 else (0, keys)
 
 
-def _bitmap(shared: DataFrame, bits: int) -> np.ndarray:
-    """A filter of fixed size that has the bit of every shared key. Each task sets the bits of one
-    stretch of the filter, so no more than the filter itself reaches the driver."""
+def _filter(rows: DataFrame, bits: int) -> np.ndarray:
+    """A filter of fixed size in which every ``bit`` of ``rows`` is set. Each task sets the bits of some
+    stretches of the filter, so no more than the filter itself reaches the driver."""
     stretch = 1 << 16
-    bit = F.col("key").bitwiseAND(bits - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made: dict[int, np.ndarray] = {}
@@ -128,14 +127,18 @@ def _bitmap(shared: DataFrame, bits: int) -> np.ndarray:
             [pa.array([k for k, _ in rows], pa.int64()), pa.array([v.tobytes() for _, v in rows], pa.binary())], ["part", "set"]
         )
 
-    parts = bits // stretch
-    by_stretch = shared.select(bit.alias("bit")).repartition(min(parts, 64), F.shiftright("bit", 16))
+    by_stretch = rows.select("bit").repartition(min(bits // stretch, 64), F.shiftright("bit", 16))
     out = np.zeros(bits // 8, np.uint8)
-    for row in by_stretch.mapInArrow(run, "part long, set binary").toLocalIterator():
+    for row in by_stretch.mapInArrow(run, "part long, set binary").collect():  # at most one row per stretch
         out[row["part"] * stretch // 8 : (row["part"] + 1) * stretch // 8] = np.frombuffer(row["set"], np.uint8)
     return out
 
 
+def _bitmap(shared: DataFrame, bits: int) -> np.ndarray:
+    """A filter that has the bit of every shared key."""
+    return _filter(shared.select(F.col("key").bitwiseAND(bits - 1).alias("bit")), bits)
+
+
 def _in_bitmap(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
     at = (keys & np.uint64(len(bitmap) * 8 - 1)).astype(np.int64)
     return (bitmap[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
@@ -215,8 +218,7 @@ def _candidates(classes: DataFrame, shared: DataFrame) -> DataFrame:
 
 def _sets_of_members(docs: DataFrame, members: DataFrame) -> DataFrame:
     """text and the columns of ``members`` of the documents that stand for a set."""
-    wanted = F.broadcast(members) if members.count() <= BROADCAST_ROWS else members
-    return docs.join(wanted, F.col("doc_id") == F.col("node")).select("text", *members.columns)
+    return docs.join(broadcast_if_small(members), F.col("doc_id") == F.col("node")).select("text", *members.columns)
 
 
 def _own_sets(batch: pa.RecordBatch, words: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -240,7 +242,10 @@ def _by_rarest(docs: DataFrame, members: DataFrame, words: int, percent: int) ->
     counts = texts.mapInArrow(lambda batches: _counted(shingles_of(batches)), "key long, n int")
     counts = counts.groupBy("key").agg(F.sum("n").alias("n"))
     counts = materialize(counts.filter(F.col("n") >= LEVELS[0]), "frequent")
-    filters = [_bitmap(counts.filter(F.col("n") >= level), LEVEL_BITS) for level in LEVELS]
+    # One filter per level, made as one: a key has a bit in those of all levels that it reaches.
+    reached = F.filter(F.array(*(F.struct(F.lit(i * LEVEL_BITS).alias("at"), F.lit(x).alias("n")) for i, x in enumerate(LEVELS))), lambda x: x["n"] <= F.col("n"))
+    bits = counts.select(F.explode(reached).alias("x"), "key").select((F.col("x.at") + F.col("key").bitwiseAND(LEVEL_BITS - 1)).alias("bit"))
+    filters = np.split(_filter(bits, len(LEVELS) * LEVEL_BITS), len(LEVELS))
     sent = docs.sparkSession.sparkContext.broadcast(filters)
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -400,9 +405,10 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
 
 def one_of_each(docs: DataFrame, words: int = NEAR_WORDS, percent: int = NEAR_PERCENT) -> DataFrame:
     """``docs`` with one document of each group of near duplicates, that with the least doc_id. Documents
-    without words or without id all stay; rows that repeat a kept doc_id stay too."""
+    without words or without id all stay; rows that repeat a kept doc_id stay too. Where an id has several texts, its rows go
+    together, if any of them is near an older document. Columns stay as they are; an empty table gives an empty one."""
     found = jaccard_components(docs, words, percent)
     gone = found.filter((F.col("n_shingles") > 0) & (F.col("doc_id") != F.col("component_id"))).select("doc_id").distinct()
     gone = materialize(gone, "near-copies")
-    gone = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
+    gone = broadcast_if_small(gone)
     return docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")

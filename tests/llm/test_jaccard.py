@@ -68,7 +68,7 @@ def test_components_of_documents(wide, rows):
 @pytest.mark.parametrize("block, percent", [(3, 85), (1024, 60)])
 def test_blocks_and_thresholds(spark, block, percent, monkeypatch):
     """Chains of edits: links at and about the threshold, in groups of many blocks."""
-    monkeypatch.setattr(jaccard, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(jaccard, "broadcast_if_small", lambda df: df)
     rows, text = [], prose(5, 90)
     for i in range(40):
         rows.append((1000 - i, text, "en", "s", 1))
