@@ -25,6 +25,7 @@ HEADLINE = (
     "meter_type_benchmark", "meter_hierarchy_count", "churn_risk", "tariff_migration", "address_change_impact",
     "missing_days", "enrich_readings", "upsert_readings", "customer_audit_log", "check_foreign_keys",
     "stream_etl_store", "stream_usage_anomalies", "stream_daily_summary",
+    "anomaly_at_arrival", "readings_with_address", "read_multiline_dump", "stream_sliding_counts", "sql_meter_descendants",
 )
 
 

@@ -70,15 +70,16 @@ def monthly_running_total_rank(r: DataFrame) -> DataFrame:
 
 def usage_vs_regional_avg(r: DataFrame) -> DataFrame:
     """A region-day may hold every customer, so its mean is aggregated and joined
-    back instead of being a window over the group. One row per region and day is as many as the
-    calendar has: broadcast, so that the customer-days do not move for the join."""
+    back instead of being a window over the group. It is stored, and broadcast if it is small, so that the
+    customer-days do not move for the join."""
     daily = r.groupBy("customer_id", "region", day_of("reading_ts").alias("day")).agg(
         F.sum("kwh_usage").alias("daily_usage")
     )
     regional = daily.groupBy("region", "day").agg(
         mean_of(F.sum("daily_usage"), F.count("daily_usage")).alias("regional_avg")
     )
-    return daily.join(F.broadcast(regional), ["region", "day"]).select(
+    regional = broadcast_if_small(materialize(regional, "regional-days"))
+    return daily.join(regional, ["region", "day"]).select(
         "customer_id",
         "region",
         "day",
@@ -254,7 +255,7 @@ def customer_share_of_region(r: DataFrame) -> DataFrame:
     regions = usage.groupBy("region").agg(F.sum("customer_usage").alias("_region"))
     share = F.try_divide(F.col("customer_usage").cast("double"), F.col("_region").cast("double")) * 100
     # One row per region.
-    return usage.join(F.broadcast(regions), "region").select(
+    return usage.join(broadcast_if_small(materialize(regions, "region-totals")), "region").select(
         "customer_id", "region", "customer_usage", share.alias("percent_of_region")
     )
 

@@ -14,6 +14,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kilowise.plans.sizing import broadcast_if_small
+
 _LOCAL_BASE: list[str] = []
 _TOPICS: dict[tuple[str, str], str] = {}  # stored once per application and folder
 
@@ -232,11 +234,14 @@ def read_calendar_months(spark: SparkSession, path: str, calendar: DataFrame) ->
     """Readings of the months that a calendar (year_month and further columns) names, from a table stored by month.
 
     Which months those are is known when the calendar has been read; the scan of the readings waits for it and opens the
-    folders of these months only (dynamic partition pruning). A calendar has a row per month, so it is broadcast.
+    folders of these months only (dynamic partition pruning). The calendar is stored first; at a row per month it is small
+    enough to be broadcast, which the pruning needs.
     """
     stored = spark.read.parquet(path)
     months = calendar.withColumn("year_month", F.col("year_month").cast(stored.schema["year_month"].dataType))
-    return stored.join(F.broadcast(months), "year_month")
+    # Spark prunes by a side that is filtered; the stored calendar holds the named months only, so any test of them will do.
+    months = materialize(months, "calendar").filter(F.col("year_month").cast("string") > "")
+    return stored.join(broadcast_if_small(months), "year_month")
 
 
 def refresh_mv(build: Callable[[], DataFrame], path: str) -> DataFrame:
