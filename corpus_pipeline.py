@@ -2,6 +2,10 @@
 
 A stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; what it returns is
 stored before the next one reads it. All but the last return the columns of ``documents``.
+
+Null, empty and very long texts, ties, repeated rows, empty tables and further columns have the results that the
+docstring of a stage's operator states: ``attention.keep_good``, ``jaccard.one_of_each``, ``decontaminate.decontaminate``,
+``secrets.redact`` and ``packing.pack_documents``. An empty table passes all stages and gives no sequence.
 """
 
 from __future__ import annotations
