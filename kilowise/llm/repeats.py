@@ -25,13 +25,14 @@ from pyspark.sql import functions as F
 
 from kilowise.llm.common import _BYTE_VALUES, _powers, flat, mix, slices, word_hashes, word_places
 from kilowise.llm.jaccard import _bitmap, _in_bitmap
+from kilowise.plans.sizing import broadcast_if_small
 from kilowise.plans.storage import materialize
 
 BITMAP_BITS = 1 << 27  # fixed size of each filter of anchors: 16 MB
-BROADCAST_ROWS = 2_000_000
 SLICE_BYTES = 1 << 20
 MAX_CONTENTS = 4096  # of one anchor in one task
-BLOCK_UNITS = 1 << 20  # units of text per suffix structure
+BLOCK_UNITS = 1 << 20  # bytes of text per suffix structure
+BLOCK_WORDS = 1 << 17  # words: an automaton takes about 440 bytes a word
 _PLACE_BITS = 31
 _STEPS = np.random.default_rng(7919).integers(1, 2**63, 8, dtype=np.uint64) | np.uint64(1)
 
@@ -187,6 +188,7 @@ Finder = Callable[[list[np.ndarray], np.ndarray, int], list[np.ndarray]]
 def _found_in_blocks(contents: DataFrame, rule: Rule, finder: Finder) -> DataFrame:
     """Verdicts from suffix structures over blocks of whole anchors."""
     kind = np.uint64 if rule.words else np.uint8
+    limit = BLOCK_WORDS if rule.words else BLOCK_UNITS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[int, int], list] = {}  # (anchor, content) -> [occurrences, text]
@@ -206,7 +208,7 @@ def _found_in_blocks(contents: DataFrame, rule: Rule, finder: Finder) -> DataFra
 
         for batch in batches:
             for anchor, content, n, body in zip(*(c.to_pylist() for c in batch.columns)):
-                if anchor != last and size >= BLOCK_UNITS:
+                if anchor != last and size >= limit:
                     yield finish()
                     size = 0
                 last = anchor
@@ -278,8 +280,8 @@ def removed_runs(docs: DataFrame, rule: Rule, finder: Finder) -> DataFrame:
         F.coalesce("ranges", whole),
         lambda r: F.struct((F.col("first") + r["a"]).alias("first"), (F.col("first") + r["b"] + rule.window).alias("end")),
     )
-    # One entry or more per segment of the document, so a group is no larger than its text.
-    grouped = hits.select("doc_id", "mark", parts.alias("parts")).groupBy("doc_id", "mark").agg(F.flatten(F.collect_list("parts")).alias("parts"))
+    # One entry per segment of the document, also where its row is repeated, so a group is no larger than its text.
+    grouped = hits.select("doc_id", "mark", parts.alias("parts")).groupBy("doc_id", "mark").agg(F.flatten(F.collect_set("parts")).alias("parts"))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
@@ -305,6 +307,6 @@ def marked(docs: DataFrame) -> DataFrame:
 def with_runs(docs: DataFrame, runs: DataFrame) -> DataFrame:
     """Add the runs to their documents; a document is its id and the hash of its text."""
     runs = materialize(runs, "runs").select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "runs")
-    runs = F.broadcast(runs) if runs.count() <= BROADCAST_ROWS // 10 else runs
+    runs = broadcast_if_small(runs)
     same = (F.col("mark") == F.col("_mark")) & F.col("doc_id").eqNullSafe(F.col("_id"))
     return docs.join(runs, same, "left").select("doc_id", "text", "runs")

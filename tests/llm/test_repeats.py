@@ -67,7 +67,8 @@ def test_small_blocks_and_filters(docs, rows, monkeypatch):
     """A filter that lets nearly all through, and a block per anchor, change nothing."""
     monkeypatch.setattr(repeats, "BITMAP_BITS", 1 << 16)
     monkeypatch.setattr(repeats, "BLOCK_UNITS", 1)
-    monkeypatch.setattr(repeats, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(repeats, "BLOCK_WORDS", 1)
+    monkeypatch.setattr(repeats, "broadcast_if_small", lambda df: df)
     assert counted(suffix_array.remove_repeats(docs, 40, 16), *BYTES) == _bytes_by_hand(rows, 40)
 
 
