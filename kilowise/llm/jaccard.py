@@ -42,6 +42,7 @@ BITMAP_BITS = 1 << 26  # fixed size of the filter of shared keys: 8 MB
 LEVELS = (2, 8, 64, 512, 4096)  # how often a shingle occurs, for the order by frequency
 LEVEL_BITS = 1 << 25  # fixed size of the filter of each level: 4 MB
 HELD = 1 << 18  # numbers that a task counts at a time
+FRAGMENT = 1 << 19  # shingles of a block in one fragment of the order
 SPARE = 3  # keys that a set may leave out
 _CLASS_RATIO = 1.35
 _C = [np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -283,25 +284,31 @@ def _links_between(rows: list[tuple[int, np.ndarray]], half: int, percent: int)
             x = parent[x]
         return x
 
+    n = len(rows)
     sizes = np.array([len(own) for _, own in rows])
-    flat_sets = np.concatenate([own for _, own in rows])
-    values, column, counts = np.unique(flat_sets, return_inverse=True, return_counts=True)
-    row = np.repeat(np.arange(len(rows)), sizes)
-    often = counts > 1
-    place = np.cumsum(often) - 1
-    keep = often[column]
-    row, column = row[keep], place[column[keep]]
-    order = np.argsort(column, kind="stable")
-    row, column = row[order], column[order]
     left, right = (slice(0, half), slice(half, None)) if half else (slice(None), slice(None))
-    n = len(rows)
     shared = np.zeros((half or n, n - half), dtype=np.float32)
-    width = max(64, (4 << 20) // n)  # shingles per fragment: the table of a fragment takes 16 MB
-    for a in range(0, int(often.sum()), width):
-        x, y = np.searchsorted(column, (a, a + width))
-        table = np.zeros((n, width), dtype=np.float32)
-        table[row[x:y], column[x:y] - a] = 1
-        shared += table[left] @ table[right].T
+    # Fragment after fragment of the order: each counts its own part of the overlaps of all pairs.
+    fragments = -(-int(sizes.sum()) // FRAGMENT)
+    borders = np.array([(i << 64) // fragments for i in range(1, fragments)], dtype=np.uint64)
+    cuts = [np.concatenate(([0], np.searchsorted(own, borders), [len(own)])) for _, own in rows]
+    width = max(64, (4 << 20) // n)  # shingles in a table of 16 MB
+    for f in range(fragments):
+        parts = [own[cut[f] : cut[f + 1]] for (_, own), cut in zip(rows, cuts)]
+        row = np.repeat(np.arange(n), [len(x) for x in parts])
+        _, column, counts = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
+        often = counts > 1
+        place = np.cumsum(often) - 1
+        keep = often[column]
+        row, column = row[keep], place[column[keep]]
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        many = int(often.sum())
+        for a in range(0, many, width):
+            x, y = np.searchsorted(column, (a, a + width))
+            table = np.zeros((n, min(width, many - a)), dtype=np.float32)
+            table[row[x:y], column[x:y] - a] = 1
+            shared += table[left] @ table[right].T
     near = (100 + percent) * shared.astype(np.int64) >= percent * (sizes[left][:, None] + sizes[right][None, :])
     if not half:
         near = np.triu(near, 1)

@@ -90,3 +90,31 @@ def test_path_graph(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 100), (200, 150), (150, 180), (180, 200)]
     found = dict(connected_components(spark.createDataFrame(edges, "u long, v long")).collect())
     assert found == {**{i: 0 for i in range(61)}, 150: 150, 180: 150, 200: 150}
+
+
+@pytest.mark.parametrize("fragment", [7, 100, 1 << 19])
+@pytest.mark.parametrize("half", [0, 9])
+def test_overlaps_are_summed_over_fragments(monkeypatch, fragment, half):
+    """However the order is cut, the links connect the sets that brute force connects."""
+    monkeypatch.setattr(jaccard, "FRAGMENT", fragment)
+    draw = np.random.default_rng(fragment + half)
+    base = draw.integers(0, 1 << 63, 40, dtype=np.uint64) * np.uint64(2)
+    rows = []
+    for i in range(25):
+        own = base[draw.random(40) < 0.9] if i % 3 else draw.integers(0, 1 << 63, 20, dtype=np.uint64)
+        rows.append((100 - i, np.unique(own)))
+    sets = {node: set(own.tolist()) for node, own in rows}
+    nodes = [node for node, _ in rows]
+    pairs = [(a, b) for i, a in enumerate(nodes) for j, b in enumerate(nodes) if i < j and (not half or i < half <= j)]
+    want = [(a, b) for a, b in pairs if 100 * len(sets[a] & sets[b]) >= 70 * len(sets[a] | sets[b])]
+    found = list(jaccard._links_between(rows, half, 70))
+    assert set(found) <= set(want) and len(want) > len(found) > 5
+
+    def groups(links):
+        label = {n: n for n in nodes}
+        for _ in nodes:
+            for a, b in links:
+                label[a] = label[b] = min(label[a], label[b])
+        return label
+
+    assert groups(found) == groups(want)
