@@ -199,7 +199,11 @@ def classify(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLA
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that the classifier does not reject, with their own columns."""
+    """The documents that the classifier does not reject, with their own columns.
+
+    Null and empty texts have a score as others and go or stay by it; a score at the threshold stays. Repeated rows are
+    scored alike, a row without doc_id is scored but never learned from, and an empty table gives an empty one.
+    """
     model = fit(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), labels, per_class)
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("text").cast("string").alias("text"))
     kept = score(own, model, threshold).filter("predicted = 1")

@@ -187,7 +187,8 @@ def find_contamination(
     of hit words (first, end). Null and empty texts have no words and no hits; items without words
     have no window; a null item_id counts as "null"; repeated documents are judged alike, repeated
     items count once. ``keep`` names further columns of ``docs`` to pass on, ``cut`` adds the text
-    without the hit spans. Columns of ``docs`` that are not named are left out.
+    without the hit spans. Columns of ``docs`` that are not named are left out; one of ``keep`` must not have the
+    name of a result. An empty table of documents gives an empty one, an empty one of items no hits.
     """
     spark = docs.sparkSession
     automata = [spark.sparkContext.broadcast(x) for x in _shards(items, window, shard_words)]

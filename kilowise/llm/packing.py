@@ -174,4 +174,10 @@ def pack(cut: DataFrame, limit: int = 1024, group_pieces: int = GROUP_PIECES) ->
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, limit: int = 1024, end_id: int = 2, with_ids: bool = False) -> DataFrame:
+    """The pieces of all documents with their places: sequence_id and offset.
+
+    Null and empty texts are one piece of ``end_id``; a text of any length is cut, none is shortened. Pieces of equal
+    length go by doc_id, piece and checksum; repeated rows are documents of their own; a null id stays null; an empty
+    table gives an empty one; columns besides doc_id and text are left out.
+    """
     return pack(pieces(docs, tokenizer, limit, end_id, with_ids), limit)

@@ -42,11 +42,18 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _LEAST_VALUE = 6
 
-_URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
+# An escape may be escaped itself any number of times: %252541 is %2541 is %41 is A. All levels are resolved at once, so
+# a chain of them takes time in proportion to its length.
+_UNIT = re.compile(r"%(?=[0-9A-Fa-f]{2})((?:25)*+)([0-9A-Fa-f]{2})?+")
+_URL = re.compile(r"(?:%(?=[0-9A-Fa-f]{2})(?:25)*+(?:[0-9A-Fa-f]{2})?+)+")
 _URL_RUN = re.compile(r"[A-Za-z0-9._~:/?#\[\]@!$&'()*+,;=%-]++")  # escapes and what URLs write as it is
 _ESCAPE = re.compile(rb"%([0-9A-Fa-f]{2})")
-_MAGIC = re.compile(rb"\x1f\x8b\x08|x[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\0")
-_UNICODE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\U([0-9A-Fa-f]{8})|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})")
+# zlib data of any window size and level begin with method 8 and a check value that makes two bytes a multiple of 31.
+_ZLIB = b"|".join(re.escape(bytes([a, b])) for a in range(0x08, 0x80, 0x10) for b in range(256) if (256 * a + b) % 31 == 0 and not b & 0x20)
+_MAGIC = re.compile(rb"\x1f\x8b\x08|" + _ZLIB + rb"|BZh[1-9]|\xfd7zXZ\0", re.DOTALL)
+_UNICODE = re.compile(
+    r"\\u\{([0-9A-Fa-f]{1,6})\}|\\U([0-9A-Fa-f]{8})|[\\%]u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#[xX]([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});"
+)
 # A run of either alphabet that may be wrapped over lines; of at least 16 characters in the first line, or wrapped.
 _A = "[A-Za-z0-9+/_-]"
 _BASE64 = re.compile(rf"(?<!{_A})(?:(?={_A}{{16}})|(?={_A}++[ \t]*\r?\n[ \t]*{_A})){_A}++(?:[ \t]*+\r?\n[ \t]*+{_A}++)*+")
@@ -75,29 +82,12 @@ def scan(text: str) -> Iterator[tuple[str, int, int]]:
         yield "hex", m.start(), m.end()
 
 
-def _plain(text: str) -> int:
-    """How many characters are ones that texts have."""
-    bare = text.replace("\t", "").replace("\n", "").replace("\r", "")
-    return len(text) if bare.isprintable() else sum(c.isprintable() for c in bare) + len(text) - len(bare)
+def _latin(error: UnicodeDecodeError) -> tuple[str, int]:
+    """Bytes that are no UTF-8 are characters of their own; what is looked for is ASCII."""
+    return error.object[error.start : error.end].decode("latin-1"), error.end
 
 
-def _readable(data: bytes) -> str | None:
-    """Decoded bytes as text, if they are UTF-8 of characters that texts have."""
-    try:
-        text = data.decode()
-    except UnicodeDecodeError:
-        return None
-    return text if text and _plain(text) >= 0.95 * len(text) else None
-
-
-def _maybe_layer(data: bytes) -> bool:
-    """False for most bytes that are no layer, from their beginning alone."""
-    if _MAGIC.match(data):
-        return True
-    try:
-        return bool(codecs.utf_8_decode(data[:64], "strict", False)[1])
-    except UnicodeDecodeError:
-        return False
+codecs.register_error("kilowise-latin", _latin)
 
 
 def _whole(text: str, first: int, end: int) -> Layer:
@@ -106,16 +96,22 @@ def _whole(text: str, first: int, end: int) -> Layer:
 
 def _bytes_layer(data: bytes, firsts: np.ndarray, ends: np.ndarray, spans: set, above: frozenset) -> tuple[Layer | None, int]:
     """The layer in bytes whose places are known one by one, which is the text they unpack to or are, and how many of
-    the bytes belong to it. What an unpacked text too long to be held has inside goes to ``spans``."""
+    the bytes surely belong to it: none where they are no UTF-8, since other bytes may begin elsewhere. What an unpacked text too long to be held has inside goes to ``spans``."""
     if _MAGIC.match(data):
         inner, kinds, used = _unpacked(data, above)
         if inner is not None or kinds:
             first, end = int(firsts[0]), int(ends[used - 1])
             spans.update((kind, first, end) for kind in kinds)
             return None if inner is None else _whole(inner, first, end), used
-    text = _readable(data)
-    if text is None:
-        return None, 0
+    try:
+        text = data.decode()
+    except UnicodeDecodeError:
+        inner, kinds, used = _unpacked(data, above, raw=True)
+        if inner is not None or kinds:
+            place = int(firsts[0]), int(ends[used - 1])
+            spans.update((kind, *place) for kind in kinds)
+            return None if inner is None else _whole(inner, *place), used
+        return (data.decode("latin-1"), firsts, ends), 0
     lead = np.flatnonzero((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)
     last = np.append(lead[1:], len(data)) - 1
     return (text, firsts[lead], ends[last]), len(data)
@@ -140,17 +136,25 @@ def _replaced(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
 
 
 def _from_url(m: re.Match):
-    data = bytes.fromhex(m[0].replace("%", ""))
+    """The bytes that escapes on end stand for in the end, as UTF-8. If they are not, escapes of escapes become plain
+    escapes, as compressed bytes may be escaped so, and plain ones become characters of a byte each."""
+    units = [(u.start(), u[1], u[2]) for u in _UNIT.finditer(m[0])]
+    data = bytes(int(x, 16) if x else 0x25 for _, _, x in units)
+    starts = np.array([at for at, _, _ in units])
+    stops = np.append(starts[1:], len(m[0]))
     try:
         text = data.decode()
     except UnicodeDecodeError:
-        return None
+        if any(chain and x for _, chain, x in units):
+            return "".join(f"%{b:02x}" for b in data), np.repeat(starts, 3), np.repeat(stops, 3)
+        return data.decode("latin-1"), starts, stops
     lead = np.flatnonzero((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)
-    return text, 3 * lead, 3 * np.append(lead[1:], len(data))
+    return text, starts[lead], stops[np.append(lead[1:], len(data)) - 1]
 
 
 def _from_unicode(m: re.Match):
-    code = int(next(x for x in m.groups() if x is not None), 16)
+    *codes, decimal = m.groups()
+    code = int(decimal) if decimal else int(next(x for x in codes if x is not None), 16)
     if code > 0x10FFFF or 0xD800 <= code < 0xE000:
         return None
     return chr(code), np.array([0]), np.array([len(m[0])])
@@ -216,7 +220,7 @@ def unwrap(layer: Layer, spans: set, above: frozenset) -> Iterator[Layer]:
         for m in _URL_RUN.finditer(text):  # compressed bytes, of which URLs escape only some
             if "%" in m[0]:
                 yield from _from_url_run(m[0], first[m.start() : m.end()], end[m.start() : m.end()], spans, above)
-    if "\\" in text:
+    if "\\" in text or "&#" in text or "%u" in text:
         decoded = _replaced(layer, _UNICODE, _from_unicode)
         if decoded is not None:
             yield decoded
@@ -233,7 +237,7 @@ def unwrap(layer: Layer, spans: set, above: frozenset) -> Iterator[Layer]:
                 data = base64.b64decode(body.translate(_URL_SAFE) + "=" * (-len(body) % 4))
             except binascii.Error:
                 continue
-            if not _maybe_layer(data):
+            if not data:
                 continue
             # Byte j comes from the six-bit groups that its bits 8 j .. 8 j + 7 lie in.
             at = np.concatenate([np.arange(a, b) for a, b in places])
@@ -255,7 +259,7 @@ def find_secrets(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str,
     places = None
     spans = set(base)
     work: list[Layer] = []
-    if "%" in text or "\\" in text or _BASE64.search(text):
+    if "%" in text or "\\" in text or "&#" in text or _BASE64.search(text):
         places = np.arange(len(text) + 1)
         work.append((text, places[:-1], places[1:]))
     _unwrap_all(work, spans, frozenset())
@@ -287,23 +291,18 @@ class _Text:
 
     def __init__(self, above: frozenset) -> None:
         self.above = above
-        self.decoder = codecs.getincrementaldecoder("utf-8")()
-        self.n = self.n_plain = 0
+        self.decoder = codecs.getincrementaldecoder("utf-8")("kilowise-latin")
+        self.n = 0
         self.rest = ""
-        self.long = self.damaged = False
+        self.long = False
         self.kinds: set[str] = set()
         self.runs: list[_Run] = []
 
     def feed(self, data: bytes) -> None:
-        if self.damaged:
-            return
-        try:
-            text = self.decoder.decode(data)
-        except UnicodeDecodeError:
-            self.damaged, self.rest, self.runs = True, "", []
-            return
+        self._take(self.decoder.decode(data))
+
+    def _take(self, text: str) -> None:
         self.n += len(text)
-        self.n_plain += _plain(text)
         for run in self.runs:
             run.feed(text)
         self.rest += text
@@ -346,10 +345,10 @@ class _Text:
         _unwrap_all([_whole(text, 0, 1)], spans, self.above)
         self.kinds.update(kind for kind, _, _ in spans)
 
-    def close(self, complete: bool = True) -> tuple[str | None, set[str]]:
-        """The text if it is short, and the kinds in a long one; nothing if it is not readable."""
-        cut_off = bool(self.decoder.getstate()[0])
-        if self.damaged or not self.n or (cut_off and complete) or self.n_plain < 0.95 * self.n:
+    def close(self) -> tuple[str | None, set[str]]:
+        """The text if it is short, and the kinds in a long one; nothing if it is empty."""
+        self._take(self.decoder.decode(b"", True))
+        if not self.n:
             return None, set()
         if not self.long:
             return self.rest, set()
@@ -360,11 +359,12 @@ class _Text:
 
 
 class _Packed:
-    """Compressed data that comes in pieces: gzip, zlib, bzip2 and xz, member after member."""
+    """Compressed data that comes in pieces: gzip, zlib, bzip2 and xz, member after member, or one stream of bare deflate."""
 
-    def __init__(self, above: frozenset) -> None:
+    def __init__(self, above: frozenset, raw: bool = False) -> None:
         self.text = _Text(above)
-        self.member = None
+        self.raw = raw
+        self.member = zlib.decompressobj(-15) if raw else None
         self.head = b""  # too short to tell what it is
         self.fed = self.used = self.members = 0
         self.over = False
@@ -375,6 +375,8 @@ class _Packed:
         self.head = b""
         while not self.over:
             if self.member is None:
+                if self.raw:
+                    return
                 if self.members:
                     data = data.lstrip(b"\0")  # padding between members
                 if len(data) < 6:
@@ -390,7 +392,6 @@ class _Packed:
                 self.over = True
                 return
             self.text.feed(out)
-            self.over = self.over or self.text.damaged
             if self.member.eof:
                 data = self.member.unused_data
                 self.member = None
@@ -406,7 +407,7 @@ class _Packed:
                     return
 
     def close(self) -> tuple[str | None, set[str], int]:
-        text, kinds = self.text.close(self.member is None)
+        text, kinds = self.text.close()
         broken = self.member is not None and (not self.over or text is not None or kinds)
         return text, kinds, self.fed if broken else self.used
 
@@ -415,7 +416,7 @@ def _member(data: bytes):
     """What unpacks data that begins so; None if it is not compressed."""
     if data[:2] == b"\x1f\x8b":
         return zlib.decompressobj(31)
-    if data[:1] == b"\x78" and int.from_bytes(data[:2], "big") % 31 == 0:
+    if data[0] & 0x8F == 8 and int.from_bytes(data[:2], "big") % 31 == 0:
         return zlib.decompressobj()
     if data[:3] == b"BZh":
         return bz2.BZ2Decompressor()
@@ -424,16 +425,19 @@ def _member(data: bytes):
     return None
 
 
-def _unpacked(data: bytes, above: frozenset) -> tuple[str | None, set[str], int]:
-    """Unpacked text if it is short, the kinds of secrets in a long one, and how many bytes of ``data`` it took."""
+def _unpacked(data: bytes, above: frozenset, raw: bool = False) -> tuple[str | None, set[str], int]:
+    """Unpacked text if it is short, the kinds of secrets in a long one, and how many bytes of ``data`` it took.
+    Nothing tells bare deflate (``raw``) from other bytes but that it comes to its end with the data."""
     digest = _digest(data)
     if digest in above:
         return None, set(), 0
-    packed = _Packed(above | {digest})
+    packed = _Packed(above | {digest}, raw)
     for at in range(0, len(data), _PIECE_IN):
         packed.feed(data[at : at + _PIECE_IN])
         if packed.over:
             break
+    if raw and (packed.over or packed.used != len(data)):
+        return None, set(), 0
     return packed.close()
 
 
@@ -566,7 +570,9 @@ def scan_documents(docs: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     """``docs`` with every secret, decoded ones where their encoding stands, replaced by ``mark``. No row goes;
-    columns stay as they are; a null text stays null."""
+    columns stay as they are; a null text stays null, an empty one empty. Of secrets that overlap the first is replaced
+    from its begin, and what goes on behind it up to its own end goes too. Repeated rows become alike; an empty table
+    gives an empty one."""
 
     def one(text: str | None) -> str | None:
         if not text:

@@ -25,13 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kilowise.plans.sizing import broadcast_if_small
 from kilowise.plans.storage import materialize, work_dir
 
 DATE = "2024-01-01T00:00:00Z"  # crawl time of the records; pages have none
 REVISIT_BYTES = 1000  # equal payloads of at least so many bytes are stored once
 BLOCK_LINES = 3000
 MAX_BLOCKS = 100_000  # beyond it the blocks grow, so that the directory stays small
-BROADCAST_ROWS = 1_000_000
 # Fixed value: profile of a revisit record, WARC 1.1.
 SAME_PAYLOAD = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _NAMES = uuid.UUID("6ba7b812-9dad-11d1-80b4-00c04fd430c8")  # fixed value: RFC 4122 namespace for object ids
@@ -114,7 +114,8 @@ def choose_records(pages: DataFrame, revisit_bytes: int = REVISIT_BYTES) -> Data
 
     Of equal payloads of ``revisit_bytes`` or more the one with the largest page_id is stored, the
     others refer to it; further rows with that very page_id are stored too, and so are all of a
-    group without any page_id. A null html is an empty payload.
+    group without any page_id. A null html is an empty payload. An empty table gives an empty one;
+    further columns are left out.
     """
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
     rows = pages.select(
@@ -124,7 +125,7 @@ def choose_records(pages: DataFrame, revisit_bytes: int = REVISIT_BYTES) -> Data
     # One row per payload leaves each task; most payloads occur once and end here.
     equal = rows.filter(large).groupBy("digest").agg(F.max("page_id").alias("_keep"), F.count(F.lit(1)).alias("_n"))
     equal = materialize(equal.filter((F.col("_n") > 1) & F.col("_keep").isNotNull()).select("digest", "_keep"), "equal")
-    equal = F.broadcast(equal) if equal.count() <= BROADCAST_ROWS else equal
+    equal = broadcast_if_small(equal)
     other = large & (F.col("page_id").isNull() | (F.col("page_id") != F.col("_keep")))
     refers_to = F.when(other, F.col("_keep"))
     return rows.join(equal, "digest", "left").select("page_id", "url", "html", "digest", refers_to.alias("refers_to"))
@@ -205,7 +206,8 @@ def write_index(captures: DataFrame, folder: str, block_lines: int = BLOCK_LINES
 
 def look_up(spark: SparkSession, urls: DataFrame, directory: DataFrame, folder: str) -> DataFrame:
     """The captures of every url: each url is binary-searched in the block directory, the blocks that
-    may hold it are read once each, by range. ``urls`` has a column ``url``; null finds the empty key."""
+    may hold it are read once each, by range. ``urls`` has a column ``url``; null finds the empty key. A url that is
+    there more than once is looked up once; no urls, or none that is indexed, give an empty table."""
     blocks = directory.orderBy("first_key", "last_key", "index", "offset").collect()  # at most about MAX_BLOCKS rows
     sparse = spark.sparkContext.broadcast(
         ([b["first_key"] for b in blocks], [b["last_key"] for b in blocks], [(b["index"], b["offset"], b["length"]) for b in blocks])
@@ -239,7 +241,8 @@ def look_up(spark: SparkSession, urls: DataFrame, directory: DataFrame, folder:
 
     found = materialize(urls.select("url").distinct().mapInArrow(search, "key string, block int"), "found")
     captures = found.select("block").distinct().mapInArrow(read, _CAPTURE)
-    return captures.join(found.select("key").distinct(), "key", "left_semi")
+    # Stored, so that the join can be split at a url that very many pages have.
+    return captures.join(materialize(found.select("key").distinct(), "keys"), "key", "left_semi")
 
 
 def read_records(captures: DataFrame, folder: str) -> DataFrame:
@@ -289,6 +292,7 @@ def archive_and_read_back(pages: DataFrame, folder: str | None = None) -> DataFr
     records = materialize(records, "records")
     revisits = records.filter(F.col("record_type") == "revisit").drop("payload_bytes")
     responses = records.filter(F.col("record_type") == "response")
-    stored = responses.select(F.col("page_id").alias("refers_to"), "digest", "payload_bytes").distinct()
+    # Stored for the same reason: a payload that very many pages have.
+    stored = materialize(responses.select(F.col("page_id").alias("refers_to"), "digest", "payload_bytes").distinct(), "responses")
     columns = ["page_id", "payload_bytes", F.col("digest").alias("payload_digest"), "record_type", "refers_to", "url_key"]
     return responses.select(*columns).unionByName(revisits.join(stored, ["refers_to", "digest"], "left").select(*columns))

@@ -9,6 +9,7 @@ import hashlib
 import lzma
 import random
 import re
+import time
 import urllib.parse
 import zlib
 
@@ -83,6 +84,63 @@ def test_layers_in_other_shapes():
         assert all(at <= a < b <= at + len(layer) for _, a, b in spans), layer
 
 
+def test_layers_of_any_bytes():
+    """Latin-1 and stray bytes in base64, bare or packed; bare deflate; zlib of all window sizes; other escapes."""
+    inner = "password=hunter2hunter2"
+    latin = f"café {inner} naïve".encode("latin-1")
+    bare = zlib.compressobj(9, zlib.DEFLATED, -15)
+    bulk = b"some words, one after the other. " * 9 + inner.encode()
+    layers = {
+        "latin": base64.b64encode(latin),
+        "stray": base64.b64encode(b"\x80\x81" + inner.encode()),
+        "packed": base64.b64encode(gzip.compress(latin)),
+        "bare": base64.b64encode(bare.compress(bulk) + bare.flush()),
+        "url": "".join(f"%{b:02X}" for b in latin).encode(),
+        "twice": "".join(f"%25{b:02X}" for b in zlib.compress(inner.encode())).encode(),
+        "percent-u": "".join(f"%u{ord(c):04x}" for c in inner).encode(),
+        "hex entity": "".join(f"&#x{ord(c):x};" for c in inner).encode(),
+        "entity": "".join(f"&#{ord(c)};" for c in inner).encode(),
+    }
+    for bits in range(9, 16):
+        for level in (0, 1, 6, 9):
+            z = zlib.compressobj(level, zlib.DEFLATED, bits)
+            layers[f"zlib {bits} {level}"] = base64.b64encode(z.compress(bulk) + z.flush())
+    for name, layer in layers.items():
+        text = f"é😀 before {layer.decode()} after it"
+        at = text.index(layer.decode())
+        spans = [x for x in s.find_secrets(text)[1] if x[0] == "assign"]
+        assert spans and all(at <= a < b <= at + len(layer) for _, a, b in spans), name
+
+
+def resolved(text):
+    """A text with each escape resolved, level after level."""
+    while True:
+        new = re.sub(r"%([0-7][0-9A-Fa-f])", lambda m: chr(int(m[1], 16)), text)
+        if new == text:
+            return text
+        text = new
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["%25", "25", "%70", "%2570", "%252570", "assword=", "password=", "%", "41", "abcdef", "%3d", "\n", "%253D"])).map("".join))
+def test_escapes_are_resolved_to_the_end(text):
+    """The kinds of secrets of the text with all levels resolved are found; spans lie where the text changes."""
+    want = {k for k, _, _ in _base(resolved(text))} | {k for k, _, _ in _base(text)}
+    assert want <= {k for k, _, _ in s.find_secrets(text)[1]}
+
+
+def test_long_chains_take_linear_time():
+    """A megabyte of escaped escapes, in three shapes, and of one letter; one finding for one secret."""
+    start = time.process_time()
+    chain = "password=hunter2" + "%25" * 2 + "25" * 500_000 + "41"
+    base, spans = s.find_secrets(chain)
+    assert base == [("assign", 0, 16)] and spans == [("assign", 0, 16), ("assign", 0, len(chain))] or len(spans) <= 3
+    assert len(s.find_secrets("%25" * 350_000)[1]) == 0
+    assert len(s.find_secrets("secret: abcdefg " + "%2525254" * 130_000)[1]) <= 3
+    assert s.find_secrets("q" * 1_000_000)[1] == []
+    assert time.process_time() - start < 40
+
+
 def test_members_and_long_layers(monkeypatch):
     monkeypatch.setattr(s, "WINDOW", 1 << 18, raising=False)
     filler = "é, plain words in a line. " * 10_000
