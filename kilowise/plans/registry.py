@@ -1057,7 +1057,8 @@ def readings_with_address(x: Tables) -> DataFrame:
     """Every reading with each address that its customer had at that time; the times of addresses overlap, some are open."""
     until = F.when(F.col("address_id") % 7 == 0, None).otherwise(F.expr("date_add(start_date, CAST(address_id % 300 AS INT))"))
     periods = x.addresses.select("customer_id", "address_id", "address", "start_date", until.alias("end_date"))
-    rows = intervals.interval_join(x.readings, "reading_ts", periods, "start_date", "end_date", "customer_id")
+    readings = x.readings.select("reading_id", "customer_id", "reading_ts", "kwh_usage")
+    rows = intervals.interval_join(readings, "reading_ts", periods, "start_date", "end_date", "customer_id")
     return rows.select("reading_id", "customer_id", "reading_ts", "kwh_usage", "address_id", "address")
 
 

@@ -8,7 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from kilowise.functions import scan
+from kilowise.functions import ranking, scan
 from kilowise.functions.intervals import interval_join
 from kilowise.functions.scan import running
 
@@ -105,3 +105,47 @@ def test_interval_join_pairs_no_more_than_it_gives(spark, monkeypatch):
     right = spark.range(300).select(F.lit(1).alias("k"), F.col("id").cast("double").alias("s"), (600 - F.col("id")).cast("double").alias("e"))
     assert interval_join(left, "at", right, "s", "e", "k").count() == 2 + 151 + 299
     assert kept["intervals-by-segment"].count() == 2 + 151 + 299
+
+
+def test_interval_join_stores_the_points_once(spark, monkeypatch):
+    """Points are stored once, in the order of the sweep, with the columns that the query gives back."""
+    from kilowise.functions import intervals
+    from kilowise.plans.registry import QUERIES
+
+    kept = {}
+    store = intervals.materialize
+
+    def spy(df, name):
+        kept[name] = store(df, name)
+        return kept[name]
+
+    for module in (intervals, scan, ranking):
+        monkeypatch.setattr(module, "materialize", spy)
+    QUERIES["readings_with_address"](spark, "/root/testdata/sf0.001")
+    with_points = {n: set(t.columns) for n, t in kept.items() if {"kwh_usage", "_point"} & set(t.columns)}
+    assert list(with_points) == ["sweep"]
+    assert with_points["sweep"] == {"reading_id", "customer_id", "kwh_usage", "_at", "_interval", "_part", "_number"}
+
+
+def test_a_segment_goes_on_in_later_tasks(spark, monkeypatch):
+    """Most points of the one key lie at the same time, between the same two borders."""
+    from kilowise.functions import intervals
+
+    kept = {}
+    store = intervals.materialize
+
+    def spy(df, name):
+        kept[name] = store(df, name)
+        return kept[name]
+
+    monkeypatch.setattr(intervals, "materialize", spy)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        left = spark.range(20_000).select(F.lit("a").alias("k"), F.when(F.col("id") < 50, F.col("id").cast("double")).otherwise(60.0).alias("at"), "id")
+        right = spark.createDataFrame([("a", 10.0, 60.0, 1), ("a", 20.0, None, 2), ("a", 60.0, 61.0, 3), ("a", 61.0, None, 4), ("b", 0.0, None, 5)], "k string, s double, e double, v int")
+        found = interval_join(left, "at", right, "s", "e", "k").groupBy("v").agg(F.count("id"), F.countDistinct("id")).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sorted(map(tuple, found)) == [(1, 40, 40), (2, 19_980, 19_980), (3, 19_950, 19_950)]
+    sizes = [r["count"] for r in kept["sweep"].groupBy("_part").count().collect()]
+    assert len(sizes) >= 4 and max(sizes) < 8_000
