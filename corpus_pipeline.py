@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from kilowise.llm import attention, decontaminate, jaccard, packing, secrets
 from kilowise.llm.queries import table, tokenizer_path
-from kilowise.plans.storage import materialize
+from kilowise.plans.storage import discard, materialize
 
 
 def _recounted(docs: DataFrame) -> DataFrame:
@@ -64,5 +64,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the ``documents`` of a folder; an empty table gives no sequence."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        before, docs = docs, materialize(stage(spark, docs, sf_dir), name)
+        discard(before)  # not the table itself, which is no work folder
     return STAGES[-1][1](spark, docs, sf_dir)

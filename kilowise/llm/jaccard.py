@@ -32,19 +32,24 @@ from pyspark.sql import functions as F
 from kilowise.llm.common import flat, mix, slices, word_hashes, word_places
 from kilowise.llm.components import connected_components
 from kilowise.plans.sizing import broadcast_if_small
-from kilowise.plans.storage import materialize
+from kilowise.plans.storage import discard, materialize, shuffles_freed
 
 WORDS = 4
 PERCENT = 85
 NEAR_WORDS, NEAR_PERCENT = 5, 80  # of near duplicates, where nothing else is asked for
 BLOCK = 1024  # sets on either side of a block of pairs
-BITMAP_BITS = 1 << 26  # fixed size of the filter of shared keys: 8 MB
+BITMAP_BITS = 1 << 26  # size of the filter of shared keys: 8 MB at least
+NODE_BITS = 1 << 26  # fixed size of the filter of nodes: 8 MB
 LEVELS = (2, 8, 64, 512, 4096)  # how often a shingle occurs, for the order by frequency
-LEVEL_BITS = 1 << 25  # fixed size of the filter of each level: 4 MB
-HELD = 1 << 18  # numbers that a task counts at a time
+LEVEL_BITS = 1 << 23  # size of the filter of each level: 1 MB at least
+MOST_BITS = 1 << 29  # size of any filter that grows with what it holds: 64 MB at most
+SENT_PERCENT = 50  # of the shingles of all documents, that are sent to blocks at a time
+HELD = 1 << 19  # numbers that a task counts at a time
+COUNTED_BITS = 44  # of a number, by which it is counted, in ranges of 2^32; two counted as one give more candidates, not less
 FRAGMENT = 1 << 19  # shingles of a block in one fragment of the order
 SPARE = 3  # keys that a set may leave out
 _CLASS_RATIO = 1.35
+_COUNTED = np.uint64((1 << COUNTED_BITS) - 1)
 _C = [np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
 
@@ -128,10 +133,11 @@ def _filter(rows: DataFrame, bits: int) -> np.ndarray:
             [pa.array([k for k, _ in rows], pa.int64()), pa.array([v.tobytes() for _, v in rows], pa.binary())], ["part", "set"]
         )
 
-    by_stretch = rows.select("bit").repartition(min(bits // stretch, 64), F.shiftright("bit", 16))
     out = np.zeros(bits // 8, np.uint8)
-    for row in by_stretch.mapInArrow(run, "part long, set binary").collect():  # at most one row per stretch
-        out[row["part"] * stretch // 8 : (row["part"] + 1) * stretch // 8] = np.frombuffer(row["set"], np.uint8)
+    with shuffles_freed(rows.sparkSession):
+        by_stretch = rows.select("bit").repartition(min(bits // stretch, 64), F.shiftright("bit", 16))
+        for row in by_stretch.mapInArrow(run, "part long, set binary").collect():  # at most one row per stretch
+            out[row["part"] * stretch // 8 : (row["part"] + 1) * stretch // 8] = np.frombuffer(row["set"], np.uint8)
     return out
 
 
@@ -140,81 +146,151 @@ def _bitmap(shared: DataFrame, bits: int) -> np.ndarray:
     return _filter(shared.select(F.col("key").bitwiseAND(bits - 1).alias("bit")), bits)
 
 
+def _bits(n: int, least: int) -> int:
+    """Size of a filter: four bits for each of ``n`` numbers, ``least`` at least, up to ``MOST_BITS``."""
+    return min(max(1 << (4 * n - 1).bit_length(), least), max(MOST_BITS, least))
+
+
 def _in_bitmap(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
     at = (keys & np.uint64(len(bitmap) * 8 - 1)).astype(np.int64)
     return (bitmap[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
 
 
-def _counted(arrays: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    """key, n of the numbers in all arrays, added up for some ``HELD`` of them at a time."""
+def _packed(arrays: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """range, numbers, counts of the numbers in all arrays, added up for some ``HELD`` of them at a time; a row
+    holds those of a range, four bytes each."""
     found: list[np.ndarray] = []
     size = 0
     for array in arrays:
         found.append(array)
         size += len(array)
         if size >= HELD:
-            yield _counts_of(found)
+            yield _ranges_of(found)
             found, size = [], 0
-    if found:
-        yield _counts_of(found)
+    if size:
+        yield _ranges_of(found)
+
+
+def _ranges_of(found: list[np.ndarray]) -> pa.RecordBatch:
+    values, n = np.unique(np.concatenate(found) & _COUNTED, return_counts=True)
+    ranges = (values >> np.uint64(32)).astype(np.int32)
+    first = np.flatnonzero(np.concatenate(([True], ranges[1:] != ranges[:-1])))
+    places = pa.py_buffer((np.append(first, len(values)) * 4).astype(np.int32))
+    packed = [pa.Array.from_buffers(pa.binary(), len(first), [None, places, pa.py_buffer(x.astype(np.uint32))]) for x in (values, n)]
+    return pa.RecordBatch.from_arrays([pa.array(ranges[first]), *packed], ["range", "numbers", "counts"])
+
+
+def _added_up(numbers: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(numbers, kind="stable")  # made of sorted stretches
+    numbers = numbers[order]
+    first = np.flatnonzero(np.concatenate(([True], numbers[1:] != numbers[:-1])))
+    return numbers[first], np.add.reduceat(counts[order], first)
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """key, n of the numbers that occur more than once; the rows of a range come one after the other."""
+    at, held, size = None, [], 0
+
+    def counted() -> pa.RecordBatch:
+        numbers, n = _added_up(*(np.concatenate(x) for x in zip(*held)))
+        often = n > 1
+        keys = numbers[often].astype(np.int64) + (int(at) << 32)
+        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n[often])], ["key", "n"])
+
+    for batch in batches:
+        ranges = np.asarray(batch.column("range"))
+        (numbers, starts), (counts, _) = flat(batch.column("numbers")), flat(batch.column("counts"))
+        first = np.flatnonzero(np.concatenate(([True], ranges[1:] != ranges[:-1]))) if len(ranges) else []
+        for a, b in zip(first, [*first[1:], len(ranges)]):
+            if at != ranges[a]:
+                if held:
+                    yield counted()
+                at, held, size = ranges[a], [], 0
+            own = (np.frombuffer(x[starts[a] : starts[b]].tobytes(), np.uint32) for x in (numbers, counts))
+            held.append(tuple(x.astype(kind) for x, kind in zip(own, (np.uint32, np.int64))))
+            size += len(held[-1][0])
+            if size >= HELD:
+                held = [_added_up(*(np.concatenate(x) for x in zip(*held)))]
+                size = 0  # of what came since
+    if held:
+        yield counted()
+
+
+def _counts(rows: DataFrame, numbers_of) -> DataFrame:
+    """key, n: the numbers, by their last ``COUNTED_BITS`` bits, that occur more than once in what ``numbers_of``
+    makes of the batches of ``rows``."""
+    packed = rows.mapInArrow(lambda batches: _packed(numbers_of(batches)), "range int, numbers binary, counts binary")
+    return packed.repartition("range").sortWithinPartitions("range").mapInArrow(_unpacked, "key long, n long")
+
+
+def _sets(docs: DataFrame, words: int) -> DataFrame:
+    """doc_id, n, s1, s2 (a 128-bit digest of the set) of every row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                sets = [(len(own), hashlib.blake2b(own.tobytes(), digest_size=16).digest()) for own in sets_of(part.column("text"), words)]
+                both = np.frombuffer(b"".join(x for _, x in sets), np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array([n for n, _ in sets], pa.int64()), pa.array(both[::2]), pa.array(both[1::2])],
+                    ["doc_id", "n", "s1", "s2"],
+                )
+
+    return docs.mapInArrow(run, "doc_id long, n long, s1 long, s2 long")
+
 
+def _node_filter(classes: DataFrame) -> np.ndarray:
+    """A filter that has the bit of every node: an id, folded."""
+    node = F.col("node")
+    folded = node.bitwiseXOR(F.shiftrightunsigned(node, 26)).bitwiseXOR(F.shiftrightunsigned(node, 52))
+    return _filter(classes.select(folded.bitwiseAND(NODE_BITS - 1).alias("bit")), NODE_BITS)
 
-def _counts_of(found: list[np.ndarray]) -> pa.RecordBatch:
-    values, n = np.unique(np.concatenate(found), return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n.astype(np.int32))], ["key", "n"])
 
+def _standing(batch: pa.RecordBatch, nodes: np.ndarray) -> pa.RecordBatch:
+    """Rows whose id is that of a node. Some others may be among them: their sets are candidates once more, not less."""
+    ids = np.asarray(batch.column("doc_id").fill_null(0)).view(np.uint64)
+    known = _in_bitmap(nodes, ids ^ (ids >> np.uint64(26)) ^ (ids >> np.uint64(52)))
+    return batch.filter(pa.array(known & np.asarray(batch.column("doc_id").is_valid())))
 
-def _key_counts(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """key, n: the keys that more than one document has."""
+
+def _key_counts(docs: DataFrame, nodes, words: int, percent: int) -> DataFrame:
+    """key, n: the keys that more than one set has."""
 
     def keys_of(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         for batch in batches:
-            seen = set()
-            for part in slices(batch, "text"):
+            for part in slices(_standing(batch, nodes.value), "text"):
                 for own in sets_of(part.column("text"), words):
-                    if len(own) and (mark := hashlib.blake2b(own.tobytes(), digest_size=16).digest()) not in seen:
-                        seen.add(mark)
+                    if len(own):
                         yield from (keys for _, keys in segment_keys(own, percent))
 
-    rows = docs.select("text").mapInArrow(lambda batches: _counted(keys_of(batches)), "key long, n int")
-    return rows.groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1")
+    return _counts(docs, keys_of)
 
 
-def _documents(docs: DataFrame, bitmap, words: int, percent: int) -> DataFrame:
-    """doc_id, n, s1, s2 (a 128-bit digest of the set), and the shared keys of every row."""
-    schema = "doc_id long, n long, s1 long, s2 long, parts array<struct<spare:int,keys:array<long>>>"
-    kind = pa.list_(pa.struct([("spare", pa.int32()), ("keys", pa.list_(pa.int64()))]))
+def _shared_keys(docs: DataFrame, nodes, bitmap, words: int, percent: int) -> DataFrame:
+    """node, slot, spare, key: the shared keys of each set, a slot for each of its size classes."""
+    names = ["node", "slot", "spare", "key"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
-                ns, digests, parts = [], [], []
-                for own in sets_of(part.column("text"), words):
-                    ns.append(len(own))
-                    digests.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
-                    rows = []
-                    for spare, keys in segment_keys(own, percent) if len(own) else ():
-                        shared = keys[_in_bitmap(bitmap.value, keys)]
-                        if len(shared):
-                            rows.append({"spare": spare, "keys": shared.view(np.int64)})
-                    parts.append(rows)
-                both = np.frombuffer(b"".join(digests), np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(ns, pa.int64()), pa.array(both[::2]), pa.array(both[1::2]), pa.array(parts, kind)],
-                    ["doc_id", "n", "s1", "s2", "parts"],
-                )
-
-    return docs.mapInArrow(run, schema)
-
-
-def _candidates(classes: DataFrame, shared: DataFrame) -> DataFrame:
-    """u, v: each set is joined to the least set with the same key, for all keys that it does not leave out."""
-    rows = classes.select("node", F.posexplode("parts").alias("slot", "part"))
-    rows = rows.select("node", "slot", F.col("part.spare").alias("spare"), F.explode("part.keys").alias("key")).join(shared, "key")
+            for part in slices(_standing(batch, nodes.value), "text"):
+                heads, found = [], []
+                for node, own in zip(part.column("doc_id").to_pylist(), sets_of(part.column("text"), words)):
+                    for slot, (spare, keys) in enumerate(segment_keys(own, percent)) if len(own) else ():
+                        found.append((keys & _COUNTED)[_in_bitmap(bitmap.value, keys)])
+                        heads.append((node, slot, spare))
+                if found:
+                    head = np.repeat(np.array(heads, np.int64), [len(x) for x in found], axis=0)
+                    columns = [head[:, 0], head[:, 1].astype(np.int32), head[:, 2].astype(np.int32), np.concatenate(found).view(np.int64)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+
+    return docs.mapInArrow(run, "node long, slot int, spare int, key long")
+
+
+def _candidates(rows: DataFrame, shared: DataFrame) -> DataFrame:
+    """key, node: the keys that sets do not leave out."""
     by_set = Window.partitionBy("node", "slot").orderBy(F.desc("n"), "key")  # at most one row per fragment
-    kept = rows.withColumn("_place", F.row_number().over(by_set)).filter("_place > spare").select("key", "node")
-    kept = materialize(kept, "keys")
-    return _stars(kept)
+    kept = rows.join(shared, "key").withColumn("_place", F.row_number().over(by_set)).filter("_place > spare").select("key", "node")
+    return materialize(kept, "keys")
 
 
 def _sets_of_members(docs: DataFrame, members: DataFrame) -> DataFrame:
@@ -231,8 +307,8 @@ def _own_sets(batch: pa.RecordBatch, words: int) -> Iterator[tuple[int, np.ndarr
 
 
 def _by_rarest(docs: DataFrame, members: DataFrame, words: int, percent: int) -> DataFrame:
-    """u, v: candidates among ``members`` (node, s1, s2) by their rarest shingles. The order needs only to be
-    the same for all sets, so the levels of frequency are kept in filters of fixed size."""
+    """key, node: the rarest shingles of ``members`` (node, s1, s2), of which near sets share one. The order needs only
+    to be the same for all sets, so the levels of frequency are kept in filters of bounded size."""
     texts = _sets_of_members(docs, members)
 
     def shingles_of(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
@@ -240,14 +316,17 @@ def _by_rarest(docs: DataFrame, members: DataFrame, words: int, percent: int) ->
             for part in slices(batch, "text"):
                 yield from (own for _, own in _own_sets(part, words))
 
-    counts = texts.mapInArrow(lambda batches: _counted(shingles_of(batches)), "key long, n int")
-    counts = counts.groupBy("key").agg(F.sum("n").alias("n"))
-    counts = materialize(counts.filter(F.col("n") >= LEVELS[0]), "frequent")
-    # One filter per level, made as one: a key has a bit in those of all levels that it reaches.
-    reached = F.filter(F.array(*(F.struct(F.lit(i * LEVEL_BITS).alias("at"), F.lit(x).alias("n")) for i, x in enumerate(LEVELS))), lambda x: x["n"] <= F.col("n"))
-    bits = counts.select(F.explode(reached).alias("x"), "key").select((F.col("x.at") + F.col("key").bitwiseAND(LEVEL_BITS - 1)).alias("bit"))
-    filters = np.split(_filter(bits, len(LEVELS) * LEVEL_BITS), len(LEVELS))
+    counts = materialize(_counts(texts, shingles_of), "frequent")
+    # One filter per level, made as one: a key has a bit in those of all levels that it reaches. Were they to fill up, rare
+    # shingles would look frequent, and groups would hang together by what is no rarer than the rest.
+    sizes = [_bits(n or 0, LEVEL_BITS) for n in counts.agg(*(F.sum((F.col("n") >= x).cast("long")) for x in LEVELS)).first()]
+    starts = np.cumsum([0, *sizes])
+    levels = [F.struct(F.lit(int(at)).cast("long").alias("at"), F.lit(size - 1).cast("long").alias("mask"), F.lit(x).alias("n")) for at, size, x in zip(starts, sizes, LEVELS)]
+    reached = F.filter(F.array(*levels), lambda x: x["n"] <= F.col("n"))
+    bits = counts.select(F.explode(reached).alias("x"), "key").select((F.col("x.at") + F.col("key").bitwiseAND(F.col("x.mask"))).alias("bit"))
+    filters = np.split(_filter(bits, int(starts[-1])), starts[1:-1] // 8)
     sent = docs.sparkSession.sparkContext.broadcast(filters)
+    discard(counts)
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -255,23 +334,27 @@ def _by_rarest(docs: DataFrame, members: DataFrame, words: int, percent: int) ->
                 nodes, keys = [], []
                 for i, own in _own_sets(part, words):
                     level = sum(_in_bitmap(x, own).astype(np.int8) for x in sent.value)
-                    own = own[np.argsort(level, kind="stable")]  # a set is in hash order
                     many = len(own) + percent * len(own) // -100 + 1
-                    keys.append(own[:many])
-                    nodes.append(np.full(many, part.column("node")[i].as_py()))
+                    rarest = np.argsort(level, kind="stable")[:many]  # a set is in hash order
+                    rarest = rarest[level[rarest] > 0]  # others are in no second set
+                    keys.append(own[rarest])
+                    nodes.append(np.full(len(rarest), part.column("node")[i].as_py(), np.int64))
                 if keys:
                     columns = [np.concatenate(keys).view(np.int64), np.concatenate(nodes)]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "node"])
 
-    kept = materialize(texts.mapInArrow(first, "key long, node long"), "rarest")
-    return _stars(kept)
+    return materialize(texts.mapInArrow(first, "key long, node long"), "rarest")
 
 
-def _stars(kept: DataFrame) -> DataFrame:
-    """u, v: each node is joined to the least node with the same key."""
+def _groups(kept: DataFrame) -> DataFrame:
+    """node, component: the groups of nodes that hang together by keys; each node is joined to the least node with the
+    same key. ``kept`` (key, node) is a stored table and is deleted."""
     least = kept.groupBy("key").agg(F.min("node").alias("u"), F.max("node").alias("_last")).filter("u < _last")
     least = materialize(least.select("key", "u"), "least-keys")
-    return kept.join(least, "key").filter("node > u").select("u", F.col("node").alias("v")).distinct()
+    edges = kept.join(least, "key").filter("node > u").select("u", F.col("node").alias("v")).distinct()
+    groups = materialize(connected_components(edges), "candidates")
+    discard(kept, least)
+    return groups
 
 
 def _links_between(rows: list[tuple[int, np.ndarray]], half: int, percent: int) -> Iterator[tuple[int, int]]:
@@ -320,11 +403,12 @@ def _links_between(rows: list[tuple[int, np.ndarray]], half: int, percent: int)
             yield a, b
 
 
-def _links(docs: DataFrame, members: DataFrame, words: int, percent: int, block: int) -> DataFrame:
+def _links(docs: DataFrame, members: DataFrame, words: int, percent: int, rounds: int) -> DataFrame:
     """u, v: a spanning forest of the links within the groups of candidates.
 
     members: node, s1, s2, component, part, parts (blocks of the component). Each set goes to all pairs
-    of blocks that hold it; a pair of blocks is counted in one task.
+    of blocks that hold it; a pair of blocks is counted in one task. The pairs are dealt over ``rounds``, one
+    after the other, so that not all copies of the sets of a large group are on disk at once.
     """
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -364,10 +448,14 @@ def _links(docs: DataFrame, members: DataFrame, words: int, percent: int, block:
         F.sequence(F.lit(0), F.col("parts") - 1),
         lambda p: F.struct(F.least(p, F.col("part")).alias("a"), F.greatest(p, F.col("part")).alias("b")),
     )
-    dealt = own.withColumn("pair", F.explode(pairs)).select("component", "pair.a", "pair.b", "part", "node", "set")
-    dealt = dealt.withColumn("half", F.when(F.col("a") == F.col("b"), 0).otherwise((F.col("part") == F.col("b")).cast("int")))
-    together = dealt.repartition("component", "a", "b").sortWithinPartitions("component", "a", "b", "half")
-    return together.mapInArrow(count, "u long, v long")
+    found = []
+    for i in range(rounds):
+        turn = F.filter(pairs, lambda p: F.pmod(F.xxhash64("component", p["a"], p["b"]), F.lit(rounds)) == i)  # noqa: B023
+        dealt = own.withColumn("pair", F.explode(turn)).select("component", "pair.a", "pair.b", "part", "node", "set")
+        dealt = dealt.withColumn("half", F.when(F.col("a") == F.col("b"), 0).otherwise((F.col("part") == F.col("b")).cast("int")))
+        together = dealt.repartition("component", "a", "b").sortWithinPartitions("component", "a", "b", "half")
+        found.append(materialize(together.mapInArrow(count, "u long, v long"), "links"))
+    return functools.reduce(DataFrame.unionByName, found)
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
@@ -382,27 +470,32 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    shared = materialize(_key_counts(docs, words, percent), "shared-keys")
-    bitmap = spark.sparkContext.broadcast(_bitmap(shared, BITMAP_BITS))
-    rows = materialize(_documents(docs, bitmap, words, percent), "sets")
-    # One node per distinct set; copies combine before the shuffle.
-    classes = rows.filter("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("node"), F.any_value("parts").alias("parts"))
+    rows = materialize(_sets(docs, words), "sets")
+    # One node per distinct set; copies combine before the shuffle, and only one of them is cut into segments.
+    classes = rows.filter("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("node"), F.max("n").alias("n"))
     classes = materialize(classes.filter("node is not null"), "classes")
-    groups = materialize(connected_components(_candidates(classes, shared)), "candidates")
+    nodes = spark.sparkContext.broadcast(_node_filter(classes))
+    shared = materialize(_key_counts(docs, nodes, words, percent), "shared-keys")
+    bitmap = spark.sparkContext.broadcast(_bitmap(shared, _bits(shared.count(), BITMAP_BITS)))
+    kept = _candidates(_shared_keys(docs, nodes, bitmap, words, percent), shared)
+    discard(shared)
+    groups = _groups(kept)
     named_sets = classes.select("node", "s1", "s2")
     sizes = materialize(groups.groupBy("component").agg(F.count(F.lit(1)).alias("size")), "group-sizes")
     large = sizes.filter(F.col("size") > block).select("component")
     if large.count():
         members = materialize(groups.join(large, "component", "left_semi").join(named_sets, "node").select("node", "s1", "s2"), "large-groups")
-        again = connected_components(_by_rarest(docs, members, words, percent))
+        again = _groups(_by_rarest(docs, members, words, percent))
         groups = materialize(groups.join(large, "component", "left_anti").unionByName(again), "candidates-again")
         sizes = materialize(groups.groupBy("component").agg(F.count(F.lit(1)).alias("size")), "group-sizes")
     # Blocks of a candidate group: dealt by hash, as many as its size asks for.
     members = groups.join(sizes.select("component", F.ceil(F.col("size") / block).cast("int").alias("parts")), "component")
     members = members.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     members = materialize(members.join(named_sets, "node"), "members")
-    links = materialize(_links(docs, members, words, percent, block), "links")
-    labels = materialize(connected_components(links), "components")
+    sent = members.join(classes.select("s1", "s2", "n"), ["s1", "s2"]).agg(F.sum(F.col("n") * F.col("parts"))).first()[0] or 0
+    shingles = rows.agg(F.sum("n")).first()[0] or 0
+    rounds = max(1, -(-100 * sent // max(1, SENT_PERCENT * shingles)))
+    labels = materialize(connected_components(_links(docs, members, words, percent, rounds)), "components")
     named = classes.select("s1", "s2", "node").join(labels, "node", "left")
     named = materialize(named.select("s1", "s2", F.coalesce("component", "node").alias("component_id")), "named")
     return rows.select("doc_id", "n", "s1", "s2").join(named, ["s1", "s2"], "left").select(

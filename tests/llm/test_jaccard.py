@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import re
+import time
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from kilowise.llm import jaccard
 from kilowise.llm.components import connected_components
+from kilowise.plans.storage import materialize
 from tests.llm.conftest import counted, edited, prose
 
 COLUMNS = ("doc_id", "n_shingles", "component_id")
@@ -78,6 +82,70 @@ def test_blocks_and_thresholds(spark, block, percent, monkeypatch):
     assert counted(jaccard.jaccard_components(df, percent=percent, block=block), *COLUMNS) == by_hand(rows, percent)
 
 
+def _work_tables(spark):
+    base = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"), spark.sparkContext.applicationId)
+    return {x.name for x in base.iterdir()} if base.exists() else set()
+
+
+def test_sets_go_to_their_blocks_in_rounds(spark, monkeypatch):
+    """A group of many blocks, whose sets are sent a few pairs at a time; what was counted on the way is deleted."""
+    monkeypatch.setattr(jaccard, "SENT_PERCENT", 100)
+    rows, text = [], prose(7, 90)
+    for i in range(40):
+        rows.append((500 - i, text, "en", "s", 1))
+        text = edited(text, i, 1 + i % 4)
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    before = _work_tables(spark)
+    assert counted(jaccard.jaccard_components(df, block=4), *COLUMNS) == by_hand(rows)
+    made = [x.rpartition("-")[0] for x in _work_tables(spark) - before]
+    assert made.count("links") > 2
+    assert not {"shared-keys", "keys", "least-keys", "frequent", "rarest"} & set(made)
+
+
+def test_rare_shingles_stay_rare_among_many(spark, monkeypatch):
+    """Neighbours share a third of their words, more shingles than the least filter has bits. Each has enough that no
+    other has, so none of them are candidates."""
+    monkeypatch.setattr(jaccard, "LEVEL_BITS", 1 << 16)
+    n = 40
+    passages = [" ".join(f"p{i}x{k}" for k in range(3300)) for i in range(n + 1)]
+    texts = [f"{passages[i]} {' '.join(f'u{i}x{k}' for k in range(3300))} {passages[i + 1]}" for i in range(n)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    members = jaccard._sets(docs, 4).withColumnRenamed("doc_id", "node").select("node", "s1", "s2")
+    found = jaccard._by_rarest(docs, materialize(members, "members"), 4, 85)
+    assert jaccard._groups(found).count() == 0
+
+
+def test_numbers_counted_over_ranges(monkeypatch):
+    """However they come, numbers that occur more than once are counted, and no others."""
+    draw = np.random.default_rng(8)
+    numbers = draw.integers(0, 1 << 64, 700, dtype=np.uint64)
+    numbers[:100] = numbers[0] + np.arange(100, dtype=np.uint64)  # many of a range
+    drawn = numbers[draw.integers(0, 700, 1500)]
+    for held in (5, 200, 1 << 19):
+        monkeypatch.setattr(jaccard, "HELD", held)
+        packed = [b for a in np.array_split(drawn, 3) for b in jaccard._packed(iter([*np.array_split(a, 40), a[:0]]))]
+        rows = pa.Table.from_batches(packed).sort_by("range")
+        found = pa.Table.from_batches(jaccard._unpacked(iter(rows.to_batches(max_chunksize=7))))
+        values, n = np.unique(drawn & np.uint64((1 << 44) - 1), return_counts=True)
+        assert sorted(zip(*(found[c].to_pylist() for c in ("key", "n")))) == list(zip(values[n > 1].tolist(), n[n > 1].tolist()))
+    assert not list(jaccard._packed(iter([numbers[:0]])))
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        return set(re.findall(r"shuffle_(\d+)_", disk.getAllFiles().mkString(" ")))
+
+    before = shuffles()
+    stored = materialize(spark.range(1000).repartition(3, "id").groupBy("id").count().repartition(2), "numbers")
+    for _ in range(50):
+        if shuffles() <= before:
+            break
+        time.sleep(0.1)
+    assert shuffles() <= before and stored.count() == 1000
+
+
 def test_one_of_each(docs, rows, none):
     found = sorted(r["doc_id"] for r in jaccard.one_of_each(docs).collect() if r["doc_id"] is not None)
     want = sorted(d for d, n, c in by_hand(rows, 80, 5) if d is not None and (n == 0 or d == c))
